@@ -159,11 +159,17 @@ def no_events() -> Column:
     return F.array().cast(EVENT)
 
 
+def mark_points(text: Column, rules: list[Prepared], utf8: bool, open_end: bool = False) -> Column:
+    """End positions of several bounded rules: one array of points per rule, NULL where the rule does not match."""
+    marked = [F.when(gate(text, p), mark_ends(text, p, open_end)) for p in rules]
+    return F.transform(F.array(*marked), lambda m: points(m, utf8))
+
+
 def window_events(
-    text: Column, base: Column, lo: Column, hi: Column, p: Prepared, pattern_id: int,
+    ends: Column, text: Column, base: Column, lo: Column, hi: Column, p: Prepared, pattern_id: int,
     *, som: bool, utf8: bool, open_end: bool = False,
 ) -> Column:
-    """Events of a bounded rule whose end lies in ``(lo, hi]``.
+    """Events of a bounded rule whose end lies in ``(lo, hi]``, from its points.
 
     ``base`` is the byte offset of the text's first character; the text outside
     ``(lo, hi]`` is context only.
@@ -180,10 +186,8 @@ def window_events(
         found = matched_before(text, q["c"], p, open_end, p.max_width)
         return _event(pattern_id, end - byte_length(found, utf8), end)
 
-    ends = F.filter(
-        points(mark_ends(text, p, open_end), utf8), lambda q: (base + q["b"] > lo) & (base + q["b"] <= hi)
-    )
-    return F.when(gate(text, p), F.transform(ends, event)).otherwise(no_events())
+    inside = F.filter(ends, lambda q: (base + q["b"] > lo) & (base + q["b"] <= hi))
+    return F.coalesce(F.transform(inside, event), no_events())
 
 
 def _runs(text: Column, p: Prepared, utf8: bool) -> Column:

@@ -63,14 +63,16 @@ def handle_matches(matches: DataFrame, action: Column, keys: Sequence[str] = ("d
 
     Each event is kept when no earlier event of its haystack answered terminate
     and no earlier event of its rule answered skip. The first such answers are
-    found by aggregation, one row per haystack or rule, and joined back.
+    one row per haystack and rule, joined back to the events.
     """
-    order = F.struct(*[F.col(c) for c in ORDER])
-    marked = matches.withColumn("__at", order).withColumn("__action", action)
-    stops = marked.where(F.col("__action") == "terminate").groupBy(*keys).agg(F.min("__at").alias("__stop"))
-    skips = marked.where(F.col("__action") == "skip").groupBy(*keys, "pattern_id").agg(F.min("__at").alias("__skip"))
+    marked = matches.withColumn("__at", F.struct(*[F.col(c) for c in ORDER])).withColumn("__action", action)
+    first = marked.groupBy(*keys, "pattern_id").agg(
+        F.min(F.when(F.col("__action") == "terminate", F.col("__at"))).alias("__stop"),
+        F.min(F.when(F.col("__action") == "skip", F.col("__at"))).alias("__skip"))
+    first = first.withColumn("__stop", F.min("__stop").over(Window.partitionBy(*keys)))
+    first = first.where(F.col("__stop").isNotNull() | F.col("__skip").isNotNull())
     return (
-        marked.join(stops, list(keys), "left").join(skips, [*keys, "pattern_id"], "left")
+        marked.join(first, [*keys, "pattern_id"], "left")
         .where(F.col("__stop").isNull() | (F.col("__at") <= F.col("__stop")))
         .where(F.col("__skip").isNull() | (F.col("__at") <= F.col("__skip")))
         .select(*matches.columns)

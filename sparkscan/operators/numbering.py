@@ -1,9 +1,9 @@
 """Running values over ordered rows without one task per key.
 
 A window over a whole key puts a hot key into a single task. Here rows are
-ordered by an integer, cut into buckets of 4,096 consecutive positions, and the
-buckets of buckets are folded level by level: no window ever holds more than
-4,096 rows below the top, and the top holds one row per 2^36 positions.
+ordered by an integer and cut into buckets of 65,536 consecutive positions. Each
+bucket is summed on its own; the window over a key then sees one short row per
+bucket.
 """
 
 from __future__ import annotations
@@ -13,51 +13,39 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_BITS = 12
-LEVELS = 3
+BUCKET_BITS = 16
 
 
 def running_before(
-    df: DataFrame, keys: Sequence[str], order: str, *, sums: dict[str, Column] | None = None,
-    maxes: dict[str, Column] | None = None, levels: int = LEVELS,
+    df: DataFrame, keys: Sequence[str], order: str, sums: dict[str, Column], *,
+    at_last: dict[str, tuple[str, Column]] | None = None, bits: int = BUCKET_BITS,
 ) -> DataFrame:
-    """Add, per row, the sum / maximum over all earlier rows of its key.
+    """Add, per row, sums over all earlier rows of its key (0 for the first).
 
-    ``order`` is a non-negative BIGINT, unique within a key. Sums start at 0,
-    maxima at NULL.
+    ``at_last`` adds the value such a sum had at the latest earlier row for
+    which a condition holds, NULL if there is none; summands must not be
+    negative. ``order`` is a non-negative BIGINT, unique within a key.
     """
-    specs = [(name, "sum", col) for name, col in (sums or {}).items()]
-    specs += [(name, "max", col) for name, col in (maxes or {}).items()]
-    prepared = df.select("*", *[
-        (col.cast("bigint") if op == "sum" else col).alias(f"__v_{name}") for name, op, col in specs
-    ])
-    out = _level(prepared, list(keys), order, specs, levels)
-    return out.select(*df.columns, *[name for name, _, _ in specs])
-
-
-def _level(df: DataFrame, keys: list[str], order: str, specs, levels: int) -> DataFrame:
-    def fold(op: str, c: str) -> Column:
-        return F.sum(c) if op == "sum" else F.max(c)
-
-    def merged(op: str, a: Column, b: Column) -> Column:
-        return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)) if op == "sum" else F.greatest(a, b)
-
-    if levels == 0:
-        before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return df.select("*", *[
-            (F.coalesce(fold(op, f"__v_{n}").over(before), F.lit(0)) if op == "sum" else fold(op, f"__v_{n}").over(before)).alias(n)
-            for n, op, _ in specs
-        ])
-    bucket = f"__b{levels}"
-    cut = df.withColumn(bucket, F.shiftright(order, BUCKET_BITS))
-    totals = cut.groupBy(*keys, bucket).agg(*[fold(op, f"__v_{n}").alias(f"__v_{n}") for n, op, _ in specs])
-    starts = _level(totals, keys, bucket, specs, levels - 1).select(
-        *keys, bucket, *[F.col(n).alias(f"__s_{n}") for n, _, _ in specs]
-    )
-    before = Window.partitionBy(*keys, bucket).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    local = cut.select("*", *[fold(op, f"__v_{n}").over(before).alias(f"__l_{n}") for n, op, _ in specs])
-    joined = local.join(starts, [*keys, bucket])
-    return joined.select(*df.columns, *[merged(op, F.col(f"__s_{n}"), F.col(f"__l_{n}")).alias(n) for n, op, _ in specs])
+    marks = at_last or {}
+    keys = list(keys)
+    cut = df.select("*", F.shiftright(order, bits).alias("__b"), *[v.cast("bigint").alias(f"__v_{n}") for n, v in sums.items()])
+    before = Window.partitionBy(*keys, "__b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    local = cut.select("*", *[F.coalesce(F.sum(f"__v_{n}").over(before), F.lit(0)).alias(f"__l_{n}") for n in sums])
+    local = local.select("*", *[F.when(c, F.col(f"__l_{n}")).alias(f"__m_{m}") for m, (n, c) in marks.items()])
+
+    totals = (local if marks else cut).groupBy(*keys, "__b").agg(
+        *[F.sum(f"__v_{n}").alias(f"__v_{n}") for n in sums], *[F.max(f"__m_{m}").alias(f"__m_{m}") for m in marks])
+    earlier = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("*", *[F.coalesce(F.sum(f"__v_{n}").over(earlier), F.lit(0)).alias(f"__s_{n}") for n in sums])
+    starts = starts.select(
+        *keys, "__b", *[f"__s_{n}" for n in sums],
+        *[F.max(F.col(f"__s_{n}") + F.col(f"__m_{m}")).over(earlier).alias(f"__a_{m}") for m, (n, _) in marks.items()])
+
+    inside = local.select("*", *[F.max(f"__m_{m}").over(before).alias(f"__i_{m}") for m in marks])
+    return inside.join(starts, [*keys, "__b"]).select(
+        *df.columns,
+        *[(F.col(f"__s_{n}") + F.col(f"__l_{n}")).alias(n) for n in sums],
+        *[F.coalesce(F.col(f"__s_{n}") + F.col(f"__i_{m}"), F.col(f"__a_{m}")).alias(m) for m, (n, _) in marks.items()])
 
 
 def spread_join(big: DataFrame, small: DataFrame, on: Sequence[str], spread_by: str, how: str = "inner", salts: int = 16) -> DataFrame:

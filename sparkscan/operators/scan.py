@@ -49,7 +49,13 @@ class _Plan:
         self.history = S.needs_history(self.p, self.som, self.allow_empty)
         self.width = self.p.max_width if self.p.max_width is not None else MAX_LOOKBEHIND
 
-    def events(self, s: Column, open_end: bool = False) -> Column:
+    @property
+    def marked(self) -> bool:
+        """Whether the rule's ends are found by markers on the whole segment."""
+        return not (self.history or self.edit or self.hamming)
+
+    def events(self, s: Column, open_end: bool = False, ends: Column | None = None) -> Column:
+        """Events on a segment; ``ends`` are the rule's points if it is a marked one."""
         r = self.rule
         text, base, lo, hi = s["text"], s["base"], s["lo"], s["hi"]
         ext = r.ext
@@ -60,7 +66,7 @@ class _Plan:
             found = S.history_events(text, base, lo, hi, self.p, r.pattern_id, som=self.som, utf8=r.utf8,
                                      open_end=open_end, allow_empty=self.allow_empty)
         else:
-            found = S.window_events(text, base, lo, hi, self.p, r.pattern_id, som=self.som, utf8=r.utf8,
+            found = S.window_events(ends, text, base, lo, hi, self.p, r.pattern_id, som=self.som, utf8=r.utf8,
                                     open_end=open_end)
         if ext.get("max_offset") is not None:
             # a segment that starts beyond the bound is not searched at all
@@ -90,12 +96,33 @@ def _by_id(plans: list[_Plan]) -> dict[int, list[_Plan]]:
     return out
 
 
+def rule_arrays(s: Column, plans: list[_Plan], open_end: bool, body) -> Column:
+    """``body(arrays)`` over one event array per rule; points of all marked rules are found together."""
+    marked = [p for p in plans if p.marked]
+
+    def arrays(ends: Column | None) -> list[Column]:
+        at = {id(p): ends[k] for k, p in enumerate(marked)} if ends is not None else {}
+        return [p.events(s, open_end, at.get(id(p))) for p in plans]
+
+    if not marked:
+        return body(arrays(None))
+    found = S.mark_points(s["text"], [p.p for p in marked], marked[0].rule.utf8, open_end)
+    return S.let(found, lambda ends: body(arrays(ends)))
+
+
 def segment_events(s: Column, plans: list[_Plan], open_end: bool = False) -> Column:
     """Events of several rules on one segment; single-match rules give one event per id."""
-    arrays = [p.events(s, open_end) for p in plans if not p.first_only]
-    for group in _by_id([p for p in plans if p.first_only]).values():
-        arrays.append(first_event(F.concat(*[p.events(s, open_end) for p in group])))
-    return F.concat(*arrays) if arrays else S.no_events()
+
+    def together(arrays: list[Column]) -> Column:
+        out = [a for p, a in zip(plans, arrays) if not p.first_only]
+        once: dict[int, list[Column]] = {}
+        for p, a in zip(plans, arrays):
+            if p.first_only:
+                once.setdefault(p.rule.pattern_id, []).append(a)
+        out += [first_event(F.concat(*group)) for group in once.values()]
+        return F.concat(*out)
+
+    return rule_arrays(s, plans, open_end, together) if plans else S.no_events()
 
 
 class Combination:
@@ -225,10 +252,8 @@ def _combination_events(s: Column, plain: list[Rule], combos: list[Combination])
     """Combination events of a whole text: first end per sub-rule, then plain boolean columns."""
     needed = sorted(set().union(*[c.ids for c in combos]))
     groups = _by_id([_Plan(r) for r in plain if r.pattern_id in needed])
-    firsts = F.struct(*[
-        F.array_min(F.transform(F.concat(*[_events_any_view(p, s) for p in groups[i]]), lambda e: e["to"])).alias(f"r{i}")
-        for i in needed
-    ])
+    ends = lambda plans: F.array_min(F.transform(_events_any_view(plans, s), lambda e: e["to"]))
+    firsts = F.struct(*[ends(groups[i]).alias(f"r{i}") for i in needed])
 
     def build(f: Column) -> Column:
         first_end = {i: f[f"r{i}"] for i in needed}
@@ -242,11 +267,15 @@ def _combination_events(s: Column, plain: list[Rule], combos: list[Combination])
     return S.let(firsts, build)
 
 
-def _events_any_view(plan: _Plan, s: Column) -> Column:
-    """Events of a rule on a whole byte-view segment, re-read as characters if the rule is UTF-8."""
-    if not plan.rule.utf8:
-        return plan.events(s)
-    return F.flatten(F.transform(S.whole(S.char_view(S.as_text(s["text"], False)), True), plan.events))
+def _events_any_view(plans: list[_Plan], s: Column) -> Column:
+    """Events on a whole byte-view segment, re-read as characters for UTF-8 rules."""
+    raw = [p for p in plans if not p.rule.utf8]
+    utf = [p for p in plans if p.rule.utf8]
+    parts = [segment_events(s, raw)] if raw else []
+    if utf:
+        chars = S.whole(S.char_view(S.as_text(s["text"], False)), True)
+        parts.append(S.let(chars[0], lambda c: segment_events(c, utf)))
+    return F.concat(*parts)
 
 
 def scan_one(df: DataFrame, expression: str, flags: str = "", **options) -> DataFrame:

@@ -22,7 +22,7 @@ def session_ids(packets: DataFrame, key: Sequence[str] = SESSION_KEY, order: str
     one task.
     """
     firsts = packets.groupBy(*key).agg(F.min(F.col(order).cast("bigint")).alias("first_no"))
-    return running_before(firsts, [], "first_no", sums={"stream_id": F.lit(1)})
+    return running_before(firsts, [], "first_no", {"stream_id": F.lit(1)})
 
 
 def sessionize(packets: DataFrame, key: Sequence[str] = SESSION_KEY, order: str = "packet_no") -> DataFrame:

@@ -50,14 +50,14 @@ def with_offsets(chunks: DataFrame) -> DataFrame:
         control.alias("control"), at.cast("bigint").alias("at"),
     ).withColumn("n", F.octet_length("data").cast("bigint"))
     if "control" not in names:
-        placed = running_before(rows, ["stream_id"], "seq", sums={"off": F.col("n")})
+        placed = running_before(rows, ["stream_id"], "seq", {"off": F.col("n")})
         return placed.where(F.col("n") > 0).select(
             "stream_id", F.lit(0).cast("bigint").alias("epoch"), "seq", "off", "data", F.lit(False).alias("silent"))
     opens = F.coalesce(F.col("control").isin(RESET, RESTORE), F.lit(False))
     restores = F.coalesce(F.col("control") == RESTORE, F.lit(False))
     advance = F.when(restores, F.coalesce("at", "n")).otherwise(F.when(opens, F.lit(0)).otherwise(F.col("n")))
-    placed = running_before(rows, ["stream_id"], "seq", sums={"total": advance, "epochs": opens.cast("int")})
-    placed = running_before(placed, ["stream_id"], "seq", maxes={"since": F.when(opens, F.col("total"))})
+    placed = running_before(
+        rows, ["stream_id"], "seq", {"total": advance, "epochs": opens.cast("int")}, at_last={"since": ("total", opens)})
     start = F.when(opens, F.col("total")).otherwise(F.coalesce("since", F.lit(0)))
     off = F.col("total") - start + F.when(restores, F.coalesce("at", "n") - F.col("n")).otherwise(F.lit(0))
     return placed.where((F.col("n") > 0) & (restores | ~opens)).select(

@@ -7,9 +7,11 @@ the same column expressions as in batch, spread over all tasks.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,9 @@ from ..functions import spans as S
 from ..operators.scan import _Plan, segment_events, split_rules
 from .batch import CLOSE, RESET, RESTORE, _as_characters, _context
 
+# workers need the two processors below, not an installed copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Bytes by which rules that look right are reported late: one whole character of context.
 HOLD = 8
