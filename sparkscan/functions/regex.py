@@ -17,6 +17,11 @@ from dataclasses import dataclass
 MAX_LOOKBEHIND = 128
 # Unrolled repeats may not blow the look-behind up beyond this many characters.
 MAX_UNROLLED = 20_000
+# The JVM works on UTF-16 halves. No position between two halves may match, and a
+# character beyond the basic plane in the pattern (in a part that is always true)
+# makes look-behinds count whole characters.
+NOT_BETWEEN_HALVES = "(?![\\x{dc00}-\\x{dfff}])"
+WHOLE_CHARACTERS = "(?!\U0001f600(?!))" + NOT_BETWEEN_HALVES
 # Characters to the right of an end offset that an assertion can depend on.
 RIGHT_CONTEXT = 2
 
@@ -75,6 +80,11 @@ class Prepared:
     plain: str | None  # the rule is this plain text, in its view
     literal: str | None  # same, and case matters
     groups: int
+    guard: str  # keeps the JVM to whole characters; empty in the byte view
+
+    def behind(self, body: str) -> str:
+        """Pattern for the positions a match of ``body`` ends at."""
+        return f"{self.flags}(?<=(?:{body})){self.guard}"
 
 
 _SPELLING = re.compile(
@@ -418,13 +428,19 @@ def prepare(expression: str, flags=(), *, kind: str = "regex") -> Prepared:
     if not _width(tail)[0]:
         tail_text = tail_open = "[\\s\\S]"
 
+    guard = WHOLE_CHARACTERS if "8" in flags else ""
+
+    def whole(body: str) -> str:
+        start = NOT_BETWEEN_HALVES if lo == 0 else ""
+        return prefix + (f"{start}(?:{body}){guard}" if guard else body)
+
     right = {rc.AT_END, rc.AT_END_STRING, rc.AT_BOUNDARY, rc.AT_NON_BOUNDARY}
     ats = [av for op, av in ops if op is rc.AT]
     is_text = bool(items) and all(op is rc.LITERAL for op, _ in items)
     plain = "".join(chr(av) for _, av in items) if is_text else None
     return Prepared(
-        java=prefix + emit(items, capture=kind == "pcre"),
-        java_open=prefix + emit(items, open_end=True, capture=kind == "pcre"),
+        java=whole(emit(items, capture=kind == "pcre")),
+        java_open=whole(emit(items, open_end=True, capture=kind == "pcre")),
         flags=prefix,
         min_width=lo,
         max_width=hi,
@@ -438,6 +454,7 @@ def prepare(expression: str, flags=(), *, kind: str = "regex") -> Prepared:
         plain=plain,
         literal=None if bits & re.IGNORECASE else plain,
         groups=tree.state.groups - 1,
+        guard=guard,
     )
 
 
@@ -559,7 +576,8 @@ def captures(expression: str, flags=()) -> Captures:
             preceding.append(slot)
         return text
 
-    java = plain.flags + pieces(list(tree), [], False)
+    start = NOT_BETWEEN_HALVES if plain.guard and plain.min_width == 0 else ""
+    java = f"{plain.flags}{start}(?:{pieces(list(tree), [], False)}){plain.guard}"
     names = {number: name for name, number in tree.state.groupdict.items()}
     return Captures(java, slots, before, names, optional, counter[0])
 

@@ -107,7 +107,7 @@ def mark_ends(text: Column, p: Prepared, open_end: bool = False) -> Column:
     if p.literal and not overlaps_itself(p.literal):
         return F.regexp_replace(text, F.lit(p.flags + quote(p.literal)), F.lit("$0" + MARK))
     body = p.ends_open if open_end else p.ends
-    return F.regexp_replace(text, F.lit(f"{p.flags}(?<=(?:{body}))"), F.lit(MARK))
+    return F.regexp_replace(text, F.lit(p.behind(body)), F.lit(MARK))
 
 
 def gate(text: Column, p: Prepared) -> Column:
@@ -256,7 +256,7 @@ def history_events(
     tail = p.tail_open if open_end else p.tail
 
     def in_run(r: Column) -> Column:
-        marked = F.regexp_replace(r["text"], F.lit(f"{p.flags}(?<=(?:{tail}))"), F.lit(MARK))
+        marked = F.regexp_replace(r["text"], F.lit(p.behind(tail)), F.lit(MARK))
 
         def confirm(q: Column) -> Column:
             found = matched_before(r["text"], q["c"], p, open_end, None)
@@ -276,7 +276,7 @@ def history_events(
         return F.when(gate(text, p), events).otherwise(no_events())
     # The rule also matches empty, so it ends at every offset; where it does not
     # match text, the match starts where it ends.
-    every = points(F.regexp_replace(text, F.lit("(?<=[\\s\\S])"), F.lit(MARK)), utf8)
+    every = points(F.regexp_replace(text, F.lit(p.behind("[\\s\\S]")), F.lit(MARK)), utf8)
     every = F.filter(F.transform(every, lambda q: base + q["b"]), lambda b: (b > lo) & (b <= hi))
     if not som:
         return F.transform(every, lambda b: _event(pattern_id, F.lit(0), b))
