@@ -53,24 +53,27 @@ def approx_events(
     def window(start: Column, end: Column) -> Column:
         return F.struct(start.cast("bigint").alias("s"), end.cast("bigint").alias("e"))
 
+    # edits before the piece move the start, edits after it the end: together at most k
+    shifts = [(0, 0)] if not edit else [(a, c) for a in range(-k, k + 1) for c in range(-k, k + 1) if abs(a) + abs(c) <= k]
+    moves = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(c).alias("c")) for a, c in shifts])
+
     def around(at: int, piece: str) -> Column:
-        hits = _piece_hits(text, piece, caseless)
-        if not edit:
-            return F.transform(hits, lambda p: window(p - at, p - at + size))
-        # the piece may sit up to k characters from its own place, and the window be k shorter or longer
-        offsets = F.array(*[F.lit(d) for d in range(-k, k + 1)])
+        """Close windows around each hit, compared inside one cut of the text."""
 
-        def starts(p: Column) -> Column:
-            return F.flatten(F.transform(
-                offsets, lambda a: F.transform(offsets, lambda b: window(p - at + a, p - at + a + size + b))))
+        def near(p: Column) -> Column:
+            first = F.greatest(p - at - k, F.lit(0).cast("bigint"))
+            cut = fold(F.substring(text, first.cast("int") + 1, F.lit(size + 4 * k)))
+            return let(F.struct(first.alias("first"), cut.alias("cut")), lambda c: F.filter(
+                F.transform(moves, lambda m: window(p - at + m["a"], p - at + size + m["c"])),
+                lambda w: close(w, c)))
 
-        return F.flatten(F.transform(hits, starts))
+        return F.flatten(F.transform(_piece_hits(text, piece, caseless), near))
 
-    def close(w: Column) -> Column:
-        cut = fold(F.substring(text, w["s"].cast("int") + 1, (w["e"] - w["s"]).cast("int")))
+    def close(w: Column, c: Column) -> Column:
+        piece = F.substring(c["cut"], (w["s"] - c["first"]).cast("int") + 1, (w["e"] - w["s"]).cast("int"))
         inside = (w["s"] >= 0) & (w["e"] <= n) & (w["e"] > w["s"]) & (base + w["e"] > lo) & (base + w["e"] <= hi)
-        near = F.levenshtein(cut, F.lit(target), k) >= 0 if edit else _differences(cut, target) <= k
-        return inside & near
+        alike = F.levenshtein(piece, F.lit(target), k) >= 0 if edit else _differences(piece, target) <= k
+        return inside & alike
 
     windows = F.array_distinct(F.concat(*[around(at, piece) for at, piece in pieces]))
 
@@ -78,9 +81,8 @@ def approx_events(
         ends = F.array_distinct(F.transform(ws, lambda w: w["e"]))
         if not som:
             return F.transform(ends, lambda e: _event(pattern_id, F.lit(0), base + e))
-        # windows are in ascending order: the first one with an end has its leftmost start
         return F.transform(ends, lambda e: _event(
             pattern_id, base + F.array_min(F.transform(F.filter(ws, lambda w: w["e"] == e), lambda w: w["s"])), base + e))
 
     some_piece = alternation([p for _, p in pieces], caseless)
-    return F.when(text.rlike(some_piece), let(F.filter(windows, close), events)).otherwise(no_events())
+    return F.when(text.rlike(some_piece), let(windows, events)).otherwise(no_events())

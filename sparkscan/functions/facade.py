@@ -33,24 +33,30 @@ class Regex:
             raise RuleError("pattern matches empty buffer")
 
     def is_match(self, text: Column) -> Column:
-        return text.rlike(self.p.java)
+        return S.gate(text, self.p)
+
+    def _matches(self, text: Column) -> Column:
+        return S.matches(text, self.p.java, True, matching=S.gate(text, self.p))
 
     def find(self, text: Column) -> Column:
         """First match or NULL. Both expressions stop at it; the rest of the text is not searched."""
         java = self.p.java
 
         def first(v: Column) -> Column:
-            start = F.octet_length(F.split(v, java, 2)[0])
-            found = F.regexp_extract(v, java, 0)
-            return F.when(found != "", F.struct(
-                start.cast("bigint").alias("from"),
-                (start + F.octet_length(found)).cast("bigint").alias("to"),
-                found.alias("text")))
+            def placed(m: Column) -> Column:
+                start, found = m["start"], m["found"]
+                return F.struct(
+                    start.cast("bigint").alias("from"), (start + F.octet_length(found)).cast("bigint").alias("to"),
+                    found.alias("text"))
+
+            both = F.struct(
+                F.octet_length(F.split(v, java, 2)[0]).alias("start"), F.regexp_extract(v, java, 0).alias("found"))
+            return F.when(S.gate(v, self.p), S.let(both, placed))
 
         return S.let(S.char_view(text), first)
 
     def find_iter(self, text: Column) -> Column:
-        found = S.let(S.char_view(text), lambda v: S.matches(v, self.p.java, True))
+        found = S.let(S.char_view(text), self._matches)
         return F.transform(found, lambda m: F.struct(m["from"], m["to"], m["text"]))
 
     def split(self, text: Column) -> Column:
@@ -76,7 +82,7 @@ class Regex:
             return F.filter(F.concat(pairs, F.array(part("reject", last, n))), lambda p: p["to"] > p["from"])
 
         def build(v: Column) -> Column:
-            return S.let(F.struct(S.matches(v, self.p.java, True).alias("ms"), F.octet_length(v).alias("n")), cover)
+            return S.let(F.struct(self._matches(v).alias("ms"), F.octet_length(v).alias("n")), cover)
 
         raw = text.cast("binary")
         parts = S.let(S.char_view(text), build)

@@ -81,6 +81,8 @@ class Prepared:
     literal: str | None  # same, and case matters
     groups: int
     guard: str  # keeps the JVM to whole characters; empty in the byte view
+    exists: str  # matches somewhere exactly if the rule does, with the optional edges left out
+    needed: str  # every match contains this text (empty if none is known or its case is free)
 
     def behind(self, body: str) -> str:
         """Pattern for the positions a match of ``body`` ends at."""
@@ -318,6 +320,24 @@ def _shortest_lead(items) -> list:
     return out
 
 
+def _shortest_end(items) -> list:
+    """Drop the optional iterations a match ends with: some match exists either way."""
+    out = list(items)
+    while out:
+        op, av = out[-1]
+        if op in (rc.MAX_REPEAT, rc.MIN_REPEAT):
+            lo, hi, body = av
+            if lo == 0:
+                out.pop()
+                continue
+            out[-1] = (op, (lo, lo, body))
+        elif op is rc.SUBPATTERN:
+            number, add, drop, body = av
+            out[-1] = (op, (number, add, drop, _shortest_end(body)))
+        break
+    return out
+
+
 def _bounded_tail(items) -> list:
     """Longest bounded end of the sequence: a necessary condition at each end offset."""
     tail: list = []
@@ -429,6 +449,9 @@ def prepare(expression: str, flags=(), *, kind: str = "regex") -> Prepared:
         tail_text = tail_open = "[\\s\\S]"
 
     guard = WHOLE_CHARACTERS if "8" in flags else ""
+    refers = any(op in (rc.GROUPREF, rc.GROUPREF_EXISTS) for op, _ in ops)
+    shortest = items if refers or lo == 0 else _shortest_end(_shortest_lead(items))
+    needed = "" if bits & re.IGNORECASE else _longest_text(items, bits)
 
     def whole(body: str) -> str:
         start = NOT_BETWEEN_HALVES if lo == 0 else ""
@@ -455,6 +478,8 @@ def prepare(expression: str, flags=(), *, kind: str = "regex") -> Prepared:
         literal=None if bits & re.IGNORECASE else plain,
         groups=tree.state.groups - 1,
         guard=guard,
+        exists=whole(emit(shortest, capture=refers)),
+        needed=needed if len(needed) > 1 or not needed.isalnum() else "",
     )
 
 
@@ -588,10 +613,14 @@ def required_text(expression: str, flags=(), *, kind: str = "regex") -> tuple[st
     if kind == "literal":
         return (expression if "8" in flags else as_bytes_view(expression)), "i" in flags
     tree, bits = _parse(expression, flags)
+    return _longest_text(list(tree), bits), bool(bits & re.IGNORECASE)
+
+
+def _longest_text(items, bits: int) -> str:
     runs = [""]
 
-    def visit(items) -> None:
-        for op, av in items:
+    def visit(part) -> None:
+        for op, av in part:
             if op is rc.LITERAL and not (bits & re.IGNORECASE and av > 127):
                 runs[-1] += chr(av)
             elif op is rc.AT:
@@ -607,5 +636,5 @@ def required_text(expression: str, flags=(), *, kind: str = "regex") -> tuple[st
             else:
                 runs.append("")
 
-    visit(list(tree))
-    return max(runs, key=len), bool(bits & re.IGNORECASE)
+    visit(items)
+    return max(runs, key=len)

@@ -111,7 +111,11 @@ def mark_ends(text: Column, p: Prepared, open_end: bool = False) -> Column:
 
 
 def gate(text: Column, p: Prepared) -> Column:
-    return text.contains(p.literal) if p.literal else text.rlike(p.java)
+    """Whether the rule matches somewhere: a byte search for text it needs, then its shortest form."""
+    if p.literal:
+        return text.contains(p.literal)
+    found = text.rlike(p.exists)
+    return text.contains(p.needed) & found if p.needed else found
 
 
 def matched_before(text: Column, c: Column, p: Prepared, open_end: bool, width: int | None) -> Column:
@@ -190,7 +194,7 @@ def window_events(
     return F.coalesce(F.transform(inside, event), no_events())
 
 
-def _runs(text: Column, p: Prepared, utf8: bool) -> Column:
+def _runs(text: Column, p: Prepared, tail: str, utf8: bool) -> Column:
     """Stretches of the text a match cannot leave: ``array<struct<text,c,b,lo,hi>>``.
 
     Every match consists of characters of the rule's cover class only, so it
@@ -204,7 +208,9 @@ def _runs(text: Column, p: Prepared, utf8: bool) -> Column:
 
     if p.cover is None:
         return F.array(run(text, F.lit(0), F.lit(0), F.lit(0), F.length(text)))
-    marked = F.regexp_replace(text, F.lit(f"{p.flags}{p.cover}+"), F.lit(f"{MARK}$0{CLOSE}"))
+    # only runs that hold an end of the rule's tail are cut out; the others stay in the gaps
+    one_run = f"{p.flags}(?<!{p.cover})(?={p.cover}*?(?:{tail})){p.cover}++{p.guard}"
+    marked = F.regexp_replace(text, F.lit(one_run), F.lit(f"{MARK}$0{CLOSE}"))
 
     def lay_out(parts: Column) -> Column:
         runs = F.transform(parts, lambda x: F.substring_index(x, CLOSE, 1))
@@ -268,7 +274,7 @@ def history_events(
         candidates = F.filter(points(marked, utf8), lambda q: (q["c"] > r["lo"]) & (q["c"] <= r["hi"]))
         return F.filter(F.transform(candidates, confirm), lambda e: e["n"] > 0)
 
-    runs = F.filter(_runs(text, p, utf8), lambda r: r["text"].rlike(p.java))
+    runs = F.filter(_runs(text, p, tail, utf8), lambda r: r["text"].rlike(p.java))
     inside = F.filter(F.flatten(F.transform(runs, in_run)), lambda e: (base + e["b"] > lo) & (base + e["b"] <= hi))
     start = (lambda e: base + e["b"] - e["n"]) if som else (lambda e: F.lit(0))
     events = F.transform(inside, lambda e: _event(pattern_id, start(e), base + e["b"]))
@@ -347,11 +353,13 @@ def as_text(piece: Column, utf8: bool) -> Column:
     return piece if utf8 else F.decode(F.encode(piece, "ISO-8859-1"), "UTF-8")
 
 
-def matches(view: Column, java: str, utf8: bool, groups: int = 0) -> Column:
+def matches(view: Column, java: str, utf8: bool, groups: int = 0, matching: Column | None = None) -> Column:
     """Leftmost, greedy, non-overlapping matches with byte offsets.
 
     ``array<struct<from,to,text,caps>>``; ``caps`` holds the text of captures 1..groups.
+    ``matching`` tells whether there is a match at all.
     """
+    matching = view.rlike(java) if matching is None else matching
     caps = "".join(f"{CLOSE}${g}" for g in range(1, groups + 1))
     marked = F.regexp_replace(view, F.lit(java), F.lit(f"{MARK}$0{caps}{CLOSE}"))
 
@@ -376,4 +384,4 @@ def matches(view: Column, java: str, utf8: bool, groups: int = 0) -> Column:
         return let(F.transform(tail, fields), place)
 
     none = F.array().cast("array<struct<from:bigint,to:bigint,text:string,caps:array<string>>>")
-    return F.when(view.rlike(java), let(F.split(marked, MARK, -1), lay_out)).otherwise(none)
+    return F.when(matching, let(F.split(marked, MARK, -1), lay_out)).otherwise(none)

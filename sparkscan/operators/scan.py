@@ -19,7 +19,7 @@ from ..functions.approx import approx_events
 from ..functions.regex import MAX_LOOKBEHIND, RuleError, alternation, captures, quote
 from .rules import MAX_RULES, Rule, check_rules, rule_list
 
-BLOCK = 8192
+BLOCK = 4096
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -484,8 +484,9 @@ def _pcre_events(view: Column, r: Rule, groups: bool) -> Column:
         caps = captures(r.expression, r.flags) if groups else None
     except RuleError as e:
         raise RuleError(str(e), r.ord) from e
+    matching = S.gate(view, p)
     if not groups:
-        return F.transform(S.matches(view, p.java, r.utf8), lambda m: S._event(r.pattern_id, m["from"], m["to"]))
+        return F.transform(S.matches(view, p.java, r.utf8, matching=matching), lambda m: S._event(r.pattern_id, m["from"], m["to"]))
 
     def capture(m: Column, g: int) -> Column:
         text = m["caps"][caps.slots[g] - 1]
@@ -509,4 +510,4 @@ def _pcre_events(view: Column, r: Rule, groups: bool) -> Column:
         return F.struct(F.lit(r.pattern_id).cast("int").alias("pattern_id"), m["from"].alias("from"),
                         m["to"].alias("to"), listed.alias("captures"))
 
-    return F.transform(S.matches(view, caps.java, r.utf8, caps.count), event)
+    return F.transform(S.matches(view, caps.java, r.utf8, caps.count, matching), event)

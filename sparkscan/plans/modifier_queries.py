@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.control import apply_horizon, handle_matches, limited_pcre_scan, scan_errors, skip_rule, terminate
 from ..operators.scan import pcre_scan, scan
@@ -153,7 +154,7 @@ def udf_error_handler(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def stop_late(end: pd.Series, pattern_id: pd.Series) -> pd.Series:
     """Handler: leave rule 2 after offset 300, stop the haystack after offset 1000."""
     answer = pd.Series("continue", index=end.index)
@@ -173,7 +174,7 @@ def udf_match_handler(spark: SparkSession, sf_dir: str) -> DataFrame:
     return handle_matches(found, stop_late(F.col("to"), F.col("pattern_id")))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def initials(first: pd.Series, second: pd.Series) -> pd.Series:
     """Handler of captures: the initials of a pair of capitalised words."""
     return first.str[:1] + second.str[:1]

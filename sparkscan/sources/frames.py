@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.spans import byte_view
+from ..functions import spans as S
 
 # Fixed values from the IPv4, TCP and UDP headers.
 ETHERNET_HEADER = 14
@@ -15,7 +15,7 @@ UDP_HEADER = 8
 
 
 def _u8(view: Column, at: Column | int) -> Column:
-    return F.ascii(F.substring(view, F.lit(at) + 1 if isinstance(at, int) else at + 1, F.lit(1)))
+    return F.ascii(F.substring(view, at + 1, 1))
 
 
 def _u16(view: Column, at: Column | int) -> Column:
@@ -29,36 +29,37 @@ def _address(view: Column, at: int) -> Column:
 def decode_frames(frames: DataFrame, *, frame: str = "frame", order: str = "packet_no") -> DataFrame:
     """``(packet_no, proto, src, sport, dst, dport, payload)`` of whole TCP and UDP packets over IPv4.
 
-    Other frames, fragments and empty payloads are left out.
+    Other frames, fragments and empty payloads are left out. A frame is decoded
+    once, inside one row expression, and read again only for its payload.
     """
     ip = ETHERNET_HEADER
-    v = F.col("v")
-    heads = frames.select(order, frame, F.decode(F.substring(F.col(frame), 1, ip + 60), "ISO-8859-1").alias("v"))
-    kept = heads.where(
-        (_u16(v, 12) == IPV4_ETHERTYPE)
-        & (F.shiftright(_u8(v, ip), 4) == 4)
-        & (_u16(v, ip + 6).bitwiseAND(0x3FFF) == 0)
-        & _u8(v, ip + 9).isin(TCP, UDP)
-    )
-    kept = kept.select(
-        order, frame,
-        _u8(v, ip + 9).alias("proto"), _address(v, ip + 12).alias("src"), _address(v, ip + 16).alias("dst"),
-        (_u8(v, ip).bitwiseAND(15) * 4 + ip).alias("l4"),
-        F.least(_u16(v, ip + 2) + ip, F.octet_length(frame)).alias("end"),
-    )
-    head = byte_view(F.substring(F.col(frame), F.col("l4") + 1, F.lit(20)))
-    opened = kept.withColumn("h", head).select(
-        order, frame, "proto", "src", "dst", "l4", "end", "h",
-        _u16(F.col("h"), 0).alias("sport"), _u16(F.col("h"), 2).alias("dport"),
-    )
-    h = F.col("h")
-    tcp_at = F.shiftright(_u8(h, 12), 4) * 4
-    start = F.col("l4") + F.when(F.col("proto") == TCP, tcp_at).otherwise(UDP_HEADER)
-    stop = F.when(F.col("proto") == UDP, F.least(F.col("end"), F.col("l4") + _u16(h, 4))).otherwise(F.col("end"))
-    sized = opened.withColumn("start", start).withColumn("n", stop - F.col("start")).where(F.col("n") > 0)
-    return sized.select(
-        order, "proto", "src", "sport", "dst", "dport",
-        F.substring(F.col(frame), F.col("start") + 1, F.col("n")).alias("payload"))
+
+    def fields(f: Column) -> Column:
+        def packet(v: Column) -> Column:
+            heads = F.struct(
+                v.alias("v"), (_u8(v, ip).bitwiseAND(15) * 4 + ip).alias("l4"), _u8(v, ip + 9).alias("proto"),
+                F.least(_u16(v, ip + 2) + ip, F.octet_length(f)).alias("end"))
+            return S.let(heads, body)
+
+        def body(h: Column) -> Column:
+            v, l4, proto = h["v"], h["l4"], h["proto"]
+            tcp = proto == TCP
+            start = l4 + F.when(tcp, F.shiftright(_u8(v, l4 + 12), 4) * 4).otherwise(UDP_HEADER)
+            stop = F.when(tcp, h["end"]).otherwise(F.least(h["end"], l4 + _u16(v, l4 + 4)))
+            whole_packet = (
+                (_u16(v, 12) == IPV4_ETHERTYPE) & (F.shiftright(_u8(v, ip), 4) == 4)
+                & (_u16(v, ip + 6).bitwiseAND(0x3FFF) == 0) & proto.isin(TCP, UDP))
+            return F.struct(
+                proto.alias("proto"), _address(v, ip + 12).alias("src"), _u16(v, l4).alias("sport"),
+                _address(v, ip + 16).alias("dst"), _u16(v, l4 + 2).alias("dport"),
+                F.when(whole_packet, F.substring(f, start + 1, stop - start)).alias("payload"))
+
+        # the largest IPv4 header and a TCP header
+        return S.let(F.decode(F.substring(f, F.lit(1), F.lit(ip + 80)), "ISO-8859-1"), packet)
+
+    decoded = F.transform(F.array(F.col(frame)), fields)
+    kept = F.filter(decoded, lambda p: F.coalesce(F.octet_length(p["payload"]) > 0, F.lit(False)))
+    return frames.select(order, F.inline(kept))
 
 
 def encode_frames(packets: DataFrame, *, order: str = "packet_no") -> DataFrame:
