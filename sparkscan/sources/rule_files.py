@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import spans as S
 from ..operators.rules import EXT_KEYS, EXT_TYPE, FLAGS, RULES_SCHEMA
 
 LINE = r"(?s)^/(.*)/([^/]*)$"
@@ -20,41 +21,41 @@ def parse_rules(lines: DataFrame, kind: str = "regex", *, line: str = "line", or
 
     Blank lines and lines starting with ``#`` are left out.
     """
-    text = F.trim(F.col(line))
-    body = F.regexp_replace(F.col("__text"), r"^\d+:(?=/)", "")
-    tail = F.regexp_extract(F.col("__body"), LINE, 2)
-    bracketed = F.col("__tail").endswith("}") & F.col("__tail").contains("{") & F.lit(kind == "regex")
-    ext_text = F.regexp_extract(F.col("__tail"), r"\{([^{]*)\}$", 1)
+    at = F.col(ord).cast("int")
     allowed = "|".join(EXT_KEYS)
-    good_ext = F.col("__ext").rlike(rf"^(?:(?:{allowed})=\d+(?:,(?=.)|$))*$")
-    good_flags = F.col("__flags").rlike(f"^[{FLAGS[kind]}]*$")
-    step = (
-        lines.select(F.col(ord).cast("int").alias("ord"), text.alias("__text"), *keep)
-        .where((F.col("__text") != "") & ~F.col("__text").startswith("#"))
-        .withColumn("__body", body)
-        .withColumn("__wrapped", F.col("__body").rlike(LINE))
-        .withColumn("__tail", tail)
-        .withColumn("__flags", F.when(bracketed, F.regexp_replace(F.col("__tail"), r"\{[^{]*\}$", "")).otherwise(F.col("__tail")))
-        .withColumn("__ext", F.when(bracketed, ext_text).otherwise(F.lit("")))
-    )
-    problem = F.concat(F.lit("rule "), F.col("ord").cast("string"), F.lit(": cannot read "), F.col("__text"))
-    number = _blank_as_null(F.regexp_extract("__text", r"^(\d+):/", 1)).cast("int")
-    expression = F.when(F.col("__wrapped"), F.regexp_extract("__body", LINE, 1)).otherwise(F.col("__body"))
-    flags = F.filter(F.array(*[F.lit(f) for f in FLAGS["regex"]]), lambda f: F.col("__flags").contains(f))
-    ext = F.struct(*[
-        _blank_as_null(F.regexp_extract("__ext", rf"\b{f.name}=(\d+)", 1)).cast(f.dataType).alias(f.name)
-        for f in EXT_TYPE.fields
-    ])
-    return step.select(
-        "ord",
-        F.coalesce(number, F.col("ord")).alias("pattern_id"),
-        F.lit(kind).alias("kind"),
-        F.when(good_flags & good_ext, expression).otherwise(F.raise_error(problem).cast("string")).alias("expression"),
-        flags.alias("flags"),
-        ext.alias("ext"),
-        F.lit(None).cast("string").alias("som"),
-        *keep,
-    )
+
+    def read(text: Column) -> Column:
+        body = F.regexp_replace(text, r"^\d+:(?=/)", "")
+        number = _blank_as_null(F.regexp_extract(text, r"^(\d+):/", 1)).cast("int")
+        heads = F.struct(
+            text.alias("text"), F.coalesce(number, at).alias("id"), body.rlike(LINE).alias("wrapped"),
+            F.regexp_extract(body, LINE, 1).alias("inner"), F.regexp_extract(body, LINE, 2).alias("tail"), body.alias("body"))
+        return S.let(heads, split)
+
+    def split(h: Column) -> Column:
+        bracketed = F.lit(kind == "regex") & h["tail"].endswith("}") & h["tail"].contains("{")
+        flags = F.when(bracketed, F.regexp_replace(h["tail"], r"\{[^{]*\}$", "")).otherwise(h["tail"])
+        ext = F.when(bracketed, F.regexp_extract(h["tail"], r"\{([^{]*)\}$", 1)).otherwise(F.lit(""))
+        return S.let(F.struct(h.alias("h"), flags.alias("flags"), ext.alias("ext")), rule)
+
+    def rule(r: Column) -> Column:
+        h = r["h"]
+        good = r["flags"].rlike(f"^[{FLAGS[kind]}]*$") & r["ext"].rlike(rf"^(?:(?:{allowed})=\d+(?:,(?=.)|$))*$")
+        problem = F.concat(F.lit("rule "), at.cast("string"), F.lit(": cannot read "), h["text"])
+        expression = F.when(h["wrapped"], h["inner"]).otherwise(h["body"])
+        return F.struct(
+            at.alias("ord"), h["id"].alias("pattern_id"), F.lit(kind).alias("kind"),
+            F.when(good, expression).otherwise(F.raise_error(problem).cast("string")).alias("expression"),
+            F.filter(F.array(*[F.lit(f) for f in FLAGS["regex"]]), lambda f: r["flags"].contains(f)).alias("flags"),
+            F.struct(*[
+                _blank_as_null(F.regexp_extract(r["ext"], rf"\b{f.name}=(\d+)", 1)).cast(f.dataType).alias(f.name)
+                for f in EXT_TYPE.fields
+            ]).alias("ext"),
+            F.lit(None).cast("string").alias("som"))
+
+    texts = F.filter(F.array(F.trim(F.col(line))), lambda t: (t != "") & ~t.startswith("#"))
+    parsed = lines.select(*keep, F.inline(F.transform(texts, read)))
+    return parsed.select(*RULES_SCHEMA.names, *keep)
 
 
 def format_rules(rules: DataFrame, *, line: str = "line", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -82,7 +82,11 @@ def blocks_of(placed: DataFrame, left: int, right: int, size: int = STREAM_BLOCK
     cut = dealt.select(
         "stream_id", "epoch", "block", start.alias("s"), end.alias("e"), "silent",
         F.decode(piece, "ISO-8859-1").alias("piece"))
-    grouped = cut.groupBy("stream_id", "epoch", "block").agg(
+    # the search that follows is CPU bound: keep the configured number of partitions, which
+    # AQE would otherwise merge by size; the grouping below needs no exchange of its own
+    key = ["stream_id", "epoch", "block"]
+    parts = int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grouped = cut.repartition(parts, *key).groupBy(*key).agg(
         F.array_sort(F.collect_list(F.struct("s", "piece"))).alias("pieces"),
         F.max(F.when(F.col("silent"), F.col("e"))).alias("quiet"),
         F.max("e").alias("end"),
