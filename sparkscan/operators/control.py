@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numbering import spread_join
 from .rules import Rule, rule_list
 from .scan import pcre_scan
 
@@ -71,8 +72,9 @@ def handle_matches(matches: DataFrame, action: Column, keys: Sequence[str] = ("d
         F.min(F.when(F.col("__action") == "skip", F.col("__at"))).alias("__skip"))
     first = first.withColumn("__stop", F.min("__stop").over(Window.partitionBy(*keys)))
     first = first.where(F.col("__stop").isNotNull() | F.col("__skip").isNotNull())
+    # a haystack or rule with very many events is spread over partitions
     return (
-        marked.join(first, [*keys, "pattern_id"], "left")
+        spread_join(marked, first, [*keys, "pattern_id"], "to", "left")
         .where(F.col("__stop").isNull() | (F.col("__at") <= F.col("__stop")))
         .where(F.col("__skip").isNull() | (F.col("__at") <= F.col("__skip")))
         .select(*matches.columns)
@@ -144,14 +146,7 @@ def limited_pcre_scan(
     return pcre_scan(df, plain, payload=payload, skip=skip, **options)
 
 
-def matched_text(matches: DataFrame, docs: DataFrame, *, payload: str = "text", keys: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """Text of each event, for events that were stored without it (needs start offsets)."""
-    at, n = F.col("from").cast("int") + 1, (F.col("to") - F.col("from")).cast("int")
-    piece = F.substring(F.col(payload).cast("binary"), at, n).cast("string")
-    return matches.join(docs.select(*keys, payload), list(keys)).select(*matches.columns, piece.alias("text"))
-
-
 __all__ = [
-    "apply_horizon", "handle_matches", "limited_pcre_scan", "matched_text", "scan_errors", "single_match",
-    "skip_rule", "terminate", "within",
+    "apply_horizon", "handle_matches", "limited_pcre_scan", "scan_errors", "single_match", "skip_rule",
+    "terminate", "within",
 ]

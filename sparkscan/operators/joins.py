@@ -37,12 +37,14 @@ def token_counts(docs: DataFrame, *, token: str = "[A-Za-z]+", payload: str = "t
 def dictionary_hits(docs: DataFrame, literals: DataFrame, *, token: str = "[A-Za-z]+", payload: str = "text") -> DataFrame:
     """Whole-token hits of a literal dictionary of any size: ``(pattern_id, hits)``.
 
-    Tokens are counted before the join, so it sees each distinct token once and
-    frequent words are not a skewed key. No side is forced to be broadcast.
+    Tokens are counted before the join and matched with the distinct literals
+    first, so both sides hold a token once. Only what is left goes back to the
+    rules, spread out in case very many rules share a literal.
     """
     counted = token_counts(docs, token=token, payload=payload)
     wanted = literals.select("pattern_id", F.col("expression").alias("token"))
-    return wanted.join(counted, "token").groupBy("pattern_id").agg(F.sum("n").alias("hits"))
+    known = wanted.select("token").distinct().join(counted, "token")
+    return spread_join(wanted, known, ["token"], "pattern_id").groupBy("pattern_id").agg(F.sum("n").alias("hits"))
 
 
 def dictionary_pairs(
@@ -51,9 +53,8 @@ def dictionary_pairs(
     """``(doc_id, pattern_id, hits)`` for a dictionary of any size, hot tokens salted."""
     words = docs.select(key, F.explode(F.regexp_extract_all(F.col(payload), F.lit(token), F.lit(0))).alias("token"))
     counted = words.groupBy(key, "token").agg(F.count("*").alias("hits"))
-    wanted = literals.groupBy(F.col("expression").alias("token")).agg(F.collect_set("pattern_id").alias("ids"))
-    pairs = spread_join(counted, wanted, ["token"], key)
-    return pairs.select(key, F.explode("ids").alias("pattern_id"), "hits")
+    wanted = literals.select("pattern_id", F.col("expression").alias("token")).distinct()
+    return spread_join(counted, wanted, ["token"], key).select(key, "pattern_id", "hits")
 
 
 def prefilter(rule: Rule | str, payload: Column) -> Column:

@@ -341,7 +341,7 @@ def _members(df: DataFrame, texts: dict[str, list[Rule]], utf8: bool) -> DataFra
             for r in texts.get(found[:n], ()):
                 size = len(found[:n].encode("utf-8")) if utf8 else n
                 rows.append((found, r.pattern_id, size, "L" in r.flags))
-    if len(rows) > 100 * MAX_RULES:
+    if len(rows) > 10 * MAX_RULES:
         raise RuleError("too many nested literals for one lookup")
     return df.sparkSession.createDataFrame(rows, "found string, pattern_id int, size bigint, som boolean")
 

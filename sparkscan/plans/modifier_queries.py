@@ -113,7 +113,7 @@ def combination_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""SELECT stream_id, pattern_id, CASE WHEN "to" - "from" <= 8 THEN "from" ELSE -1 END::BIGINT AS "from", "to"
 FROM ({spans("[0-9A-Za-z_]+[.]", source=STREAMS, key="stream_id")})""")
 def som_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return apply_horizon(stream_scan(conversations(spark, sf_dir), [r"/\w+[.]/L"], horizon=1024), 8)
+    return apply_horizon(stream_scan(conversations(spark, sf_dir), [r"/\w+[.]/L"]), 8)
 
 
 TWO_RULES = union(events(spans("tion", 0)), events(spans("(?i)license", 1)), events(spans("e+r", 2)))

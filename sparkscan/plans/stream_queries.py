@@ -30,7 +30,7 @@ def rule_events(source: str = STREAMS, key: str = "stream_id") -> str:
 
 @query(rule_events())
 def stream_scan_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stream_scan(conversations(spark, sf_dir), RULES, horizon=1024)
+    return stream_scan(conversations(spark, sf_dir), RULES)
 
 
 @query(union(stream_events(spans(r"[.]\z", 0, source=STREAMS, key="stream_id")), stream_events(spans(r"tion\b", 1, source=STREAMS, key="stream_id"))))
@@ -40,7 +40,7 @@ def stream_close_eod(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""SELECT * FROM ({rule_events()}) QUALIFY row_number() OVER (PARTITION BY stream_id, pattern_id ORDER BY "to") = 1""")
 def stream_singlematch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stream_scan(conversations(spark, sf_dir), ["/tion/LH", "/e+r/LH", r"/[a-z]\.\n[A-Z]/LH"], horizon=1024)
+    return stream_scan(conversations(spark, sf_dir), ["/tion/LH", "/e+r/LH", r"/[a-z]\.\n[A-Z]/LH"])
 
 
 EPOCHS = """(SELECT conv_id * 1000 + turn // 3 AS stream_id, string_agg(text, '' ORDER BY turn) AS text
@@ -53,7 +53,7 @@ def stream_reset_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = turns.select("stream_id", (F.col("seq") * 2).alias("seq"), "payload", F.lit(None).cast("string").alias("control"))
     resets = turns.where((F.col("seq") > 0) & (F.col("seq") % 3 == 0)).select(
         "stream_id", (F.col("seq") * 2 - 1).alias("seq"), F.lit(None).cast("string").alias("payload"), F.lit("reset").alias("control"))
-    return stream_scan(chunks.unionByName(resets), RULES, horizon=1024, epochs=True)
+    return stream_scan(chunks.unionByName(resets), RULES, epochs=True)
 
 
 FORK_AT = "(SELECT conv_id, sum(strlen(text)) AS off FROM conversations WHERE turn < 2 GROUP BY conv_id)"

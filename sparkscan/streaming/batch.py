@@ -8,6 +8,8 @@ by as many tasks as it has blocks, and no task holds more than one block.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,6 +99,7 @@ def blocks_of(placed: DataFrame, left: int, right: int, size: int = STREAM_BLOCK
         F.col("pieces")[0]["s"].alias("base"),
         F.greatest(begin, F.coalesce("quiet", F.lit(0).cast("bigint"))).alias("lo"),
         (begin + size).alias("hi"),
+        "block", "quiet",
         F.array_join(F.transform("pieces", lambda p: p["piece"]), "").alias("text"),
     )
 
@@ -111,13 +114,51 @@ def _as_characters(s: Column) -> Column:
     return S.let(s["text"], trimmed)
 
 
+def _whole_runs(blocks: DataFrame, plan: _Plan, size: int) -> DataFrame:
+    """Stretches no match can leave, put together across blocks: ``(stream_id, epoch, base, lo, hi, text)``.
+
+    A match holds only characters of the rule's cover class, so the text may be
+    parted after any other character. Each block with such a character closes
+    the stretch before it and opens the next; how many did so before it numbers
+    the stretch. A group is as long as the longest possible match around it.
+    """
+    cover = plan.p.cover
+    begin = F.greatest("base", F.col("hi") - size)
+    body_at = (begin - F.col("base")).cast("int")
+    body = F.substring(F.col("text"), body_at + 1, (F.col("hi") - begin).cast("int"))
+    rest = F.length(F.regexp_extract("body", f"{plan.p.flags}{cover}*+\\z", 0))
+    rows = blocks.select(
+        "stream_id", "epoch", "block", "quiet", "text", begin.alias("at"), body_at.alias("skip"), body.alias("body"))
+    rows = rows.withColumn("cut", F.length("body") - rest).withColumn("breaks", (F.col("cut") > 0).cast("bigint"))
+    numbered = running_before(rows, ["stream_id", "epoch"], "block", {"run": F.col("breaks")})
+    cut, skip = F.col("cut"), F.col("skip")
+
+    def piece(run, at, left, text, right):
+        return F.struct(run.cast("bigint").alias("run"), at.cast("bigint").alias("at"), left.alias("left"), text.alias("text"), right.alias("right"))
+
+    none = F.lit("")
+    closing = piece(F.col("run"), F.col("at"), none, F.left("body", cut), F.substring(F.col("text"), skip + cut + 1, F.lit(RIGHT_CONTEXT)))
+    opening = piece(F.col("run") + 1, F.col("at") + cut, F.substring(F.col("body"), cut, F.lit(1)), F.substring(F.col("body"), cut + 1, F.length("body")), none)
+    going_on = piece(F.col("run"), F.col("at"), none, F.col("body"), none)
+    pieces = F.when(cut > 0, F.array(closing, opening)).otherwise(F.array(going_on))
+    grouped = numbered.select("stream_id", "epoch", "block", "quiet", F.inline(pieces)).groupBy("stream_id", "epoch", "run").agg(
+        F.array_sort(F.collect_list(F.struct("at", "block", "left", "text", "right"))).alias("ps"), F.max("quiet").alias("quiet"))
+    first, last = F.col("ps")[0], F.element_at("ps", -1)
+    text = F.concat(first["left"], F.array_join(F.transform("ps", lambda p: p["text"]), ""), last["right"])
+    # text after the stretch is context: no match reaches into it
+    return grouped.select(
+        "stream_id", "epoch", (first["at"] - F.length(first["left"])).alias("base"),
+        F.greatest(first["at"], F.coalesce("quiet", F.lit(0).cast("bigint"))).alias("lo"),
+        (last["at"] + F.length(last["text"])).alias("hi"), text.alias("text"))
+
+
 def _context(plans: list[_Plan], horizon: int | None) -> int:
     unbounded = [p for p in plans if p.history]
     if unbounded and horizon is None:
         rule = unbounded[0].rule
         raise RuleError("a match has no length bound: give the history (in bytes) a stream keeps", rule.ord)
     widths = [p.width * (4 if p.rule.utf8 else 1) for p in plans if not p.history]
-    return max([*widths, (horizon or 0) if unbounded else 0]) + 4
+    return max([0, *widths, (horizon or 0) if unbounded else 0]) + 4
 
 
 def stream_scan(
@@ -126,8 +167,11 @@ def stream_scan(
 ) -> DataFrame:
     """Matches over whole streams, those across chunk edges included: ``(stream_id, pattern_id, from, to)``.
 
-    ``horizon`` is the history in bytes kept for rules whose matches have no
-    length bound. Streams are closed at their last row unless ``close`` is off;
+    Without ``horizon``, rules whose matches have no length bound are searched
+    exactly, in stretches of the stream a match cannot leave; this is not
+    possible where any byte may be part of a match (``.`` across lines) or for
+    UTF-8 rules. With it, such rules see that many bytes of history, as a live
+    stream does. Streams are closed at their last row unless ``close`` is off;
     an epoch that is followed by a reset, or has a close row, always is. With
     ``epochs`` the epoch column stays.
     """
@@ -135,14 +179,17 @@ def stream_scan(
     if combos:
         raise RuleError("combinations are evaluated on whole haystacks", combos[0].rule.ord)
     plans = [_Plan(r, som) for r in plain if "Q" not in r.flags]
+    exact = [p for p in plans if p.history and horizon is None and p.p.cover and not p.rule.utf8 and not p.allow_empty]
+    plans = [p for p in plans if p not in exact]
     left = _context(plans, horizon)
     right = RIGHT_CONTEXT * 4
+    size = max(size, left)
     placed = with_offsets(chunks)
-    blocks = blocks_of(placed, left, right, max(size, left))
-    if not close:
-        blocks = _mark_open(blocks, chunks)
+    blocks = blocks_of(placed, left, right, size)
 
-    def run(group: list[_Plan]) -> DataFrame:
+    def run(group: list[_Plan], blocks: DataFrame) -> DataFrame:
+        if not close:
+            blocks = _mark_open(blocks, chunks)
         s = F.struct("base", "lo", "hi", "text")
 
         def events(open_end: bool) -> Column:
@@ -159,12 +206,16 @@ def stream_scan(
         found = events(False) if close else F.when(F.col("open"), events(True)).otherwise(events(False))
         return blocks.select("stream_id", "epoch", F.inline(found))
 
-    once = [p for p in plans if p.first_only]
-    many = [p for p in plans if not p.first_only]
-    out = run(many) if many else None
-    if once:
+    def found(first_only: bool) -> DataFrame | None:
+        group = [p for p in plans if p.first_only == first_only]
+        parts = [run(group, blocks)] if group else []
+        parts += [run([p], _whole_runs(blocks, p, size)) for p in exact if p.first_only == first_only]
+        return reduce(DataFrame.unionByName, parts) if parts else None
+
+    out, once = found(False), found(True)
+    if once is not None:
         # one row per block is left of a single-match rule; the earliest of them is its event
-        least = run(once).groupBy("stream_id", "epoch", "pattern_id").agg(F.min(F.struct("to", "from")).alias("m"))
+        least = once.groupBy("stream_id", "epoch", "pattern_id").agg(F.min(F.struct("to", "from")).alias("m"))
         least = least.select("stream_id", "epoch", "pattern_id", F.col("m.from"), F.col("m.to"))
         out = least if out is None else out.unionByName(least)
     return out if epochs else out.drop("epoch")

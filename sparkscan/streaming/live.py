@@ -27,6 +27,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Bytes by which rules that look right are reported late: one whole character of context.
 HOLD = 8
+# Chunks handed on at a time; a stream with very many is never held whole.
+YIELD = 256
 
 STITCHED = T.StructType(
     [
@@ -85,11 +87,17 @@ class Stitcher(StatefulProcessor):
                     self._take(key[0], row, out)
                 elif seq > self.next:
                     self.waiting.updateValue((seq,), row)
+                if len(out) >= YIELD:
+                    yield pd.DataFrame(out, columns=STITCHED.names)
+                    out = []
             while self.waiting.exists() and self.waiting.containsKey((self.next,)):
                 at = (self.next,)
                 row = self.waiting.getValue(at)
                 self.waiting.removeKey(at)
                 self._take(key[0], row, out)
+                if len(out) >= YIELD:
+                    yield pd.DataFrame(out, columns=STITCHED.names)
+                    out = []
             if out:
                 yield pd.DataFrame(out, columns=STITCHED.names)
         self.carry.update((self.next, self.epoch, self.offset, self.tail))
@@ -178,8 +186,8 @@ def live_scan(chunks: DataFrame, rules, *, horizon: int | None = None, tasks: in
     )
     stitched = rows.groupBy("stream_id").transformWithStateInPandas(
         statefulProcessor=Stitcher(keep), outputStructType=STITCHED, outputMode="Append", timeMode="None")
-    # state follows the stream id; the regex work after it need not
-    work = stitched.repartition(tasks) if tasks else stitched
+    # state follows the stream id; the regex work after it need not, so a busy stream is spread out
+    work = stitched.repartition(tasks or int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     matched = work.select("stream_id", "epoch", F.inline(_events(plans)))
     if once != {True}:
         return matched

@@ -87,9 +87,22 @@ def test_single_match_over_a_stream(chunks, streams):
     assert got == sorted(want)
 
 
-def test_unbounded_rules_need_a_horizon(chunks):
-    with pytest.raises(RuleError, match="history"):
-        stream_scan(chunks, "/a.*b/")
+@pytest.mark.parametrize("size", [16, 65_536])
+def test_unbounded_rules_are_exact_without_a_horizon(chunks, streams, size):
+    rules = ["/a.*b/L", "/[ab]+c/L", r"/\bb[ab]*$/mL", "/^[abc ]+$/L", "/[ab]+/L", "/a.*c/HL"]
+    want = []
+    for k, text in streams.items():
+        for i, line in enumerate(rules[:-1]):
+            body, flags = line[1:].rsplit("/", 1)
+            want += [(k, i, s, e) for e, s in brute(body, flags, text).items()]
+        want += [(k, 5, s, e) for e, s in sorted(brute("a.*c", "", text).items())[:1]]
+    assert rows(stream_scan(chunks, rules, size=size)) == sorted(want)
+
+
+def test_boundless_rules_need_a_horizon(chunks):
+    for rule in ("/a.*b/s", "/é+b/8L"):
+        with pytest.raises(RuleError, match="history"):
+            stream_scan(chunks, rule)
 
 
 def test_horizon(spark):
