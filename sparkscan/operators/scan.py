@@ -20,6 +20,8 @@ from ..functions.regex import MAX_LOOKBEHIND, RuleError, alternation, captures,
 from .rules import MAX_RULES, Rule, check_rules, rule_list
 
 BLOCK = 4096
+# Rules counted as columns of one aggregate; more are counted by grouping.
+MAX_SUMS = 100
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -433,6 +435,13 @@ def hit_counts(df: DataFrame, rules, *, payload: str = "text") -> DataFrame:
             raise RuleError("single-match rules sharing an id are counted from scan()", group[0].rule.ord)
         per_row.append((group[0].rule.pattern_id, total.alias(f"n{k}")))
     rows = base.select(*[c for _, c in per_row])
+    if len(per_row) > MAX_SUMS:
+        # too many columns for one row of sums: only rules with hits leave the row, and are summed map-side
+        each = F.array(*[F.struct(F.lit(i).cast("int").alias("pattern_id"), F.col(f"n{k}").alias("n")) for k, (i, _) in enumerate(per_row)])
+        found = rows.select(F.inline(F.filter(each, lambda e: e["n"] > 0)))
+        found = found.groupBy("pattern_id").agg(F.sum("n").alias("hits"), F.count("*").alias("docs"))
+        every = df.sparkSession.createDataFrame([(i,) for i, _ in per_row], "pattern_id int")
+        return every.join(found, "pattern_id", "left").fillna(0, ["hits", "docs"])
     sums = rows.agg(*[
         F.struct(
             F.lit(i).cast("int").alias("pattern_id"),

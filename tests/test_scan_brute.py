@@ -157,6 +157,13 @@ def test_counts_of_any_rule(docs):
     assert rows(hit_counts(docs, rules)) == [(i, len(found[i]), len(set(found[i]))) for i in range(4)]
 
 
+def test_counts_of_many_rules(docs, monkeypatch):
+    rules = ["/a+/", "/zz/", "/b/"]
+    few = rows(hit_counts(docs, rules))
+    monkeypatch.setattr("sparkscan.operators.scan.MAX_SUMS", 2)
+    assert rows(hit_counts(docs, rules)) == few and few[1] == (1, 0, 0)
+
+
 def test_markers_in_the_text_are_only_text(spark):
     df = spark.createDataFrame([(1, "a﷐b﷑a")], "doc_id long, text string")
     assert rows(scan(df, ["/a/L8", "/b./L8", "/a/L"])) == [(1, 0, 0, 1), (1, 0, 8, 9), (1, 1, 4, 8), (1, 2, 0, 1), (1, 2, 8, 9)]
