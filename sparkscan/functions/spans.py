@@ -54,8 +54,8 @@ def byte_length(piece: Column, utf8: bool) -> Column:
 def running(lengths: Column) -> Column:
     """Inclusive running sums of an int array.
 
-    Long arrays are folded in groups, because each step of a fold copies the
-    array built so far.
+    Long arrays are folded in groups of their square root, because each step of
+    a fold copies the array built so far.
     """
 
     def rest(xs: Column) -> Column:
@@ -67,10 +67,10 @@ def running(lengths: Column) -> Column:
         )
 
     def grouped(xs: Column) -> Column:
-        groups = F.transform(
-            F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / PREFIX_GROUP).cast("int")),
-            lambda g: F.slice(xs, g * PREFIX_GROUP + 1, F.lit(PREFIX_GROUP)),
-        )
+        groups = let(F.ceil(F.sqrt(F.size(xs))).cast("int"), lambda n: F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / n).cast("int")),
+            lambda g: F.slice(xs, g * n + 1, n),
+        ))
         return F.aggregate(
             groups,
             F.array(F.array(F.lit(0).cast("bigint"))),
