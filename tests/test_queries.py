@@ -6,14 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from sparkscan.plans import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE"}
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck():
@@ -45,6 +43,7 @@ def test_query_equals_its_sql(spark, duck, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark):
