@@ -8,6 +8,8 @@ follows the hits, not the text length.
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +17,9 @@ from .regex import RuleError, alternation
 from .spans import CLOSE, MARK, _event, let, no_events, running
 
 
+ASCII_FOLD = str.maketrans(ascii_uppercase, ascii_lowercase)
+
+
 def _pieces(literal: str, k: int) -> list[tuple[int, str]]:
     if k >= len(literal):
         raise RuleError("the distance must be smaller than the literal")
@@ -45,8 +50,9 @@ def approx_events(
     """Events in the byte view. With ``som`` the leftmost start of each end is reported."""
     k = edit if edit else hamming or 0
     size = len(literal)
-    target = literal.lower() if caseless else literal
-    fold = F.lower if caseless else (lambda c: c)
+    # the byte view holds bytes, so only ASCII letters have a case
+    target = literal.translate(ASCII_FOLD) if caseless else literal
+    fold = (lambda c: F.translate(c, ascii_uppercase, ascii_lowercase)) if caseless else (lambda c: c)
     n = F.length(text)
     pieces = _pieces(literal, k)
 

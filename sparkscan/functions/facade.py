@@ -45,9 +45,7 @@ class Regex:
         def first(v: Column) -> Column:
             def placed(m: Column) -> Column:
                 start, found = m["start"], m["found"]
-                return F.struct(
-                    start.cast("bigint").alias("from"), (start + F.octet_length(found)).cast("bigint").alias("to"),
-                    found.alias("text"))
+                return self._cut(text, start, start + F.octet_length(found))
 
             both = F.struct(
                 F.octet_length(F.split(v, java, 2)[0]).alias("start"), F.regexp_extract(v, java, 0).alias("found"))
@@ -57,7 +55,13 @@ class Regex:
 
     def find_iter(self, text: Column) -> Column:
         found = S.let(S.char_view(text), self._matches)
-        return F.transform(found, lambda m: F.struct(m["from"], m["to"], m["text"]))
+        return F.transform(found, lambda m: self._cut(text, m["from"], m["to"]))
+
+    @staticmethod
+    def _cut(text: Column, start: Column, end: Column) -> Column:
+        """A match with its text as it is in the column, whatever stands in for markers in the view."""
+        piece = F.substring(text.cast("binary"), start.cast("int") + 1, (end - start).cast("int")).cast("string")
+        return F.struct(start.cast("bigint").alias("from"), end.cast("bigint").alias("to"), piece.alias("text"))
 
     def split(self, text: Column) -> Column:
         return F.split(text, self.p.java, -1)

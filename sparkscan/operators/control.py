@@ -1,4 +1,4 @@
-"""Operators on match events: limits, suppression and error events."""
+"""Operators on match events: limits, suppression, handlers."""
 
 from __future__ import annotations
 
@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .numbering import spread_join
-from .rules import Rule, rule_list
-from .scan import pcre_scan
+from ..session import stored
 
 ORDER = ("to", "pattern_id", "from")
 
@@ -63,90 +61,24 @@ def handle_matches(matches: DataFrame, action: Column, keys: Sequence[str] = ("d
     """Apply a per-event handler that answers continue / skip / terminate.
 
     Each event is kept when no earlier event of its haystack answered terminate
-    and no earlier event of its rule answered skip. The first such answers are
-    one row per haystack and rule, joined back to the events.
+    and no earlier event of its rule answered skip. Events and answers are
+    written to the shared folder once, so the haystacks are scanned and the
+    handler is asked once; the first such answers, a row per haystack and rule,
+    are joined back to them.
     """
-    marked = matches.withColumn("__at", F.struct(*[F.col(c) for c in ORDER])).withColumn("__action", action)
+    marked = stored(matches.withColumn("__action", action), "handled")
+    marked = marked.withColumn("__at", F.struct(*[F.col(c) for c in ORDER]))
     first = marked.groupBy(*keys, "pattern_id").agg(
         F.min(F.when(F.col("__action") == "terminate", F.col("__at"))).alias("__stop"),
         F.min(F.when(F.col("__action") == "skip", F.col("__at"))).alias("__skip"))
     first = first.withColumn("__stop", F.min("__stop").over(Window.partitionBy(*keys)))
     first = first.where(F.col("__stop").isNotNull() | F.col("__skip").isNotNull())
-    # a haystack or rule with very many events is spread over partitions
     return (
-        spread_join(marked, first, [*keys, "pattern_id"], "to", "left")
+        marked.join(first, [*keys, "pattern_id"], "left")
         .where(F.col("__stop").isNull() | (F.col("__at") <= F.col("__stop")))
         .where(F.col("__skip").isNull() | (F.col("__at") <= F.col("__skip")))
         .select(*matches.columns)
     )
 
 
-# --- match and recursion limits -------------------------------------------------------------------
-
-
-def _recursive(rule: Rule) -> bool:
-    """Whether the rule repeats a group: such rules recurse per iteration in the JVM."""
-    import re._constants as rc
-
-    from ..functions.regex import _parse, _walk
-
-    tree, _ = _parse(rule.expression, rule.flags)
-    return any(
-        op in (rc.MAX_REPEAT, rc.MIN_REPEAT) and av[1] is rc.MAXREPEAT
-        and any(o in (rc.SUBPATTERN, rc.BRANCH) for o, _ in av[2])
-        for op, av in _walk(list(tree))
-    )
-
-
-def scan_errors(
-    df: DataFrame, rules, *, max_bytes: int, recursion_bytes: int | None = None,
-    payload: str = "text", keys: Sequence[str] = ("doc_id",),
-) -> DataFrame:
-    """Error events ``(keys, pattern_id, kind)``: haystacks over a rule's work budget.
-
-    The budget is the haystack's size: ``max_bytes`` for every rule and the
-    smaller ``recursion_bytes`` for rules that repeat a group.
-    """
-    plain = rule_list(rules, "pcre")
-    size = F.octet_length(payload)
-    each = [
-        F.struct(F.lit(r.pattern_id).cast("int").alias("pattern_id"), _error_kind(r, size, max_bytes, recursion_bytes).alias("kind"))
-        for r in plain
-    ]
-    return df.select(*keys, F.inline(F.filter(F.array(*each), lambda e: e["kind"].isNotNull())))
-
-
-def _error_kind(rule: Rule, size: Column, max_bytes: int, recursion_bytes: int | None) -> Column:
-    kind = F.when(size > max_bytes, F.lit("match_limit"))
-    if recursion_bytes is not None and _recursive(rule):
-        kind = kind.when(size > recursion_bytes, F.lit("recursion_limit"))
-    return kind
-
-
-def limited_pcre_scan(
-    df: DataFrame, rules, *, max_bytes: int, recursion_bytes: int | None = None, on_error: str = "skip",
-    payload: str = "text", **options,
-) -> DataFrame:
-    """Non-overlapping scan under limits; what exceeds them is in :func:`scan_errors`.
-
-    ``skip`` leaves out the rule that hit the limit, ``terminate`` also the
-    rules after it. The test is part of the scan's own row expression.
-    """
-    plain = rule_list(rules, "pcre")
-    size = F.octet_length(payload)
-
-    def skip(rule: Rule) -> Column:
-        kinds = [
-            _error_kind(r, size, max_bytes, recursion_bytes)
-            for r in plain
-            if r.ord == rule.ord or (on_error == "terminate" and r.ord < rule.ord)
-        ]
-        return F.coalesce(*kinds).isNotNull()
-
-    return pcre_scan(df, plain, payload=payload, skip=skip, **options)
-
-
-__all__ = [
-    "apply_horizon", "handle_matches", "limited_pcre_scan", "scan_errors", "single_match", "skip_rule",
-    "terminate", "within",
-]
+__all__ = ["apply_horizon", "handle_matches", "single_match", "skip_rule", "terminate", "within"]

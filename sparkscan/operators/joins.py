@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import spans as S
 from ..functions.regex import required_text
-from .numbering import spread_join
 from .rules import Rule, rule_list
 
 
@@ -28,33 +27,44 @@ def matching_rules(docs: DataFrame, rules, *, payload: str = "text", keys: Seque
     return seen.select(*keys, F.explode(hit).alias("pattern_id"))
 
 
-def token_counts(docs: DataFrame, *, token: str = "[A-Za-z]+", payload: str = "text") -> DataFrame:
+# Words of any script.
+TOKEN = r"[\p{L}\p{M}\p{N}_]+"
+
+
+def _wanted(literals: DataFrame, token: str) -> DataFrame:
+    """The dictionary by token; a literal that is not one token could never be found, and is an error."""
+    literal = F.col("expression")
+    message = F.concat(F.lit("not one token, use literal_scan: "), literal)
+    return literals.select("pattern_id", F.when(literal.rlike(f"^(?:{token})$"), literal).otherwise(F.raise_error(message)).alias("token"))
+
+
+def token_counts(docs: DataFrame, *, token: str = TOKEN, payload: str = "text") -> DataFrame:
     """``(token, n)`` over all haystacks, reduced map-side."""
     words = docs.select(F.explode(F.regexp_extract_all(F.col(payload), F.lit(token), F.lit(0))).alias("token"))
     return words.groupBy("token").agg(F.count("*").alias("n"))
 
 
-def dictionary_hits(docs: DataFrame, literals: DataFrame, *, token: str = "[A-Za-z]+", payload: str = "text") -> DataFrame:
+def dictionary_hits(docs: DataFrame, literals: DataFrame, *, token: str = TOKEN, payload: str = "text") -> DataFrame:
     """Whole-token hits of a literal dictionary of any size: ``(pattern_id, hits)``.
 
     Tokens are counted before the join and matched with the distinct literals
     first, so both sides hold a token once. Only what is left goes back to the
-    rules, spread out in case very many rules share a literal.
+    rules.
     """
     counted = token_counts(docs, token=token, payload=payload)
-    wanted = literals.select("pattern_id", F.col("expression").alias("token"))
+    wanted = _wanted(literals, token)
     known = wanted.select("token").distinct().join(counted, "token")
-    return spread_join(wanted, known, ["token"], "pattern_id").groupBy("pattern_id").agg(F.sum("n").alias("hits"))
+    return wanted.join(known, "token").groupBy("pattern_id").agg(F.sum("n").alias("hits"))
 
 
 def dictionary_pairs(
-    docs: DataFrame, literals: DataFrame, *, token: str = "[A-Za-z]+", payload: str = "text", key: str = "doc_id"
+    docs: DataFrame, literals: DataFrame, *, token: str = TOKEN, payload: str = "text", key: str = "doc_id"
 ) -> DataFrame:
-    """``(doc_id, pattern_id, hits)`` for a dictionary of any size, hot tokens salted."""
+    """``(doc_id, pattern_id, hits)`` for a dictionary of any size; a hot token's rows are split by the join."""
     words = docs.select(key, F.explode(F.regexp_extract_all(F.col(payload), F.lit(token), F.lit(0))).alias("token"))
     counted = words.groupBy(key, "token").agg(F.count("*").alias("hits"))
-    wanted = literals.select("pattern_id", F.col("expression").alias("token")).distinct()
-    return spread_join(counted, wanted, ["token"], key).select(key, "pattern_id", "hits")
+    wanted = _wanted(literals, token).distinct()
+    return counted.join(wanted, "token").select(key, "pattern_id", "hits")
 
 
 def prefilter(rule: Rule | str, payload: Column) -> Column:

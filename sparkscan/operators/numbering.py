@@ -1,9 +1,10 @@
 """Running values over ordered rows without one task per key.
 
 A window over a whole key puts a hot key into a single task. Here rows are
-ordered by an integer and cut into buckets of 65,536 consecutive positions. Each
-bucket is summed on its own; the window over a key then sees one short row per
-bucket.
+ordered by an integer and grouped by its leading bits, twice: 2**16 positions to a
+bucket, 2**24 buckets to a group. Every window sees at most that many rows,
+whatever the values of the order column: a bucket's rows, a group's buckets, and
+(of the 23 bits left) a key's groups.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET_BITS = 16
+GROUP_BITS = 24
 
 
 def running_before(
@@ -27,33 +29,29 @@ def running_before(
     negative. ``order`` is a non-negative BIGINT, unique within a key.
     """
     marks = at_last or {}
-    keys = list(keys)
-    cut = df.select("*", F.shiftright(order, bits).alias("__b"), *[v.cast("bigint").alias(f"__v_{n}") for n, v in sums.items()])
-    before = Window.partitionBy(*keys, "__b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    local = cut.select("*", *[F.coalesce(F.sum(f"__v_{n}").over(before), F.lit(0)).alias(f"__l_{n}") for n in sums])
-    local = local.select("*", *[F.when(c, F.col(f"__l_{n}")).alias(f"__m_{m}") for m, (n, c) in marks.items()])
-
-    totals = (local if marks else cut).groupBy(*keys, "__b").agg(
-        *[F.sum(f"__v_{n}").alias(f"__v_{n}") for n in sums], *[F.max(f"__m_{m}").alias(f"__m_{m}") for m in marks])
-    earlier = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select("*", *[F.coalesce(F.sum(f"__v_{n}").over(earlier), F.lit(0)).alias(f"__s_{n}") for n in sums])
-    starts = starts.select(
-        *keys, "__b", *[f"__s_{n}" for n in sums],
-        *[F.max(F.col(f"__s_{n}") + F.col(f"__m_{m}")).over(earlier).alias(f"__a_{m}") for m, (n, _) in marks.items()])
-
-    inside = local.select("*", *[F.max(f"__m_{m}").over(before).alias(f"__i_{m}") for m in marks])
-    return inside.join(starts, [*keys, "__b"]).select(
-        *df.columns,
-        *[(F.col(f"__s_{n}") + F.col(f"__l_{n}")).alias(n) for n in sums],
-        *[F.coalesce(F.col(f"__s_{n}") + F.col(f"__i_{m}"), F.col(f"__a_{m}")).alias(m) for m, (n, _) in marks.items()])
-
-
-def spread_join(big: DataFrame, small: DataFrame, on: Sequence[str], spread_by: str, how: str = "inner", salts: int = 16) -> DataFrame:
-    """Join a table with hot keys to a table with one row per key.
-
-    The big side's rows of one key go to ``salts`` partitions; the small side
-    is repeated once per salt.
-    """
-    salted = big.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    copies = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, "__salt"], how).drop("__salt")
+    rows = df.select(
+        "*", *[v.cast("bigint").alias(f"__v_{n}") for n, v in sums.items()],
+        *[F.when(c, F.lit(0).cast("bigint")).alias(f"__m_{m}") for m, (_, c) in marks.items()])
+    return _running(rows, list(keys), order, list(sums), {m: n for m, (n, _) in marks.items()}, [bits, GROUP_BITS]).select(
+        *df.columns, *[F.col(f"__r_{n}").alias(n) for n in sums], *[F.col(f"__a_{m}").alias(m) for m in marks])
+
+
+def _running(rows: DataFrame, keys: list[str], order: str, sums: list[str], marks: dict[str, str], bits: list[int]) -> DataFrame:
+    """Add ``__r_`` (sums before) and ``__a_`` (sum at the latest mark before) from ``__v_`` and ``__m_`` (a mark's place in its row)."""
+    bucket = f"__b{len(bits)}"
+    group = [*keys, bucket] if bits else keys
+    cut = rows.withColumn(bucket, F.shiftright(order, bits[0])) if bits else rows
+    before = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    local = cut.select("*", *[F.coalesce(F.sum(f"__v_{n}").over(before), F.lit(0)).alias(f"__r_{n}") for n in sums])
+    local = local.select("*", *[F.max(F.col(f"__r_{n}") + F.col(f"__m_{m}")).over(before).alias(f"__a_{m}") for m, n in marks.items()])
+    if not bits:
+        return local
+    totals = (local if marks else cut).groupBy(*group).agg(
+        *[F.sum(f"__v_{n}").alias(f"__v_{n}") for n in sums],
+        *[F.max(F.col(f"__r_{n}") + F.col(f"__m_{m}")).alias(f"__m_{m}") for m, n in marks.items()])
+    starts = _running(totals, keys, bucket, sums, marks, bits[1:]).select(
+        *group, *[F.col(f"__r_{n}").alias(f"__s_{n}") for n in sums], *[F.col(f"__a_{m}").alias(f"__e_{m}") for m in marks])
+    kept = [c for c in rows.columns]
+    return local.join(starts, group).select(
+        *kept, *[(F.col(f"__s_{n}") + F.col(f"__r_{n}")).alias(f"__r_{n}") for n in sums],
+        *[F.coalesce(F.col(f"__s_{n}") + F.col(f"__a_{m}"), F.col(f"__e_{m}")).alias(f"__a_{m}") for m, n in marks.items()])

@@ -20,8 +20,6 @@ from ..functions.regex import MAX_LOOKBEHIND, RuleError, alternation, captures,
 from .rules import MAX_RULES, Rule, check_rules, rule_list
 
 BLOCK = 4096
-# Rules counted as columns of one aggregate; more are counted by grouping.
-MAX_SUMS = 100
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -51,6 +49,11 @@ class _Plan:
         self.history = S.needs_history(self.p, self.som, self.allow_empty)
         self.width = self.p.max_width if self.p.max_width is not None else MAX_LOOKBEHIND
 
+    @property
+    def unbounded(self) -> bool:
+        """Whether a match may be longer than any number of characters."""
+        return self.history and self.p.max_width is None
+
     @property
     def marked(self) -> bool:
         """Whether the rule's ends are found by markers on the whole segment."""
@@ -63,7 +66,7 @@ class _Plan:
         ext = r.ext
         if self.edit or self.hamming:
             found = approx_events(text, base, lo, hi, self.literal, r.pattern_id, edit=self.edit,
-                                  hamming=self.hamming, caseless="i" in r.flags, som=self.som)
+                                  hamming=self.hamming, caseless="i" in self.p.flags, som=self.som)
         elif self.history:
             found = S.history_events(text, base, lo, hi, self.p, r.pattern_id, som=self.som, utf8=r.utf8,
                                      open_end=open_end, allow_empty=self.allow_empty)
@@ -309,11 +312,17 @@ def _literal_groups(rules: list[Rule]) -> dict[tuple[bool, bool], dict[str, list
             raise RuleError("not a literal", r.ord)
         caseless = "i" in r.flags
         if caseless:
-            text = text.lower() if r.utf8 else _ascii_lower(text)
+            text = "".join(map(folded, text)) if r.utf8 else _ascii_lower(text)
         groups.setdefault((r.utf8, caseless), {}).setdefault(text, []).append(r)
     return groups
 
 
+def folded(c: str) -> str:
+    """One character as the JVM compares it without case: upper, then lower, never more than one character."""
+    upper = c.upper()
+    return (upper if len(upper) == 1 else c).lower()[0]
+
+
 def _ascii_lower(text: str) -> str:
     return text.translate({ord(c): c.lower() for c in ASCII_UPPER})
 
@@ -332,20 +341,26 @@ def _one_pass(texts, utf8: bool, caseless: bool) -> str:
 def _folded(found: Column, utf8: bool, caseless: bool) -> Column:
     if not caseless:
         return found
-    return F.lower(found) if utf8 else F.translate(found, ASCII_UPPER, ASCII_UPPER.lower())
+    if not utf8:
+        return F.translate(found, ASCII_UPPER, ASCII_UPPER.lower())
 
+    def one(c: Column) -> Column:
+        upper = F.upper(c)
+        return F.left(F.lower(F.when(F.length(upper) == 1, upper).otherwise(c)), F.lit(1))
 
-def _members(df: DataFrame, texts: dict[str, list[Rule]], utf8: bool) -> DataFrame:
-    """Lookup from the longest literal found at a position to every rule that starts there."""
+    return F.array_join(F.transform(F.split(found, ""), one), "")
+
+
+def _members(df: DataFrame, texts: dict[str, list[Rule]]) -> DataFrame:
+    """Lookup from the longest literal found at a position to every rule that starts there, with its length in characters."""
     rows = []
     for found in texts:
         for n in range(1, len(found) + 1):
             for r in texts.get(found[:n], ()):
-                size = len(found[:n].encode("utf-8")) if utf8 else n
-                rows.append((found, r.pattern_id, size, "L" in r.flags))
+                rows.append((found, r.pattern_id, n, "L" in r.flags))
     if len(rows) > 10 * MAX_RULES:
         raise RuleError("too many nested literals for one lookup")
-    return df.sparkSession.createDataFrame(rows, "found string, pattern_id int, size bigint, som boolean")
+    return df.sparkSession.createDataFrame(rows, "found string, pattern_id int, size int, som boolean")
 
 
 def literal_scan(df: DataFrame, rules, *, payload: str = "text", keys: Sequence[str] = ("doc_id",), block: int = BLOCK) -> DataFrame:
@@ -374,12 +389,13 @@ def literal_scan(df: DataFrame, rules, *, payload: str = "text", keys: Sequence[
 
         placed = F.when(text.rlike(pattern), S.let(F.split(marked, S.MARK, -1), lay_out))
         hits = cut.select(*keys, "s.base", "s.lo", "s.hi", F.explode(placed).alias("h"))
-        hits = hits.withColumn("found", _folded(F.col("h.found"), utf8, caseless))
+        # sizes are those of the text found: without case, a letter may be written with more bytes than in the rule
+        hits = hits.withColumns({"found": _folded(F.col("h.found"), utf8, caseless), "as_found": F.col("h.found")})
         start = F.col("base") + F.col("h.at")
-        joined = hits.join(F.broadcast(_members(df, texts, utf8)), "found").select(
+        joined = hits.join(F.broadcast(_members(df, texts)), "found").select(
             *keys, "pattern_id", "lo", "hi",
             F.when(F.col("som"), start).otherwise(F.lit(0).cast("bigint")).alias("from"),
-            (start + F.col("size")).alias("to"),
+            (start + S.byte_length(F.left("as_found", F.col("size")), utf8)).alias("to"),
         )
         part = joined.where((F.col("to") > F.col("lo")) & (F.col("to") <= F.col("hi"))).drop("lo", "hi")
         out = part if out is None else out.unionByName(part)
@@ -398,7 +414,7 @@ def literal_counts(df: DataFrame, rules, *, payload: str = "text") -> DataFrame:
         view = S.view_of(F.col(payload), utf8)
         found = df.select(F.explode(F.regexp_extract_all(view, F.lit(_one_pass(texts, utf8, caseless)), F.lit(1))).alias("found"))
         per_text = found.groupBy(_folded(F.col("found"), utf8, caseless).alias("found")).agg(F.count("*").alias("n"))
-        part = _members(df, texts, utf8).join(per_text, "found", "left").select("pattern_id", F.coalesce("n", F.lit(0)).alias("n"))
+        part = _members(df, texts).join(per_text, "found", "left").select("pattern_id", F.coalesce("n", F.lit(0)).alias("n"))
         counts = part if counts is None else counts.unionByName(part)
     return counts.groupBy("pattern_id").agg(F.sum("n").alias("hits"))
 
@@ -435,22 +451,12 @@ def hit_counts(df: DataFrame, rules, *, payload: str = "text") -> DataFrame:
             raise RuleError("single-match rules sharing an id are counted from scan()", group[0].rule.ord)
         per_row.append((group[0].rule.pattern_id, total.alias(f"n{k}")))
     rows = base.select(*[c for _, c in per_row])
-    if len(per_row) > MAX_SUMS:
-        # too many columns for one row of sums: only rules with hits leave the row, and are summed map-side
-        each = F.array(*[F.struct(F.lit(i).cast("int").alias("pattern_id"), F.col(f"n{k}").alias("n")) for k, (i, _) in enumerate(per_row)])
-        found = rows.select(F.inline(F.filter(each, lambda e: e["n"] > 0)))
-        found = found.groupBy("pattern_id").agg(F.sum("n").alias("hits"), F.count("*").alias("docs"))
-        every = df.sparkSession.createDataFrame([(i,) for i, _ in per_row], "pattern_id int")
-        return every.join(found, "pattern_id", "left").fillna(0, ["hits", "docs"])
-    sums = rows.agg(*[
-        F.struct(
-            F.lit(i).cast("int").alias("pattern_id"),
-            F.coalesce(F.sum(f"n{k}"), F.lit(0)).alias("hits"),
-            F.count(F.when(F.col(f"n{k}") > 0, 1)).alias("docs"),
-        ).alias(f"c{k}")
-        for k, (i, _) in enumerate(per_row)
-    ])
-    return sums.select(F.inline(F.array(*[F.col(f"c{k}") for k in range(len(per_row))])))
+    # only rules with hits leave the row; their sums are made map-side
+    each = F.array(*[F.struct(F.lit(i).cast("int").alias("pattern_id"), F.col(f"n{k}").alias("n")) for k, (i, _) in enumerate(per_row)])
+    found = rows.select(F.inline(F.filter(each, lambda e: e["n"] > 0)))
+    found = found.groupBy("pattern_id").agg(F.sum("n").alias("hits"), F.count("*").alias("docs"))
+    every = df.sparkSession.createDataFrame([(i,) for i, _ in per_row], "pattern_id int")
+    return every.join(found, "pattern_id", "left").fillna(0, ["hits", "docs"])
 
 
 # --- leftmost, greedy, non-overlapping ----------------------------------------------------------
@@ -461,13 +467,9 @@ CAPTURES = "array<struct<group:int,active:boolean,from:bigint,to:bigint,text:str
 
 def pcre_scan(
     df: DataFrame, rules, *, payload: str = "text", keys: Sequence[str] = ("doc_id",),
-    groups: bool = False, skip=None,
+    groups: bool = False,
 ) -> DataFrame:
-    """Non-overlapping matches per rule: ``(keys, pattern_id, from, to[, captures])``.
-
-    ``skip(rule)`` may give a condition under which a row is not searched with
-    that rule; see :func:`sparkscan.operators.control.limited_pcre_scan`.
-    """
+    """Non-overlapping matches per rule: ``(keys, pattern_id, from, to[, captures])``."""
     plain = rule_list(rules, "pcre")
     arrays = []
     for r in plain:
@@ -475,8 +477,6 @@ def pcre_scan(
         found = _pcre_events(view, r, groups)
         if "H" in r.flags:
             found = F.slice(found, F.lit(1), F.lit(1))
-        if skip is not None:
-            found = F.when(~skip(r), found)
         arrays.append(F.coalesce(found, F.array().cast(_pcre_type(groups))))
     events = F.concat(*arrays) if len(arrays) > 1 else arrays[0]
     return df.select(*keys, F.inline(events))

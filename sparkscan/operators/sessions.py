@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..streaming.batch import stream_scan, with_offsets
-from .numbering import running_before, spread_join
+from ..functions.regex import RuleError
+from .numbering import running_before
+from .rules import rule_list
 from .scan import scan
 
 SESSION_KEY = ("proto", "src", "sport", "dst", "dport")
@@ -27,7 +29,7 @@ def session_ids(packets: DataFrame, key: Sequence[str] = SESSION_KEY, order: str
 
 def sessionize(packets: DataFrame, key: Sequence[str] = SESSION_KEY, order: str = "packet_no") -> DataFrame:
     """Packets with their ``stream_id`` (and the session's ``first_no``)."""
-    return spread_join(packets, session_ids(packets, key, order), key, order)
+    return packets.join(session_ids(packets, key, order), list(key))
 
 
 def as_chunks(packets: DataFrame, order: str = "packet_no") -> DataFrame:
@@ -39,20 +41,25 @@ def block_matches(packets: DataFrame, rules, order: str = "packet_no") -> DataFr
     placed = with_offsets(as_chunks(packets, order))
     found = scan(placed, rules, payload="data", keys=("stream_id", "seq", "off"))
     # a rule that does not report starts keeps from = 0
-    start = F.when(F.col("from") == 0, F.lit(0)).otherwise(F.col("from") + F.col("off"))
-    if any_som(rules):
-        start = F.col("from") + F.col("off")
+    start = F.when(F.col("pattern_id").isin(*ids_with_starts(rules)), F.col("from") + F.col("off")).otherwise(F.lit(0))
     return found.select("stream_id", "pattern_id", start.cast("bigint").alias("from"), (F.col("to") + F.col("off")).alias("to"))
 
 
-def any_som(rules) -> bool:
-    from .rules import rule_list
-
-    return all("L" in r.flags for r in rule_list(rules))
+def ids_with_starts(rules) -> list[int]:
+    """Ids whose events have start offsets; rules of one id must agree on that."""
+    plain = rule_list(rules)
+    starts = {r.pattern_id for r in plain if "L" in r.flags}
+    for r in plain:
+        if "L" not in r.flags and r.pattern_id in starts:
+            raise RuleError("rules of one id must all report starts, or none", r.ord)
+    return sorted(starts)
 
 
 def boundary_matches(packets: DataFrame, rules, order: str = "packet_no") -> DataFrame:
-    """Matches only the stream scan finds: those that span packets. Rules need start offsets and no anchors."""
+    """Matches only the stream scan finds: those that span packets. Rules must have no anchors.
+
+    Of a rule without start offsets, these are the ends at which no match lies within one packet.
+    """
     streamed = stream_scan(as_chunks(packets, order), rules)
     return streamed.join(block_matches(packets, rules, order), ["stream_id", "pattern_id", "from", "to"], "left_anti")
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.control import apply_horizon, handle_matches, limited_pcre_scan, scan_errors, skip_rule, terminate
+from ..operators.control import apply_horizon, handle_matches, skip_rule, terminate
 from ..operators.scan import pcre_scan, scan
 from ..streaming.batch import stream_scan
 from .registry import conversations, documents, query
@@ -129,36 +129,6 @@ def control_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return skip_rule(scan(documents(spark, sf_dir), ["/tion/L", "/license/iL", "/e+r/L"]), 2)
 
 
-PCRE_RULES = [r"/[A-Z][a-z]*/", r"/([0-9]+[.])+[0-9]+/", "/(?i)license/"]
-
-
-@query("""
-SELECT doc_id, 0::INT AS pattern_id, 'match_limit' AS kind FROM documents WHERE strlen(text) > 8000
-UNION ALL SELECT doc_id, 1, CASE WHEN strlen(text) > 8000 THEN 'match_limit' ELSE 'recursion_limit' END FROM documents WHERE strlen(text) > 4000
-UNION ALL SELECT doc_id, 2, 'match_limit' FROM documents WHERE strlen(text) > 8000""", name="scan_errors")
-def errors_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_errors(documents(spark, sf_dir), PCRE_RULES, max_bytes=8000, recursion_bytes=4000)
-
-
-@query(f"""
-SELECT 'skip' AS handler, * FROM ({union(
-    events(spans("[A-Z][a-z]*", 0)) + " WHERE doc_id IN (SELECT doc_id FROM documents WHERE strlen(text) <= 8000)",
-    events(spans("(?:[0-9]+[.])+[0-9]+", 1)) + " WHERE doc_id IN (SELECT doc_id FROM documents WHERE strlen(text) <= 4000)",
-    events(spans("(?i)license", 2)) + " WHERE doc_id IN (SELECT doc_id FROM documents WHERE strlen(text) <= 8000)")})
-UNION ALL SELECT 'terminate', * FROM ({union(
-    events(spans("[A-Z][a-z]*", 0)) + " WHERE doc_id IN (SELECT doc_id FROM documents WHERE strlen(text) <= 8000)",
-    events(spans("(?:[0-9]+[.])+[0-9]+", 1)) + " WHERE doc_id IN (SELECT doc_id FROM documents WHERE strlen(text) <= 4000)",
-    events(spans("(?i)license", 2)) + " WHERE doc_id IN (SELECT doc_id FROM documents WHERE strlen(text) <= 4000)")})""")
-def udf_error_handler(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    out = None
-    for handler in ("skip", "terminate"):
-        part = limited_pcre_scan(docs, PCRE_RULES, max_bytes=8000, recursion_bytes=4000, on_error=handler)
-        part = part.select(F.lit(handler).alias("handler"), "*")
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
 @F.pandas_udf(T.StringType())
 def stop_late(end: pd.Series, pattern_id: pd.Series) -> pd.Series:
     """Handler: leave rule 2 after offset 300, stop the haystack after offset 1000."""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.documents import read_table, spread
+from ..sources.documents import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,7 +26,7 @@ def query(sql: str | None = None, name: str | None = None):
 
 
 def documents(spark: SparkSession, directory: str) -> DataFrame:
-    return spread(read_table(spark, directory, "documents", "doc_id", "text"))
+    return read_table(spark, directory, "documents", "doc_id", "text")
 
 
 def conversations(spark: SparkSession, directory: str) -> DataFrame:

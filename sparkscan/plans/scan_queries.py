@@ -202,7 +202,7 @@ def segment_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""SELECT 'i' AS opt, doc_id, count(*) AS n FROM ({spans("(?i)the")}) GROUP BY doc_id
 UNION ALL SELECT 'm', doc_id, count(*) FROM ({spans("(?m)^[A-Z]")}) GROUP BY doc_id
 UNION ALL SELECT 's', doc_id, count(*) FROM ({spans("(?s)[.].[A-Z]")}) GROUP BY doc_id
-UNION ALL SELECT 'u', doc_id, count(*) FROM ({spans("[\\p{L}\\p{M}\\p{N}_]+")}) GROUP BY doc_id""")
+UNION ALL SELECT 'u', doc_id, count(*) FROM ({spans("[A-Za-z]+")}) GROUP BY doc_id""")
 def facade_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = {
         "i": Regex("the", case_insensitive=True), "m": Regex("^[A-Z]", multi_line=True),
@@ -233,12 +233,12 @@ def join_docs_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH t AS (SELECT w AS token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS w FROM documents) GROUP BY w),
- l AS (SELECT DISTINCT item_id::INT AS pattern_id, unnest(regexp_extract_all(text, '[A-Za-z]+')) AS token FROM benchmark)
+WITH t AS (SELECT w AS token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[\\p{L}\\p{M}\\p{N}_]+')) AS w FROM documents) GROUP BY w),
+ l AS (SELECT DISTINCT item_id::INT AS pattern_id, unnest(regexp_extract_all(text, '[\\p{L}\\p{M}\\p{N}_]+')) AS token FROM benchmark)
 SELECT pattern_id, sum(n)::BIGINT AS hits FROM l JOIN t USING (token) GROUP BY pattern_id""")
 def join_tokens_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = read_table(spark, sf_dir, "benchmark", "item_id", "text")
-    words = F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))))
+    words = F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("[\\p{L}\\p{M}\\p{N}_]+"), F.lit(0))))
     literals = items.select(F.col("item_id").cast("int").alias("pattern_id"), words.alias("expression"))
     return dictionary_hits(documents(spark, sf_dir), literals)
 

@@ -9,7 +9,7 @@ from ..operators.sessions import boundary_matches, session_scan_stats, sessioniz
 from ..session import fresh_path, stored
 from ..sources.documents import read_table
 from ..sources.frames import decode_frames, encode_frames
-from ..streaming.batch import carry, fork, resume, state_sizes, stream_scan, tail_bytes
+from ..streaming.batch import carry, fork, resume, rewind, stream_scan
 from ..streaming.live import ROCKSDB, live_scan
 from .registry import conversations, query
 from .sql import STREAMS, spans, union
@@ -65,26 +65,51 @@ SELECT * FROM m UNION ALL
 SELECT m.stream_id + 1000000, m.pattern_id, m."from", m."to" FROM m JOIN {FORK_AT} f ON m.stream_id = f.conv_id WHERE m."to" > f.off""")
 def stream_fork(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = conversations(spark, sf_dir)
-    states = stored(carry(turns.where("seq < 2"), tail_bytes(RULES, 1024)), "states")
+    states = stored(carry(turns.where("seq < 2"), RULES), "states")
     children = states.select((F.col("stream_id") + 1_000_000).alias("stream_id"), F.col("stream_id").alias("parent_id"))
     own = turns.where("seq >= 2").withColumn("stream_id", F.col("stream_id") + 1_000_000)
-    forked = stream_scan(fork(own, states, children), RULES, horizon=1024)
-    return stream_scan(turns, RULES, horizon=1024).unionByName(forked)
+    forked = stream_scan(fork(own, states, children), RULES)
+    return stream_scan(turns, RULES).unionByName(forked)
 
 
 @query(rule_events())
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = conversations(spark, sf_dir)
     # the saved state is a table in shared storage, as it would be between two jobs
-    states = stored(carry(turns.where("seq < 3"), tail_bytes(RULES, 1024)), "states")
-    before = stream_scan(turns.where("seq < 3"), RULES, horizon=1024, close=False)
-    return before.unionByName(stream_scan(resume(turns.where("seq >= 3"), states), RULES, horizon=1024))
+    states = stored(carry(turns.where("seq < 3"), RULES), "states")
+    before = stream_scan(turns.where("seq < 3"), RULES, close=False)
+    return before.unionByName(stream_scan(resume(turns.where("seq >= 3"), states), RULES))
 
 
-@query("""SELECT count(*) AS streams, max(least(n, 64))::BIGINT AS max_bytes, avg(least(n, 64)) AS avg_bytes
-FROM (SELECT sum(strlen(text)) AS n FROM conversations GROUP BY conv_id)""")
-def stream_state_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return state_sizes(carry(conversations(spark, sf_dir), 64))
+BEFORE = "(SELECT conv_id AS stream_id, string_agg(text, '' ORDER BY turn) AS text FROM conversations WHERE turn < 2 GROUP BY conv_id)"
+UP_TO = "(SELECT conv_id AS stream_id, string_agg(text, '' ORDER BY turn) AS text FROM conversations WHERE turn <= 2 GROUP BY conv_id)"
+
+
+@query(f"""
+WITH once AS ({rule_events(UP_TO)})
+SELECT * FROM once
+UNION ALL SELECT once.* FROM once JOIN {FORK_AT} f ON once.stream_id = f.conv_id WHERE once."to" > f.off""")
+def stream_rewind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two turns, the state saved, a third turn; back to the state, and the third turn again."""
+    turns = conversations(spark, sf_dir).where("seq <= 2")
+    states = stored(carry(turns.where("seq < 2"), RULES), "states")
+    again = turns.where("seq = 2").withColumn("seq", F.col("seq") + 1)
+    back = rewind(turns.unionByName(again), states.join(again.select("stream_id"), "stream_id", "left_semi"), F.lit(3))
+    return stream_scan(back, RULES)
+
+
+@query(f"""
+WITH m AS ({rule_events()}), own AS ({rule_events(BEFORE)})
+SELECT * FROM m UNION ALL
+SELECT stream_id + 1000000, pattern_id, "from", "to" FROM own UNION ALL
+SELECT m.stream_id + 1000000, m.pattern_id, m."from", m."to" FROM m JOIN {FORK_AT} f ON m.stream_id = f.conv_id WHERE m."to" > f.off""")
+def stream_reset_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streams that have read two turns are reset and become copies of others, then go on with the others' later turns."""
+    turns = conversations(spark, sf_dir)
+    states = stored(carry(turns.where("seq < 2"), RULES), "states")
+    other = turns.withColumn("stream_id", F.col("stream_id") + 1_000_000)
+    copies = states.withColumn("stream_id", F.col("stream_id") + 1_000_000)
+    return stream_scan(turns, RULES).unionByName(stream_scan(rewind(other, copies, F.lit(2)), RULES))
 
 
 @query(union(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +10,11 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only on a local master."""
+    """The shared folder the cluster names."""
     named = spark.conf.get(CHECKPOINT_DIR, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not named:
         raise RuntimeError(f"{CHECKPOINT_DIR} must name a shared folder")
-    made = tempfile.mkdtemp(prefix="sparkscan-")
-    spark.conf.set(CHECKPOINT_DIR, made)
-    return made
+    return named.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

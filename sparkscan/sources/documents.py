@@ -1,4 +1,4 @@
-"""Haystack tables: whole files, Parquet columns, and even spreading of work."""
+"""Haystack tables: whole files and Parquet columns."""
 
 from __future__ import annotations
 
@@ -13,17 +13,6 @@ def whole_files(spark: SparkSession, path: str, *, binary: bool = False) -> Data
     return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores when the input has fewer splits than the cluster has.
-
-    Scanning is CPU bound, so a small table in one file would be searched by one
-    task. A large table has many splits and is returned as it is: its text is
-    never shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_table(spark: SparkSession, directory: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{directory}/{name}.parquet")
     return df.select(*columns) if columns else df

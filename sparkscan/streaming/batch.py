@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import spans as S
 from ..functions.regex import RIGHT_CONTEXT, RuleError
-from ..operators.numbering import running_before, spread_join
+from ..operators.numbering import running_before
 from ..operators.scan import _Plan, segment_events, split_rules
 
 STREAM_BLOCK = 65_536
@@ -152,36 +152,38 @@ def _whole_runs(blocks: DataFrame, plan: _Plan, size: int) -> DataFrame:
         (last["at"] + F.length(last["text"])).alias("hi"), text.alias("text"))
 
 
-def _context(plans: list[_Plan], horizon: int | None) -> int:
-    unbounded = [p for p in plans if p.history]
-    if unbounded and horizon is None:
-        rule = unbounded[0].rule
-        raise RuleError("a match has no length bound: give the history (in bytes) a stream keeps", rule.ord)
-    widths = [p.width * (4 if p.rule.utf8 else 1) for p in plans if not p.history]
-    return max([0, *widths, (horizon or 0) if unbounded else 0]) + 4
+def _context(plans: list[_Plan]) -> int:
+    """Bytes to the left of an end that a match of any of the rules can hold."""
+    unbounded = [p for p in plans if p.unbounded]
+    if unbounded:
+        raise RuleError("a match may be of any length and hold any byte, so a stream can't be parted for it", unbounded[0].rule.ord)
+    return max([0, *[p.width * (4 if p.rule.utf8 else 1) for p in plans]]) + 4
+
+
+def _in_runs(plan: _Plan) -> bool:
+    """Whether a rule without a length bound can be searched in stretches no match leaves."""
+    return plan.unbounded and bool(plan.p.cover) and not plan.rule.utf8 and not plan.allow_empty
 
 
 def stream_scan(
-    chunks: DataFrame, rules, *, horizon: int | None = None, close: bool = True, size: int = STREAM_BLOCK,
-    som: bool = False, epochs: bool = False,
+    chunks: DataFrame, rules, *, close: bool = True, size: int = STREAM_BLOCK, som: bool = False, epochs: bool = False,
 ) -> DataFrame:
     """Matches over whole streams, those across chunk edges included: ``(stream_id, pattern_id, from, to)``.
 
-    Without ``horizon``, rules whose matches have no length bound are searched
-    exactly, in stretches of the stream a match cannot leave; this is not
-    possible where any byte may be part of a match (``.`` across lines) or for
-    UTF-8 rules. With it, such rules see that many bytes of history, as a live
-    stream does. Streams are closed at their last row unless ``close`` is off;
-    an epoch that is followed by a reset, or has a close row, always is. With
+    Rules whose matches have no length bound are searched in stretches of the
+    stream a match cannot leave. Where any byte may be part of a match (``.``
+    across lines), and for such rules in UTF-8, that is not possible, and they are
+    refused. Streams are closed at their last row unless ``close`` is off; an
+    epoch that is followed by a reset, or has a close row, always is. With
     ``epochs`` the epoch column stays.
     """
     plain, combos = split_rules(rules)
     if combos:
         raise RuleError("combinations are evaluated on whole haystacks", combos[0].rule.ord)
     plans = [_Plan(r, som) for r in plain if "Q" not in r.flags]
-    exact = [p for p in plans if p.history and horizon is None and p.p.cover and not p.rule.utf8 and not p.allow_empty]
+    exact = [p for p in plans if _in_runs(p)]
     plans = [p for p in plans if p not in exact]
-    left = _context(plans, horizon)
+    left = _context(plans)
     right = RIGHT_CONTEXT * 4
     size = max(size, left)
     placed = with_offsets(chunks)
@@ -230,34 +232,41 @@ def _mark_open(blocks: DataFrame, chunks: DataFrame) -> DataFrame:
     opened = F.max(F.when(opens == 1, F.col("seq")))
     state = chunks.groupBy("stream_id").agg(F.sum(opens).alias("last"), closes.alias("c"), opened.alias("o"))
     state = state.select("stream_id", "last", (F.col("c").isNotNull() & (F.col("c") > F.coalesce("o", F.lit(-1)))).alias("closed"))
-    joined = spread_join(blocks, state, ["stream_id"], "lo")
+    joined = blocks.join(state, "stream_id")
     return joined.withColumn("open", (F.col("epoch") == F.col("last")) & ~F.col("closed")).drop("last", "closed")
 
 
-def carry(chunks: DataFrame, tail: int) -> DataFrame:
+def carry(chunks: DataFrame, rules) -> DataFrame:
     """State to resume from: ``(stream_id, offset, tail)`` at the end of each stream's last epoch.
 
-    Only the last ``tail`` bytes of a stream are brought together.
+    The tail is all a later match of the rules can hold of the bytes so far: the
+    longest bounded match, and for a rule without a bound the characters at the
+    end that it may go on from.
     """
+    plain, _ = split_rules(rules)
+    plans = [_Plan(r) for r in plain]
+    exact = [p for p in plans if _in_runs(p)]
+    keep = _context([p for p in plans if p not in exact])
     placed = with_offsets(chunks)
     n = F.octet_length("data")
-    ends = placed.groupBy("stream_id").agg(F.max(F.struct("epoch", (F.col("off") + n).alias("offset"))).alias("m"))
-    ends = ends.select("stream_id", F.col("m.epoch").alias("last"), F.col("m.offset").alias("offset"))
-    near = spread_join(placed, ends, ["stream_id"], "seq").where(
-        (F.col("epoch") == F.col("last")) & (F.col("off") + n > F.col("offset") - tail))
-    skip = F.greatest(F.col("offset") - tail - F.col("off"), F.lit(0)).cast("int")
+    view = F.decode("data", "ISO-8859-1")
+    # the start of the run of a rule's characters that a chunk ends with, if it doesn't fill the chunk
+    runs = [n - F.length(F.regexp_extract(view, f"{p.p.flags}{p.p.cover}*+\\z", 0)) for p in exact]
+    starts = [F.when((r > 0) | F.col("silent"), F.col("off") + r) for r in runs]
+    ends = placed.groupBy("stream_id", "epoch").agg(
+        F.max(F.col("off") + n).alias("offset"), *[F.max(s).alias(f"s{k}") for k, s in enumerate(starts)])
+    last = ends.groupBy("stream_id").agg(F.max(F.struct("epoch", *[c for c in ends.columns if c not in ("stream_id", "epoch")])).alias("m"))
+    least = [F.coalesce(F.col(f"m.s{k}"), F.lit(0)) - RIGHT_CONTEXT for k in range(len(exact))]
+    begin = F.least(F.col("m.offset") - keep, *least) if least else F.col("m.offset") - keep
+    last = last.select("stream_id", F.col("m.epoch").alias("last"), F.col("m.offset").alias("offset"), F.greatest(begin, F.lit(0)).alias("begin"))
+    near = placed.join(last, "stream_id").where((F.col("epoch") == F.col("last")) & (F.col("off") + n > F.col("begin")))
+    skip = F.greatest(F.col("begin") - F.col("off"), F.lit(0)).cast("int")
     piece = F.decode(F.substring(F.col("data"), skip + 1, n), "ISO-8859-1")
     grouped = near.groupBy("stream_id", "offset").agg(F.array_sort(F.collect_list(F.struct("off", piece.alias("p")))).alias("ps"))
     text = F.array_join(F.transform("ps", lambda p: p["p"]), "")
     return grouped.select("stream_id", "offset", F.encode(text, "ISO-8859-1").alias("tail"))
 
 
-def tail_bytes(rules, horizon: int | None = None) -> int:
-    """Bytes of history a rule set needs at a chunk edge."""
-    plain, _ = split_rules(rules)
-    return _context([_Plan(r) for r in plain], horizon)
-
-
 def restore_rows(states: DataFrame, seq: Column) -> DataFrame:
     """Control rows that put saved states back: the stream continues from them."""
     return states.select(
@@ -294,9 +303,3 @@ def _controlled(chunks: DataFrame) -> DataFrame:
         (F.col("control") if "control" in names else F.lit(None)).cast("string").alias("control"),
         (F.col("offset") if "offset" in names else F.lit(None)).cast("bigint").alias("offset"),
     )
-
-
-def state_sizes(states: DataFrame) -> DataFrame:
-    """Bytes of saved history over all streams."""
-    n = F.octet_length("tail")
-    return states.agg(F.count("*").alias("streams"), F.max(n).cast("bigint").alias("max_bytes"), F.avg(n).alias("avg_bytes"))

@@ -19,7 +19,8 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from ..functions import spans as S
 from ..operators.scan import _Plan, segment_events, split_rules
-from .batch import CLOSE, RESET, RESTORE, _as_characters, _context
+from ..functions.regex import RuleError
+from .batch import CLOSE, RESET, RESTORE, _as_characters, _context, _in_runs
 
 # workers need the two processors below, not an installed copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -66,8 +67,8 @@ class Stitcher(StatefulProcessor):
     state until the gap before it is filled.
     """
 
-    def __init__(self, keep: int):
-        self.keep = keep
+    def __init__(self, keep: int, covers: list[bytes]):
+        self.keep, self.covers = keep, covers
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.carry = handle.getValueState("carry", _CARRY)
@@ -77,6 +78,7 @@ class Stitcher(StatefulProcessor):
         saved = self.carry.get()
         self.next, self.epoch, self.offset, self.tail = saved if saved is not None else (0, 0, 0, b"")
         self.tail = bytes(self.tail)
+        self.closed = False
         for batch in rows:
             out: list[tuple] = []
             batch = batch.sort_values("seq")
@@ -100,24 +102,37 @@ class Stitcher(StatefulProcessor):
                     out = []
             if out:
                 yield pd.DataFrame(out, columns=STITCHED.names)
-        self.carry.update((self.next, self.epoch, self.offset, self.tail))
+        if self.closed and not self.waiting.exists():
+            self.carry.clear()
+        else:
+            self.carry.update((self.next, self.epoch, self.offset, self.tail))
 
     def _take(self, stream_id, row, out: list) -> None:
         payload, control, offset = row
         payload = bytes(payload)
         self.next += 1
+        self.closed = control == CLOSE
         if control in (RESET, CLOSE, RESTORE):
             out.append(self._segment(stream_id, True, b""))
             self.epoch += 1
             self.offset, self.tail = 0, b""
             if control == RESTORE:
                 self.offset = len(payload) if offset is None else offset
-                self.tail = payload[-self.keep:]
+                self.tail = self._kept(payload)
             return
         if payload:
             out.append(self._segment(stream_id, False, payload))
             self.offset += len(payload)
-            self.tail = (self.tail + payload)[-self.keep:]
+            self.tail = self._kept(self.tail + payload)
+
+    def _kept(self, data: bytes) -> bytes:
+        """What a later match can hold: the last bytes, and the run of a rule's characters that may go on."""
+        at = max(0, len(data) - self.keep)
+        for cover in self.covers:
+            # rules that look right report up to HOLD bytes late
+            for late in range(min(HOLD, len(data)) + 1):
+                at = min(at, max(0, len(data[:len(data) - late].rstrip(cover)) - 1))
+        return data[at:]
 
     def _segment(self, stream_id, closing: bool, payload: bytes) -> tuple:
         base = self.offset - len(self.tail)
@@ -128,7 +143,10 @@ class Stitcher(StatefulProcessor):
 
 
 class FirstOnly(StatefulProcessor):
-    """Single match over a stream's life: the earliest end seen is the only event."""
+    """Single match over a stream's life: the earliest end seen is the only event. Other rules' events pass."""
+
+    def __init__(self, once: list[int]):
+        self.once = once
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.done = handle.getValueState("done", T.StructType([T.StructField("to", T.LongType())]))
@@ -136,6 +154,9 @@ class FirstOnly(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         best = None
         for batch in rows:
+            if key[2] not in self.once:
+                yield pd.DataFrame({"stream_id": key[0], "epoch": key[1], "pattern_id": key[2], "start": batch["start"], "end": batch["end"]})
+                continue
             for start, end in zip(batch["start"], batch["end"]):
                 if best is None or (end, start) < best:
                     best = (int(end), int(start))
@@ -163,20 +184,32 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def live_scan(chunks: DataFrame, rules, *, horizon: int | None = None, tasks: int | None = None) -> DataFrame:
+def _cover_bytes(spark: SparkSession, plan: _Plan) -> bytes:
+    """The bytes a match may hold, asked of the JVM's engine once for each."""
+    own = spark.sparkContext._jvm.java.util.regex.Pattern.compile(plan.p.flags + plan.p.cover)
+    return bytes(b for b in range(256) if own.matcher(chr(b)).matches())
+
+
+def live_scan(chunks: DataFrame, rules, *, tasks: int | None = None) -> DataFrame:
     """Streaming matches ``(stream_id, epoch, pattern_id, from, to)`` of a streaming chunk table.
 
     ``chunks`` has ``(stream_id, seq, payload, control)`` with ``seq`` counting
     from 0; control is NULL, ``reset``, ``close`` or ``restore`` (with ``offset``).
-    Matches at the end of data are reported by close and reset. Single-match
-    rules may not be mixed with others in one query.
+    Matches at the end of data are reported by close and reset; a close frees the
+    stream's state. Rules without a length bound keep the run of characters a
+    match can go on from; they are refused where that may be any byte, as are
+    combinations.
     """
-    plain, _ = split_rules(rules)
+    plain, combos = split_rules(rules)
+    if combos:
+        raise RuleError("combinations are evaluated on whole haystacks", combos[0].rule.ord)
     plans = [_Plan(r) for r in plain if "Q" not in r.flags]
-    once = {p.first_only for p in plans}
-    if len(once) > 1:
-        raise ValueError("scan single-match rules in a query of their own")
-    keep = _context(plans, horizon) + HOLD
+    once = sorted({p.rule.pattern_id for p in plans if p.first_only})
+    if any(p.rule.pattern_id in once and not p.first_only for p in plans):
+        raise RuleError("rules of one id must all be single-match, or none", plans[0].rule.ord)
+    runs = [p for p in plans if _in_runs(p)]
+    keep = _context([p for p in plans if p not in runs]) + HOLD
+    covers = [_cover_bytes(chunks.sparkSession, p) for p in runs]
     names = set(chunks.columns)
     rows = chunks.select(
         F.col("stream_id").cast("bigint").alias("stream_id"), F.col("seq").cast("bigint").alias("seq"),
@@ -185,15 +218,15 @@ def live_scan(chunks: DataFrame, rules, *, horizon: int | None = None, tasks: in
         (F.col("offset") if "offset" in names else F.lit(None)).cast("bigint").alias("offset"),
     )
     stitched = rows.groupBy("stream_id").transformWithStateInPandas(
-        statefulProcessor=Stitcher(keep), outputStructType=STITCHED, outputMode="Append", timeMode="None")
+        statefulProcessor=Stitcher(keep, covers), outputStructType=STITCHED, outputMode="Append", timeMode="None")
     # state follows the stream id; the regex work after it need not, so a busy stream is spread out
     work = stitched.repartition(tasks or int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     matched = work.select("stream_id", "epoch", F.inline(_events(plans)))
-    if once != {True}:
+    if not once:
         return matched
     renamed = matched.withColumnsRenamed({"from": "start", "to": "end"})
     first = renamed.groupBy("stream_id", "epoch", "pattern_id").transformWithStateInPandas(
-        statefulProcessor=FirstOnly(), outputStructType=FIRST, outputMode="Append", timeMode="None")
+        statefulProcessor=FirstOnly(once), outputStructType=FIRST, outputMode="Append", timeMode="None")
     return first.withColumnsRenamed({"start": "from", "end": "to"})
 
 

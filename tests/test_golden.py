@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from sparkscan import Regex, Rule, pcre_scan, prepare, scan, scan_one, stream_scan, vectored_scan
 from sparkscan.operators.rules import single
-from sparkscan.streaming.batch import carry, fork, resume, rewind, tail_bytes
+from sparkscan.streaming.batch import carry, fork, resume, rewind
 
 from .helpers import rows
 
@@ -38,7 +38,7 @@ def test_vectored(spark):
 def test_stream_chunks_of_4096(spark):
     text = "x" * 4094 + "baaab"
     chunks = spark.createDataFrame([(1, 0, text[:4096]), (1, 1, text[4096:])], CHUNKS)
-    assert [r[2:] for r in rows(stream_scan(chunks, "/a+/L", horizon=64))] == [(4095, 4096), (4095, 4097), (4095, 4098)]
+    assert [r[2:] for r in rows(stream_scan(chunks, "/a+/L"))] == [(4095, 4096), (4095, 4097), (4095, 4098)]
 
 
 def parts(spark, *texts, stream=1, start=0):
@@ -57,7 +57,7 @@ def test_stream_reset(spark):
 
 
 def test_stream_reset_and_copy(spark):
-    states = carry(parts(spark, "foo t", "es"), tail_bytes("/test/L"))
+    states = carry(parts(spark, "foo t", "es"), "/test/L")
     children = spark.createDataFrame([(2, 1)], "stream_id long, parent_id long")
     child = stream_scan(parts(spark, "test", stream=2), "/test/L")
     copied = stream_scan(fork(parts(spark, "t bar", stream=2), states, children), "/test/L")
@@ -65,13 +65,13 @@ def test_stream_reset_and_copy(spark):
 
 
 def test_stream_save_and_resume(spark):
-    states = carry(parts(spark, "foo t", "es"), tail_bytes("/test/L"))
+    states = carry(parts(spark, "foo t", "es"), "/test/L")
     assert [tuple(r) for r in states.collect()] == [(1, 7, b"foo tes")]
     assert rows(stream_scan(resume(parts(spark, "t bar", start=2), states), "/test/L")) == [(1, 0, 4, 8)]
 
 
 def test_stream_rewind(spark):
-    states = carry(parts(spark, "foo t", "es"), tail_bytes("/test/L"))
+    states = carry(parts(spark, "foo t", "es"), "/test/L")
     chunks = parts(spark, "foo t", "es", "t bar", "t bar")
     assert rows(stream_scan(rewind(chunks, states, F.lit(3)), "/test/L")) == [(1, 0, 4, 8), (1, 0, 4, 8)]
 

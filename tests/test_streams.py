@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from sparkscan import RuleError, scan, stream_scan
 from sparkscan.operators.control import apply_horizon, handle_matches, single_match, skip_rule, terminate, within
-from sparkscan.operators.numbering import running_before, spread_join
+from sparkscan.operators.numbering import running_before
 from sparkscan.operators.ranking import hits_per_rule, rule_ranking
-from sparkscan.operators.sessions import boundary_matches, sessionize
+from sparkscan.operators.sessions import block_matches, boundary_matches, session_ids, sessionize
 from sparkscan.session import fresh_path, stored
-from sparkscan.sources.documents import spread, whole_files
+from sparkscan.sources.documents import whole_files
 from sparkscan.sources.frames import decode_frames, encode_frames
-from sparkscan.streaming.batch import carry, chunks_of, resume, state_sizes, tail_bytes, with_offsets
+from sparkscan.streaming.batch import carry, chunks_of, resume, with_offsets
 from sparkscan.streaming.live import live_scan, use_rocksdb
 
 from .helpers import brute, rows
@@ -55,7 +55,7 @@ def expected(streams):
 
 @pytest.mark.parametrize("size", [16, 100, 65_536])
 def test_any_cutting_and_any_block(chunks, streams, size):
-    assert rows(stream_scan(chunks, RULES, horizon=256, size=size)) == expected(streams)
+    assert rows(stream_scan(chunks, RULES, size=size)) == expected(streams)
 
 
 def test_open_streams_hold_back_the_end(spark):
@@ -71,15 +71,26 @@ def test_open_streams_hold_back_the_end(spark):
 def test_saving_anywhere_changes_nothing(chunks, streams):
     before, after = chunks.where("seq < 4"), chunks.where("seq >= 4")
     rules = [r for r in RULES if "$" not in r and "\\b" not in r and "\\B" not in r]
-    states = carry(before, tail_bytes(rules, 256))
-    got = stream_scan(before, rules, horizon=256).unionByName(stream_scan(resume(after, states), rules, horizon=256))
-    assert rows(got) == rows(stream_scan(chunks, rules, horizon=256))
-    sizes = state_sizes(states).first()
-    assert sizes.max_bytes <= tail_bytes(rules, 256)
+    rules += ["/[ab]+c/L", "/a[^\\n]*c/L"]
+    states = carry(before, rules)
+    got = stream_scan(before, rules).unionByName(stream_scan(resume(after, states), rules))
+    assert rows(got) == rows(stream_scan(chunks, rules))
+
+
+def test_long_matches_of_unbounded_and_wide_rules(spark):
+    text = b"a" + b"x" * 140_000 + b"b"
+    data = spark.createDataFrame([(1, k, text[k * 30_000:(k + 1) * 30_000]) for k in range(5)], CHUNKS)
+    rule = r"/^a[^\n]*b/L"
+    assert rows(stream_scan(data, rule)) == [(1, 0, 0, 140_002)]
+    states = carry(data.where("seq < 2"), rule)
+    assert rows(stream_scan(resume(data.where("seq >= 2"), states), "/a[^\\n]*b/L")) == [(1, 0, 0, 140_002)]
+    wide = spark.createDataFrame([(1, 0, b"x" + b"." * 100), (1, 1, b"." * 50 + b"y")], CHUNKS)
+    assert rows(stream_scan(wide, "/x.{150}y/sL", size=64)) == [(1, 0, 0, 152)]
+    assert rows(stream_scan(wide, f"/{'[.]' * 140}y/8L", size=64)) == [(1, 0, 11, 152)]
 
 
 def test_single_match_over_a_stream(chunks, streams):
-    got = rows(stream_scan(chunks, ["/a+b/HL", "/c/L"], horizon=256, size=16))
+    got = rows(stream_scan(chunks, ["/a+b/HL", "/c/L"], size=16))
     want = []
     for k, text in streams.items():
         first = sorted((e, s) for e, s in brute("a+b", "", text).items())[:1]
@@ -99,9 +110,9 @@ def test_unbounded_rules_are_exact_without_a_horizon(chunks, streams, size):
     assert rows(stream_scan(chunks, rules, size=size)) == sorted(want)
 
 
-def test_boundless_rules_need_a_horizon(chunks):
+def test_rules_that_may_hold_any_byte_are_refused(chunks):
     for rule in ("/a.*b/s", "/é+b/8L"):
-        with pytest.raises(RuleError, match="history"):
+        with pytest.raises(RuleError, match="any byte"):
             stream_scan(chunks, rule)
 
 
@@ -128,7 +139,7 @@ def test_live_equals_batch_out_of_order(spark, chunks, streams):
     data = chunks.withColumn("control", F.lit(None).cast("string")).unionByName(closes)
     # later chunks arrive in an earlier file
     files = lambda d: [d.where("seq % 2 = 1"), d.where("seq % 2 = 0")]
-    got = live(spark, data, RULES, files, horizon=256)
+    got = live(spark, data, RULES, files)
     assert [(a, c, d, e) for a, _, c, d, e in got] == expected(streams)
 
 
@@ -138,7 +149,26 @@ def test_live_single_match_and_reset(spark):
         [(1, 0, b"xa", None), (1, 1, b"a test", None), (1, 2, None, "reset"), (1, 3, b"te", None), (1, 4, b"st a", None), (2, 0, b"b", None)],
         schema)
     files = lambda d: [d.where("seq < 2"), d.where("seq >= 2")]
-    assert live(spark, data, ["/a/HL", "/test/HL"], files, tasks=3) == [(1, 0, 0, 1, 2), (1, 0, 1, 4, 8), (1, 1, 0, 5, 6), (1, 1, 1, 0, 4)]
+    first = [(1, 0, 0, 1, 2), (1, 0, 1, 4, 8), (1, 1, 0, 5, 6), (1, 1, 1, 0, 4)]
+    assert live(spark, data, ["/a/HL", "/test/HL"], files, tasks=3) == first
+    # beside others
+    assert live(spark, data, ["/a/HL", "/test/HL", "/t/L"], files, tasks=3) == sorted(
+        [*first, (1, 0, 2, 4, 5), (1, 0, 2, 7, 8), (1, 1, 2, 0, 1), (1, 1, 2, 3, 4)])
+    with pytest.raises(RuleError, match="combinations"):
+        live_scan(data, ["/a/L", "9:/0/C"])
+
+
+def test_closed_streams_leave_no_state(spark):
+    schema = "stream_id long, seq long, payload binary, control string"
+    data = spark.createDataFrame([(1, 0, b"xa", None), (1, 1, None, "close"), (2, 0, b"a", None)], schema)
+    use_rocksdb(spark)
+    source, sink, progress = (fresh_path(spark, n) for n in ("chunks", "matches", "progress"))
+    data.coalesce(1).write.parquet(source)
+    stream = spark.readStream.schema(data.schema).parquet(source)
+    writer = live_scan(stream, "/a/L").writeStream.format("parquet").option("path", sink).option("checkpointLocation", progress)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    state = spark.read.format("statestore").option("path", progress).option("stateVarName", "carry").load()
+    assert [r.key.stream_id for r in state.select("key").collect()] == [2]
 
 
 def test_chunks_put_together_again(spark, streams):
@@ -161,12 +191,6 @@ def test_running_sums_over_buckets(spark):
         assert r.m == (marks[-1] if marks else None)
 
 
-def test_spread_join(spark):
-    big = spark.range(1000).select((F.col("id") % 2).alias("k"), "id")
-    small = spark.createDataFrame([(0, "a"), (1, "b")], "k long, v string")
-    assert rows(spread_join(big, small, ["k"], "id").groupBy("v").count()) == [("a", 500), ("b", 500)]
-
-
 EVENTS = "doc_id long, pattern_id int, `from` long, `to` long"
 
 
@@ -199,6 +223,20 @@ def test_sessions_and_boundaries(spark):
     assert rows(boundary_matches(sessions, "/test/L")) == [(0, 0, 0, 4), (0, 0, 5, 9)]
 
 
+def test_sessions_of_sparse_numbers(spark):
+    packets = spark.createDataFrame([(10**15 * k, f"w{k % 3}") for k in range(9)], "packet_no long, who string")
+    assert rows(session_ids(packets, ["who"]).select("first_no", "stream_id")) == [(0, 0), (10**15, 1), (2 * 10**15, 2)]
+
+
+def test_boundaries_with_and_without_starts(spark):
+    sessions = spark.createDataFrame([(0, 0, b"abcde"), (1, 0, b"click"), (2, 0, b"cli"), (3, 0, b"ck")], "packet_no long, stream_id long, payload binary")
+    mixed = ["/click/L", "/li/", "/ec/"]
+    assert rows(block_matches(sessions, mixed)) == [(0, 0, 5, 10), (0, 1, 0, 8), (0, 1, 0, 13)]
+    assert rows(boundary_matches(sessions, mixed)) == [(0, 0, 10, 15), (0, 2, 0, 6)]
+    with pytest.raises(RuleError, match="all report starts"):
+        block_matches(sessions, ["1:/a/L", "1:/b/"])
+
+
 def test_frames(spark):
     fields = "packet_no long, proto int, src long, sport int, dst long, dport int, payload binary"
     sent = spark.createDataFrame(
@@ -228,6 +266,4 @@ def test_sources(spark, tmp_path):
     assert [r.text for r in whole_files(spark, str(tmp_path)).collect()] == ["é\nb"]
     raw = whole_files(spark, str(tmp_path), binary=True)
     assert rows(scan(raw, "/b/L", payload="payload", keys=()).select("from", "to")) == [(3, 4)]
-    one = spark.range(10).coalesce(1)
-    assert spread(one).rdd.getNumPartitions() > 1 and rows(spread(one)) == [(i,) for i in range(10)]
     assert rows(stored(spark.range(3), "t")) == [(0,), (1,), (2,)]
