@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
+from .scan import apply_horizon
 
 ORDER = ("to", "pattern_id", "from")
 
@@ -49,14 +50,6 @@ def within(
     return out
 
 
-def apply_horizon(matches: DataFrame, horizon: int | None) -> DataFrame:
-    """Start offsets further back than the horizon are reported as -1."""
-    if horizon is None:
-        return matches
-    near = F.col("to") - F.col("from") <= horizon
-    return matches.withColumn("from", F.when(near, F.col("from")).otherwise(F.lit(-1).cast("bigint")))
-
-
 def handle_matches(matches: DataFrame, action: Column, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Apply a per-event handler that answers continue / skip / terminate.
 

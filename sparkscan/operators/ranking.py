@@ -34,6 +34,22 @@ def rule_profile(matches: DataFrame, length: str = "n_bytes") -> DataFrame:
         F.bool_or(at_end).alias("at_end"), F.bool_and(at_end).alias("only_at_end"))
 
 
+CRITERIA = ("hits", "docs", "bytes")
+
+
+def rule_costs(matches: DataFrame, by: str = "hits", *, keys: Sequence[str] = ("doc_id",), length: str = "n_bytes") -> DataFrame:
+    """What a rule costs: its events, the haystacks it matches in, or the bytes of those: ``(pattern_id, cost)``.
+
+    ``length`` is the haystack's size, carried through the scan as a key column; it is only needed for ``bytes``.
+    """
+    if by not in CRITERIA:
+        raise ValueError(f"the criterion is one of {CRITERIA}")
+    sizes = [F.max(length).alias("size")] if by == "bytes" else []
+    per_doc = matches.groupBy("pattern_id", *keys).agg(F.count("*").alias("n"), *sizes)
+    cost = {"hits": F.sum("n"), "docs": F.count("*")}.get(by)
+    return per_doc.groupBy("pattern_id").agg((F.sum("size") if cost is None else cost).cast("bigint").alias("cost"))
+
+
 def rule_ranking(costs: DataFrame, factor: int = 1, generations: int = 10, *, descending: bool = True) -> DataFrame:
     """Cut the ``factor`` most expensive rules per generation, cumulatively.
 

@@ -169,6 +169,12 @@ def exclude_rules(rules: DataFrame, excluded: DataFrame) -> DataFrame:
     return rules.join(excluded.select("pattern_id").distinct(), "pattern_id", "left_anti").select(*rules.columns)
 
 
+def horizon_bytes(rules: list[Rule]) -> int | None:
+    """The set's horizon in bytes; ``None`` if starts are never too far back."""
+    name = som_horizon(rules)
+    return SOM_HORIZONS[name] if name else None
+
+
 def som_horizon(rules: list[Rule]) -> str | None:
     """Horizon of the whole set: the largest any rule asks for; medium unless stated."""
     asked = [r.som or "medium" for r in rules if "L" in r.flags]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import spans as S
 from ..functions.approx import approx_events
 from ..functions.regex import MAX_LOOKBEHIND, RuleError, alternation, captures, quote
-from .rules import MAX_RULES, Rule, check_rules, rule_list
+from .rules import MAX_RULES, Rule, check_rules, horizon_bytes, rule_list
 
 BLOCK = 4096
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -250,7 +250,21 @@ def scan(
             out = events
         else:
             out = F.when(s["kind"] == k, events) if out is None else out.when(s["kind"] == k, events)
-    return cut.select(*keys, F.inline(out))
+    found = cut.select(*keys, F.inline(out))
+    horizon = horizon_bytes(plain)
+    if horizon is None or horizon >= 1 << 31:  # no text is longer
+        return found
+    return apply_horizon(found, horizon, sorted({r.pattern_id for r in plain if "L" in r.flags}))
+
+
+def apply_horizon(matches: DataFrame, horizon: int | None, ids: Sequence[int] | None = None) -> DataFrame:
+    """Start offsets further back than the horizon are reported as -1; ``ids`` names the rules that report starts."""
+    if horizon is None:
+        return matches
+    far = F.col("to") - F.col("from") > horizon
+    if ids is not None:
+        far = far & F.col("pattern_id").isin(list(ids))
+    return matches.withColumn("from", F.when(far, F.lit(-1).cast("bigint")).otherwise(F.col("from")))
 
 
 def _combination_events(s: Column, plain: list[Rule], combos: list[Combination]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ranking import group_ablation, rule_profile, rule_ranking
+from ..operators.ranking import group_ablation, rule_costs, rule_profile, rule_ranking
 from ..operators.scan import scan
 from .registry import QUERIES, documents, query
 from .scan_queries import FREQUENT, _counts
@@ -49,3 +49,20 @@ FROM g GROUP BY (i * 4 - 1) // n""")
 def rule_group_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
     costs = QUERIES["multi_scan_counts"](spark, sf_dir).select("pattern_id", F.col("hits").alias("cost"))
     return group_ablation(costs, 3, F.col("pattern_id") * 7 % 11)
+
+
+@query(f"""
+WITH m AS (SELECT DISTINCT doc_id, pattern_id FROM ({union(
+    *['SELECT doc_id, pattern_id FROM (' + spans(p, i) + ')' for i, p in enumerate(("tion", "(?i)license", "[0-9]+", "@"))])})),
+ c AS (SELECT 'docs' AS criterion, pattern_id, count(*) AS cost FROM m GROUP BY pattern_id
+   UNION ALL SELECT 'bytes', pattern_id, sum(strlen(text))::BIGINT FROM m JOIN documents USING (doc_id) GROUP BY pattern_id)
+SELECT criterion, pattern_id, cost, (row_number() OVER w)::INT AS rank, (row_number() OVER w - 1)::INT AS generation,
+  (sum(cost) OVER (PARTITION BY criterion) - sum(cost) OVER (w ROWS UNBOUNDED PRECEDING))::BIGINT AS score,
+  (sum(cost) OVER (PARTITION BY criterion) - sum(cost) OVER (w ROWS UNBOUNDED PRECEDING)) / sum(cost) OVER (PARTITION BY criterion) AS ratio
+FROM c WINDOW w AS (PARTITION BY criterion ORDER BY cost DESC, pattern_id) QUALIFY row_number() OVER w <= 3""")
+def rule_ranking_criteria(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules ranked by the documents they match in, and by the bytes of those."""
+    docs = documents(spark, sf_dir).withColumn("n_bytes", F.octet_length("text").cast("bigint"))
+    found = scan(docs, ["/tion/L", "/license/iL", "/[0-9]+/L", "/@/L"], keys=("doc_id", "n_bytes"))
+    parts = [rule_ranking(rule_costs(found, by), generations=3).select(F.lit(by).alias("criterion"), "*") for by in ("docs", "bytes")]
+    return parts[0].unionByName(parts[1])

@@ -9,7 +9,7 @@ from ..operators.rules import Rule, exclude_rules, rules_table, union_rules
 from ..operators.scan import hit_counts
 from ..session import fresh_path
 from ..sources.documents import read_table
-from ..sources.rule_files import format_rules, load_snapshot, parse_rules, save_snapshot
+from ..sources.rule_files import format_rules, load_rules, load_snapshot, parse_rules, save_snapshot, store_rules
 from .registry import documents, query
 from .sql import lit
 
@@ -83,6 +83,22 @@ def rules_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return again.select("ord", "kept.line", (F.struct(*names) == F.col("kept.was")).alias("same"))
 
 
+@query("""
+SELECT (row_number() OVER (ORDER BY p_partkey) - 1)::INT AS ord,
+  (CASE p_size % 5 WHEN 3 THEN p_partkey + 7 WHEN 4 THEN p_partkey + 9 ELSE p_partkey END)::INT AS pattern_id,
+  CASE p_size % 5 WHEN 3 THEN p_name || '.*x' WHEN 4 THEN 'a/' || p_name ELSE p_name END AS expression,
+  CASE p_size % 5 WHEN 1 THEN '' WHEN 2 THEN 'i' WHEN 3 THEN 'msL' ELSE 'H8' END AS flags
+FROM part WHERE p_size % 5 <> 0""")
+def rules_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules written as files and read again: positions are counted anew, ids are kept."""
+    rules = parse_rules(part_lines(spark, sf_dir))
+    path = fresh_path(spark, "rules")
+    # ids are written where they differ from the position, so positions are moved away from them
+    store_rules(rules.withColumn("ord", F.col("ord") + 1_000_000), path)
+    again = load_rules(spark, path)
+    return again.select("ord", "pattern_id", "expression", F.concat_ws("", "flags").alias("flags"))
+
+
 WORDS = ["license", "http", "error", "tion", "with", "@", "192", "und der", "que", "the "]
 
 

@@ -214,3 +214,27 @@ def frames_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
         # frames without payload are dropped by the decoder
         F.when(F.col("event_type") == "view", F.lit("")).otherwise(F.col("props")).cast("binary").alias("payload"))
     return decode_frames(encode_frames(sent)).withColumn("payload", F.col("payload").cast("string"))
+
+
+@query("""
+SELECT event_id AS packet_no, 6::INT AS proto, '10.0.' || (user_id // 256) || '.' || (user_id % 256) AS src, 80::INT AS sport,
+  '192.168.0.1' AS dst, 81::INT AS dport, CASE WHEN event_id % 8 = 7 THEN substr(props, 5) ELSE props END AS payload
+FROM events WHERE event_id % 8 IN (6, 7)""")
+def frames_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames of every kind that is left out, beside two that are kept, one of them with TCP options."""
+    rows = read_table(spark, sf_dir, "events", "event_id", "user_id", "props")
+    frames = encode_frames(rows.select(
+        F.col("event_id").alias("packet_no"), F.lit(6).alias("proto"), (F.lit(10 << 24) + F.col("user_id")).alias("src"),
+        F.lit(80).alias("sport"), F.lit((192 << 24) + (168 << 16) + 1).alias("dst"), F.lit(81).alias("dport"),
+        F.col("props").cast("binary").alias("payload")))
+
+    def put(at: int, value: int):
+        return F.overlay("frame", F.lit(bytes([value])), F.lit(at + 1))
+
+    # other protocol above the link, other version, more fragments, later fragment, other transport, no payload
+    changed = [put(12, 0x86), put(14, 0x65), put(20, 0x20), put(21, 1), put(23, 1), F.substring("frame", 1, 54)]
+    # four bytes of options before the payload
+    changed += [F.col("frame"), put(46, 0x60)]
+    kind = F.col("packet_no") % 8
+    frame = F.coalesce(*[F.when(kind == k, c) for k, c in enumerate(changed)])
+    return decode_frames(frames.withColumn("frame", frame)).withColumn("payload", F.col("payload").cast("string"))

@@ -80,16 +80,27 @@ def format_rules(rules: DataFrame, *, line: str = "line", keep: tuple[str, ...]
 
 
 def load_rules(spark: SparkSession, path: str, kind: str = "regex") -> DataFrame:
-    """Rule file: one rule per line, positions counted over the lines that hold a rule."""
-    lines = spark.read.text(path).coalesce(1).withColumn("pos", F.monotonically_increasing_id())
+    """Rule file or folder: one rule per line, positions counted over the lines that hold a rule, files in the order of their names.
+
+    Lines are numbered within the splits they are read in, and splits by their place.
+    """
+    split = ["__file", "__at"]
+    lines = spark.read.text(path).select(
+        "value", F.monotonically_increasing_id().alias("__line"), F.col("_metadata.file_name").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__at"))
     kept = lines.where(~F.trim("value").rlike(r"^(?:#.*)?$"))
-    numbered = kept.withColumn("ord", F.row_number().over(Window.orderBy("pos")) - 1)
+    inside = kept.withColumn("__n", F.row_number().over(Window.partitionBy(*split).orderBy("__line")) - 1)
+    # a row for each split of the files
+    earlier = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    before = kept.groupBy(*split).agg(F.count("*").alias("__c")).select(
+        *split, F.coalesce(F.sum("__c").over(earlier), F.lit(0)).alias("__before"))
+    numbered = inside.join(before, split).withColumn("ord", (F.col("__before") + F.col("__n")).cast("int"))
     return parse_rules(numbered, kind, line="value")
 
 
 def store_rules(rules: DataFrame, path: str) -> None:
-    """Rule file, one part, in rule order."""
-    format_rules(rules).orderBy("ord").coalesce(1).select("line").write.mode("overwrite").text(path)
+    """A folder of rule files; their names follow rule order."""
+    format_rules(rules).orderBy("ord").select("line").write.mode("overwrite").text(path)
 
 
 def save_snapshot(rules: DataFrame, path: str, version: int = 0) -> None:
