@@ -29,7 +29,7 @@ from tokenizers import Tokenizer
 from .common import text_slices
 
 NEVER = np.int64(1) << 40
-MAX_WORDS = 600_000
+MAX_WORDS = 300_000
 SHORT = 40
 UNCOMMON = re.compile("[^\x00-\u024f]")
 # The split patterns of the two kinds of vocabulary, with the letters, digits and blanks up to U+024F.

@@ -33,17 +33,19 @@ BUCKET_ROWS = 4_000
 END = np.zeros(1, "<u4").tobytes()
 
 
-def pieces(df: DataFrame, path: str, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Cut each document's ids, ended by id 0: ``(key, piece, start, length, ids)``; only the first piece may be short.
+def pieces(df: DataFrame, path: str, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text", *, ids: bool = True) -> DataFrame:
+    """Cut each document's ids, ended by id 0: ``(key, piece, start, length, ids_crc32, ids)``; only the first piece may be short.
 
-    ``ids`` are little-endian unsigned 32-bit integers. A null text is empty, one piece of one id.
+    ``ids`` are little-endian unsigned 32-bit integers, left out if not asked
+    for. A null text is empty, one piece of one id.
     """
+    names = [key, "piece", "start", "length", "ids_crc32", "ids"][:5 + ids]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = byte_vocabulary(path)
         for keys, texts in text_slices(batches):
             encoded = [i + END for i in own.encode(texts)]
-            at, piece, start, ids = [], [], [], []
+            at, piece, start, parts = [], [], [], []
             for k, i in enumerate(encoded):
                 n = len(i) // 4
                 many = -(-n // capacity)
@@ -52,14 +54,15 @@ def pieces(df: DataFrame, path: str, capacity: int = CAPACITY, key: str = "doc_i
                     at.append(k)
                     piece.append(p)
                     start.append(cuts[p])
-                    ids.append(i[4 * cuts[p]:4 * cuts[p + 1]])
-            yield pa.RecordBatch.from_arrays([
+                    parts.append(i[4 * cuts[p]:4 * cuts[p + 1]])
+            columns = [
                 keys.take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
-                [key, "piece", "start", "length", "ids"])
+                pa.array([len(i) // 4 for i in parts], pa.int64()), pa.array([zlib.crc32(i) for i in parts], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(parts, pa.binary())] if ids else columns, names)
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, piece int, start bigint, length bigint, ids binary")
+    schema = f"`{key}` {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * ids
+    return df.select(key, text).mapInArrow(run, schema)
 
 
 class Fill:
@@ -173,10 +176,5 @@ def pack(df: DataFrame, path: str, capacity: int = CAPACITY, key: str = "doc_id"
 
     Repeated rows are documents of their own; other columns are left out; an empty table gives an empty one.
     """
-    @F.pandas_udf("bigint")
-    def crc(ids: pd.Series) -> pd.Series:
-        return pd.Series([zlib.crc32(i) for i in ids], dtype="int64")
-
-    cut = pieces(df, path, capacity, key, text).select(key, "piece", "start", "length", crc("ids").alias("ids_crc32"))
-    stored, _ = written(cut, "pieces")
+    stored, _ = written(pieces(df, path, capacity, key, text, ids=False), "pieces")
     return packed(stored, capacity)
