@@ -13,13 +13,10 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .regex import RuleError, alternation
+from .regex import ASCII_FOLD, RuleError, alternation
 from .spans import CLOSE, MARK, _event, let, no_events, running
 
 
-ASCII_FOLD = str.maketrans(ascii_uppercase, ascii_lowercase)
-
-
 def _pieces(literal: str, k: int) -> list[tuple[int, str]]:
     if k >= len(literal):
         raise RuleError("the distance must be smaller than the literal")

@@ -12,6 +12,7 @@ import re
 import re._constants as rc
 import re._parser as rp
 from dataclasses import dataclass
+from string import ascii_lowercase, ascii_uppercase
 
 # A rule wider than this many characters is not put in a look-behind.
 MAX_LOOKBEHIND = 128
@@ -52,6 +53,7 @@ CATEGORIES = {
     rc.CATEGORY_NOT_WORD: "\\W",
 }
 
+ASCII_FOLD = str.maketrans(ascii_uppercase, ascii_lowercase)
 FLAG_LETTERS = ((re.IGNORECASE, "i"), (re.MULTILINE, "m"), (re.DOTALL, "s"))
 
 
@@ -491,12 +493,13 @@ def overlaps_itself(text: str) -> bool:
 def alternation(texts, caseless: bool = False) -> str:
     """Prefix-factored alternation of plain texts, longest first at every position.
 
-    One such expression finds, at each position, the longest member starting there.
+    One such expression finds, at each position, the longest member starting
+    there. ``caseless`` is about ASCII letters.
     """
     trie: dict = {}
     for text in texts:
         node = trie
-        for c in text.lower() if caseless else text:
+        for c in text.translate(ASCII_FOLD) if caseless else text:
             node = node.setdefault(c, {})
         node[""] = {}
 
