@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from ..operators.sessions import boundary_matches, session_scan_stats, sessionize
 from ..session import fresh_path, stored
 from ..sources.documents import read_table
-from ..sources.frames import decode_frames, encode_frames
+from ..sources.frames import decode_frames
 from ..streaming.batch import carry, fork, resume, rewind, stream_scan
 from ..streaming.live import ROCKSDB, live_scan
+from .frame_input import encode_frames
 from .registry import conversations, query
 from .sql import STREAMS, spans, union
 

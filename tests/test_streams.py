@@ -10,9 +10,10 @@ from sparkscan.operators.control import apply_horizon, handle_matches, single_ma
 from sparkscan.operators.numbering import running_before
 from sparkscan.operators.ranking import hits_per_rule, rule_ranking
 from sparkscan.operators.sessions import block_matches, boundary_matches, session_ids, sessionize
+from sparkscan.plans.frame_input import encode_frames
 from sparkscan.session import fresh_path, stored
 from sparkscan.sources.documents import whole_files
-from sparkscan.sources.frames import decode_frames, encode_frames
+from sparkscan.sources.frames import decode_frames
 from sparkscan.streaming.batch import carry, chunks_of, resume, with_offsets
 from sparkscan.streaming.live import live_scan, use_rocksdb
 
