@@ -37,8 +37,8 @@ RULES_SCHEMA = T.StructType(
         T.StructField("som", T.StringType()),
     ]
 )
-# Rules become expressions of the query plan, so their number is checked.
-MAX_RULES = 10_000
+# Rules are prepared on the driver, so their number is checked; dictionary joins have no limit.
+MAX_RULES = 100_000
 
 
 @dataclass(frozen=True)

@@ -20,6 +20,8 @@ from ..functions.regex import MAX_LOOKBEHIND, RuleError, alternation, captures,
 from .rules import MAX_RULES, Rule, check_rules, horizon_bytes, rule_list
 
 BLOCK = 4096
+# More plain texts than these are searched as a set.
+LITERAL_SET = 32
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -206,6 +208,12 @@ def scan(
     all applied in the same pass.
     """
     plain, combos = split_rules(rules)
+    texts = _plain_texts(plain, combos) if not (with_text or som) else []
+    if len(texts) > LITERAL_SET:
+        # one pass for all of them; as expressions of their own they would make the plan grow with their number
+        found = literal_scan(df, texts, payload=payload, keys=keys, block=block)
+        rest = [*[r for r in plain if r not in texts], *[c.rule for c in combos]]
+        return found.unionByName(scan(df, rest, payload=payload, keys=keys, block=block)) if rest else found
     plans = [_Plan(r, som) for r in plain if "Q" not in r.flags]
     block_plans = {u: [p for p in plans if p.rule.utf8 == u and not p.history and not p.first_only] for u in (False, True)}
     whole_plans = {u: [p for p in plans if p.rule.utf8 == u and (p.history or p.first_only)] for u in (False, True)}
@@ -267,6 +275,13 @@ def apply_horizon(matches: DataFrame, horizon: int | None, ids: Sequence[int] |
     return matches.withColumn("from", F.when(far, F.lit(-1).cast("bigint")).otherwise(F.col("from")))
 
 
+def _plain_texts(plain: list[Rule], combos: list[Combination]) -> list[Rule]:
+    """Rules that are plain text and need nothing but their occurrences."""
+    used = set().union(*[c.ids for c in combos]) if combos else set()
+    return [r for r in plain
+            if not r.ext and not r.flags & {"H", "Q", "V"} and r.pattern_id not in used and r.prepared().plain]
+
+
 def _combination_events(s: Column, plain: list[Rule], combos: list[Combination]) -> Column:
     """Combination events of a whole text: first end per sub-rule, then plain boolean columns."""
     needed = sorted(set().union(*[c.ids for c in combos]))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import facade
 from ..functions.facade import Regex
 from ..operators.joins import dictionary_hits, matching_rules, prefilter_candidates
-from ..operators.rules import Rule
+from ..operators.rules import EXT_TYPE, Rule
 from ..operators.scan import grep, hit_counts, literal_scan, pcre_scan, scan, scan_one, vectored_scan
 from ..sources.documents import read_table
 from ..streaming.batch import chunks_of
@@ -226,6 +226,22 @@ def chunk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 RULES = {1: "(?i)license", 2: "[0-9]{1,3}([.][0-9]{1,3}){3}", 3: "[0-9A-Za-z_.]+@[0-9A-Za-z_]+", 4: "the [a-z]+ing", 5: "(?i)copyright"}
 
 
+@query("""
+WITH r AS (SELECT p_name, (row_number() OVER (ORDER BY p_name) - 1)::INT AS pattern_id FROM (SELECT DISTINCT p_name FROM part))
+SELECT p.p_partkey AS doc_id, pattern_id, (strpos(p.p_name, r.p_name) - 1)::BIGINT AS "from",
+  (strpos(p.p_name, r.p_name) - 1 + strlen(r.p_name))::BIGINT AS "to"
+FROM part p JOIN r ON contains(p.p_name, r.p_name)""")
+def multi_scan_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All part names as rules, searched in all part names."""
+    parts = read_table(spark, sf_dir, "part", "p_partkey", "p_name")
+    names = parts.select(F.col("p_name").alias("expression")).distinct()
+    numbered = names.withColumn("ord", F.row_number().over(Window.orderBy("expression")) - 1)  # a row per rule
+    rules = numbered.select(
+        "ord", F.col("ord").alias("pattern_id"), F.lit("literal").alias("kind"), "expression",
+        F.array(F.lit("L")).alias("flags"), F.lit(None).cast(EXT_TYPE).alias("ext"), F.lit(None).cast("string").alias("som"))
+    return scan(parts.select(F.col("p_partkey").alias("doc_id"), F.col("p_name").alias("text")), rules)
+
+
 @query(f"""SELECT doc_id, r.id::INT AS pattern_id FROM documents, (VALUES {', '.join(f'({i}, {lit(p)})' for i, p in RULES.items())}) r(id, p)
 WHERE regexp_matches(text, r.p)""")
 def join_docs_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
