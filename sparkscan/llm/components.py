@@ -27,18 +27,25 @@ def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def _to_least(links: DataFrame, larger: bool) -> DataFrame:
-    """Link each node ``u``'s neighbours to the least of ``u`` and its neighbours."""
+def _star(links: DataFrame, larger: bool) -> tuple[DataFrame, str]:
+    """Link each node ``a``'s neighbours to the least of ``a`` and its neighbours; written.
+
+    The minima are written before they are joined, so that both sides of the join
+    are shuffled for it and the links of a node with very many are split.
+    """
+    spark = links.sparkSession
     if larger:
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         both = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    least, at = written(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")
     joined = both.join(least, "a")
-    if larger:
-        return joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-    pairs = joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return pairs.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
+    out = (joined.where("b > a") if larger else joined).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    if not larger:
+        out = out.union(least.select("a", F.col("m").alias("b")))
+    result = written(out.where("a <> b").distinct(), "links")
+    removed(spark, at)
+    return result
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -47,9 +54,10 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     links, path = written(links.where("a <> b").distinct(), "links")
     state = None
     for _ in range(max_rounds):
-        links, new = written(_to_least(_to_least(links, True), False), "links")
-        removed(spark, path)
-        path = new
+        for larger in (True, False):
+            links, new = _star(links, larger)
+            removed(spark, path)
+            path = new
         now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break
