@@ -29,7 +29,7 @@ from .common import text_slices
 from .components import written
 
 CAPACITY = 2048
-BUCKET_ROWS = 4_000
+BUCKET_ROWS = 500
 END = np.zeros(1, "<u4").tobytes()
 
 
