@@ -151,4 +151,7 @@ def passing(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text")
     prefix = "__rule_"
     while any(c.startswith(prefix) for c in df.columns):
         prefix += "_"
-    return judged(df, rules, text, prefix).where(F.col(f"`{prefix}kept`")).select(*[f"`{c}`" for c in df.columns])
+    columns = [f"`{c}`" for c in df.columns]
+    # a filter would be pushed below the projection and compute every measure again for every rule
+    once = F.when(F.col(f"`{prefix}kept`"), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
+    return judged(df, rules, text, prefix).select(*columns, F.explode(once).alias(f"{prefix}one")).select(*columns)
