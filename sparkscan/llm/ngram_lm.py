@@ -39,6 +39,7 @@ BEGIN = np.uint64(xxhash.xxh3_64_intdigest(b"", 2))
 HASHES = WordHashes()
 FLUSH_PAIRS = 3_000_000
 SAMPLE_TEXTS = 2_000
+SHARD_BYTES = 8 << 20
 PAIR = np.dtype([("key", "<u8"), ("count", "<u4")])
 WORD_COUNTS = ("count", "contexts", "total", "once", "twice", "more")
 
@@ -142,15 +143,18 @@ class Model(NamedTuple):
 def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
     """Count the texts of ``df`` (null: empty; repeated rows count again) and store the model."""
     spark = df.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts = df.select(key, text)
+    size = texts.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    shards = max(1, -(-size // SHARD_BYTES))  # so a shard's pairs fit a task, whatever the corpus
     url = urlparse(fresh_path(spark, "ngrams"))
     if url.scheme not in ("", "file"):
         raise ValueError("spark.checkpoint.dir must be a mounted file system, for the model is memory-mapped")
     folder = url.path
     os.makedirs(folder, exist_ok=True)
-    texts = df.select(key, text)
     heavy = heavy_contexts(texts, shards)
 
+    totals = ["tokens", "distinct", "total", *[f"of{k}" for k in range(9)]]
+
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> pa.RecordBatch:
             word, before = np.concatenate(words), np.concatenate(befores)
@@ -205,10 +209,8 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
             put(folder, f"stats-{shard}", np.column_stack(sums).astype("<i8"))
             n, c = sums[0], sums[1]
             pairs = joined(group, "of_counts", "<i8").reshape(-1, 4).sum(0)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([int(n.sum())]), pa.array([int((n > 0).sum())]), pa.array([int(c.sum())]),
-                pa.array([[*pairs.tolist(), *[int((c == k).sum()) for k in (1, 2, 3, 4)], int((c > 2).sum())]], pa.list_(pa.int64()))],
-                ["tokens", "distinct", "total", "of"])
+            found = [n.sum(), (n > 0).sum(), c.sum(), *pairs, *[(c == k).sum() for k in (1, 2, 3, 4)], (c > 2).sum()]
+            yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int64()) for x in found], totals)
 
     def by_shard(rows: DataFrame) -> DataFrame:
         return rows.repartition(shards, "shard").sortWithinPartitions("shard")
@@ -216,12 +218,10 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
     counted = texts.mapInArrow(count, "shard int, before binary, word binary, n binary")
     pairs = by_shard(counted).mapInArrow(
         sum_pairs, "shard int, hash binary, " + ", ".join(f"{c} binary" for c in WORD_COUNTS) + ", of_counts binary")
-    stored = by_shard(pairs).mapInArrow(sum_words, "tokens bigint, distinct bigint, total bigint, of array<bigint>")
-    got = stored.collect()  # a row for each shard
-    of = np.sum([r["of"] for r in got], axis=0).tolist() if got else [0] * 9
-    stats = Stats(
-        sum(r["tokens"] for r in got), sum(r["distinct"] for r in got), tuple(of[:4]), tuple(of[4:8]),
-        sum(r["total"] for r in got), (of[4], of[5], of[8]))
+    stored = by_shard(pairs).mapInArrow(sum_words, ", ".join(f"{c} bigint" for c in totals))
+    got = [x or 0 for x in stored.agg(*[F.sum(c) for c in totals]).first()]
+    tokens, distinct, total, of = *got[:3], got[3:]
+    stats = Stats(tokens, distinct, tuple(of[:4]), tuple(of[4:8]), total, (of[4], of[5], of[8]))
     return Model(folder, shards, heavy, stats)
 
 

@@ -62,9 +62,10 @@ def equal(got, want):
         assert a[5:] == pytest.approx(b[5:], rel=1e-9)
 
 
-@pytest.mark.parametrize("flush", [3_000_000, 50])
-def test_against_dictionaries(spark, monkeypatch, flush):
+@pytest.mark.parametrize("flush,shard", [(3_000_000, 8 << 20), (50, 3_000)])
+def test_against_dictionaries(spark, monkeypatch, flush, shard):
     monkeypatch.setattr(ngram_lm, "FLUSH_PAIRS", flush)
+    monkeypatch.setattr(ngram_lm, "SHARD_BYTES", shard)
     rows = texts() + [(100 + k, prose(k, 60)) for k in range(60)]
     out = ngram_lm.learn_and_score(documents(spark, rows), remainder("doc_id", 7) != 2)
     assert out.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
