@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from .bpe import Vocabulary, vocabulary
 from .byte_ids import byte_vocabulary
 from .common import text_slices
+from .components import written
 
 LIMIT = 2048
 CACHE = "tokenizer string, digest string, n_tokens bigint"
@@ -69,7 +70,9 @@ def token_counts(df: DataFrame, path: str, cache: str, limit: int = LIMIT, key:
     made.select(F.lit(version).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(cache)
     spark.catalog.refreshByPath(cache)
 
+    # written, so that both sides of the join are shuffled for it and a digest that very many texts share is split
     counts = cached(df, cache).where(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    counts, _ = written(counts, "counts")
     rows = df.select(
         F.col(key), F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("bigint").alias("n_bytes"),
         F.sha2(body.cast("binary"), 256).alias("digest"))
