@@ -99,6 +99,21 @@ def stream_rewind(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_scan(back, RULES)
 
 
+@query(f"""
+WITH m AS ({rule_events()})
+SELECT * FROM m
+UNION ALL SELECT m.* FROM m JOIN {FORK_AT} f ON m.stream_id = f.conv_id WHERE m."to" > f.off""")
+def stream_rewind_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole streams; then back to the state saved after two turns, and all later turns again."""
+    turns = conversations(spark, sf_dir)
+    states = stored(carry(turns.where("seq < 2"), RULES), "states")
+    ends = turns.groupBy("stream_id").agg((F.max("seq") + 1).alias("at")).where("at > 2")
+    saved = stored(states.join(ends, "stream_id"), "saved")
+    later = turns.where("seq >= 2").join(saved.select("stream_id", "at"), "stream_id")
+    again = later.select("stream_id", (F.col("seq") + F.col("at")).alias("seq"), "payload")
+    return stream_scan(rewind(turns.unionByName(again), saved, F.col("at")), RULES)
+
+
 @query(f"""
 WITH m AS ({rule_events()}), own AS ({rule_events(BEFORE)})
 SELECT * FROM m UNION ALL

@@ -10,6 +10,7 @@ from sparkscan.operators.control import apply_horizon, handle_matches, single_ma
 from sparkscan.operators.numbering import running_before
 from sparkscan.operators.ranking import hits_per_rule, rule_ranking
 from sparkscan.operators.sessions import block_matches, boundary_matches, session_ids, sessionize
+from sparkscan.plans import QUERIES
 from sparkscan.plans.frame_input import encode_frames
 from sparkscan.session import fresh_path, stored
 from sparkscan.sources.documents import whole_files
@@ -78,6 +79,16 @@ def test_saving_anywhere_changes_nothing(chunks, streams):
     assert rows(got) == rows(stream_scan(chunks, rules))
 
 
+def test_a_rewound_stream_goes_on_to_its_end(spark, tmp_path):
+    texts = ["a tion", "xe", "er", "b", "tion er", "c ti", "on"]
+    data = [(7, k, t) for k, t in enumerate(texts)] + [(8, 0, "tion"), (8, 1, "er")]
+    spark.createDataFrame(data, "conv_id long, turn int, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    once = [(7, 0, 2, 6), (7, 1, 7, 10), (7, 0, 11, 15), (7, 1, 16, 18), (7, 0, 20, 24)]
+    again = [m for m in once if m[3] > 8]
+    got = rows(QUERIES["stream_rewind_whole"](spark, str(tmp_path)))
+    assert got == sorted([*once, *again, (8, 0, 0, 4), (8, 1, 4, 6)])
+
+
 def test_long_matches_of_unbounded_and_wide_rules(spark):
     text = b"a" + b"x" * 140_000 + b"b"
     data = spark.createDataFrame([(1, k, text[k * 30_000:(k + 1) * 30_000]) for k in range(5)], CHUNKS)
