@@ -176,7 +176,7 @@ def horizon_bytes(rules: list[Rule]) -> int | None:
 
 
 def som_horizon(rules: list[Rule]) -> str | None:
-    """Horizon of the whole set: the largest any rule asks for; medium unless stated."""
-    asked = [r.som or "medium" for r in rules if "L" in r.flags]
-    order = ("small", "medium", "large")
-    return max(asked, key=order.index) if asked else None
+    """Horizon of the whole set: the largest any rule asks for, medium if none does; ``None`` if no rule reports starts."""
+    if not any("L" in r.flags for r in rules):
+        return None
+    return max((r.som for r in rules if r.som), key=("small", "medium", "large").index, default="medium")

@@ -28,8 +28,10 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 class _Plan:
     """How one rule is evaluated on a segment."""
 
-    def __init__(self, rule: Rule, force_som: bool = False):
+    def __init__(self, rule: Rule, force_som: bool = False, horizon: int | None = None):
         self.rule = rule
+        # of the whole rule set
+        self.horizon = horizon
         ext = rule.ext
         self.edit, self.hamming = ext.get("edit_distance"), ext.get("hamming_distance")
         self.report_som = "L" in rule.flags or force_som
@@ -56,6 +58,13 @@ class _Plan:
         """Whether a match may be longer than any number of characters."""
         return self.history and self.p.max_width is None
 
+    @property
+    def far(self) -> bool:
+        """Whether a start the rule reports may lie beyond the horizon."""
+        if self.horizon is None or not self.report_som:
+            return False
+        return self.p.max_width is None or self.width * (4 if self.rule.utf8 else 1) > self.horizon
+
     @property
     def marked(self) -> bool:
         """Whether the rule's ends are found by markers on the whole segment."""
@@ -86,6 +95,9 @@ class _Plan:
             found = F.filter(found, lambda e: e["to"] - e["from"] >= ext["min_length"])
             if not self.report_som:
                 found = F.transform(found, lambda e: S._event(r.pattern_id, F.lit(0), e["to"]))
+        if self.far:
+            found = F.transform(found, lambda e: S._event(
+                r.pattern_id, F.when(e["to"] - e["from"] > self.horizon, F.lit(-1)).otherwise(e["from"]), e["to"]))
         return found
 
 
@@ -199,21 +211,30 @@ def split_rules(rules) -> tuple[list[Rule], list[Combination]]:
 
 def scan(
     df: DataFrame, rules, *, payload: str = "text", keys: Sequence[str] = ("doc_id",),
-    block: int = BLOCK, with_text: bool = False, som: bool = False,
+    block: int = BLOCK, with_text: bool = False, som: bool = False, horizon: bool = True,
 ) -> DataFrame:
     """All ends of every rule in every row: ``(keys, pattern_id, from, to[, text])``.
 
     ``from`` is 0 unless the rule carries ``L`` (or ``som`` asks for starts).
     Flags, extended constraints, single match, combinations and quiet rules are
-    all applied in the same pass.
+    all applied in the same pass. Without ``horizon`` every start is the true one.
     """
     plain, combos = split_rules(rules)
+    limit = horizon_bytes(plain) if horizon else None
+    return _scan(df, plain, combos, payload, keys, block, with_text, som, limit)
+
+
+def _scan(
+    df: DataFrame, plain: list[Rule], combos: list[Combination], payload: str, keys: Sequence[str],
+    block: int, with_text: bool, som: bool, horizon: int | None,
+) -> DataFrame:
     texts = _plain_texts(plain, combos) if not (with_text or som) else []
     if len(texts) > LITERAL_SET:
         # one pass for all of them; as expressions of their own they would make the plan grow with their number
         found = literal_scan(df, texts, payload=payload, keys=keys, block=block)
-        rest = [*[r for r in plain if r not in texts], *[c.rule for c in combos]]
-        return found.unionByName(scan(df, rest, payload=payload, keys=keys, block=block)) if rest else found
+        rest = [r for r in plain if r not in texts]
+        # the horizon is that of the whole set
+        return found.unionByName(_scan(df, rest, combos, payload, keys, block, False, False, horizon)) if rest or combos else found
     plans = [_Plan(r, som) for r in plain if "Q" not in r.flags]
     block_plans = {u: [p for p in plans if p.rule.utf8 == u and not p.history and not p.first_only] for u in (False, True)}
     whole_plans = {u: [p for p in plans if p.rule.utf8 == u and (p.history or p.first_only)] for u in (False, True)}
@@ -259,7 +280,6 @@ def scan(
         else:
             out = F.when(s["kind"] == k, events) if out is None else out.when(s["kind"] == k, events)
     found = cut.select(*keys, F.inline(out))
-    horizon = horizon_bytes(plain)
     if horizon is None or horizon >= 1 << 31:  # no text is longer
         return found
     return apply_horizon(found, horizon, sorted({r.pattern_id for r in plain if "L" in r.flags}))

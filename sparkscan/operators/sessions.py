@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ..streaming.batch import stream_scan, with_offsets
 from ..functions.regex import RuleError
 from .numbering import running_before
-from .rules import rule_list
-from .scan import scan
+from .rules import horizon_bytes, rule_list
+from .scan import apply_horizon, scan
 
 SESSION_KEY = ("proto", "src", "sport", "dst", "dport")
 
@@ -39,7 +39,7 @@ def as_chunks(packets: DataFrame, order: str = "packet_no") -> DataFrame:
 def block_matches(packets: DataFrame, rules, order: str = "packet_no") -> DataFrame:
     """Every packet scanned on its own, offsets shifted to its place in the session."""
     placed = with_offsets(as_chunks(packets, order))
-    found = scan(placed, rules, payload="data", keys=("stream_id", "seq", "off"))
+    found = scan(placed, rules, payload="data", keys=("stream_id", "seq", "off"), horizon=False)
     # a rule that does not report starts keeps from = 0
     start = F.when(F.col("pattern_id").isin(*ids_with_starts(rules)), F.col("from") + F.col("off")).otherwise(F.lit(0))
     return found.select("stream_id", "pattern_id", start.cast("bigint").alias("from"), (F.col("to") + F.col("off")).alias("to"))
@@ -60,8 +60,9 @@ def boundary_matches(packets: DataFrame, rules, order: str = "packet_no") -> Dat
 
     Of a rule without start offsets, these are the ends at which no match lies within one packet.
     """
-    streamed = stream_scan(as_chunks(packets, order), rules)
-    return streamed.join(block_matches(packets, rules, order), ["stream_id", "pattern_id", "from", "to"], "left_anti")
+    streamed = stream_scan(as_chunks(packets, order), rules, horizon=False)
+    found = streamed.join(block_matches(packets, rules, order), ["stream_id", "pattern_id", "from", "to"], "left_anti")
+    return apply_horizon(found, horizon_bytes(rule_list(rules)), ids_with_starts(rules))
 
 
 def session_scan_stats(packets: DataFrame, rules, order: str = "packet_no", repeats: int = 1) -> DataFrame:

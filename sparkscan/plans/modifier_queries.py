@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.control import apply_horizon, handle_matches, skip_rule, terminate
+from ..operators.rules import Rule
 from ..operators.scan import pcre_scan, scan
 from ..streaming.batch import stream_scan
 from .registry import conversations, documents, query
@@ -116,6 +117,20 @@ def som_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_horizon(stream_scan(conversations(spark, sf_dir), [r"/\w+[.]/L"]), 8)
 
 
+SHELVES = "(SELECT doc_id // 32 AS stream_id, string_agg(text, '' ORDER BY doc_id) AS text FROM documents GROUP BY doc_id // 32)"
+
+
+@query(union(
+    f"""SELECT stream_id, pattern_id, CASE WHEN "to" <= 65536 THEN 0 ELSE -1 END::BIGINT AS "from", "to"
+FROM ({spans(chr(10) + "[A-Z]", 0, source=SHELVES, key="stream_id")})""",
+    events(spans("tion", 1, source=SHELVES, key="stream_id"), "stream_id")))
+def stream_som_small(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, 32 to a stream, with a rule set of the small horizon and a match that goes on from each stream's start."""
+    docs = documents(spark, sf_dir)
+    chunks = docs.select(F.expr("doc_id div 32").alias("stream_id"), F.col("doc_id").alias("seq"), F.col("text").alias("payload"))
+    return stream_scan(chunks, [Rule(0, 0, r"^[^\x02]*\n[A-Z]", frozenset("L"), som="small"), Rule(1, 1, "tion", frozenset("L"))])
+
+
 TWO_RULES = union(events(spans("tion", 0)), events(spans("(?i)license", 1)), events(spans("e+r", 2)))
 
 

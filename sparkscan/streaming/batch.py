@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import spans as S
 from ..functions.regex import RIGHT_CONTEXT, RuleError
 from ..operators.numbering import running_before
+from ..operators.rules import horizon_bytes
 from ..operators.scan import _Plan, segment_events, split_rules
 
 STREAM_BLOCK = 65_536
@@ -167,6 +168,7 @@ def _in_runs(plan: _Plan) -> bool:
 
 def stream_scan(
     chunks: DataFrame, rules, *, close: bool = True, size: int = STREAM_BLOCK, som: bool = False, epochs: bool = False,
+    horizon: bool = True,
 ) -> DataFrame:
     """Matches over whole streams, those across chunk edges included: ``(stream_id, pattern_id, from, to)``.
 
@@ -175,12 +177,14 @@ def stream_scan(
     across lines), and for such rules in UTF-8, that is not possible, and they are
     refused. Streams are closed at their last row unless ``close`` is off; an
     epoch that is followed by a reset, or has a close row, always is. With
-    ``epochs`` the epoch column stays.
+    ``epochs`` the epoch column stays. Starts further back than the rule set's
+    horizon are reported as -1; without ``horizon`` every start is the true one.
     """
     plain, combos = split_rules(rules)
     if combos:
         raise RuleError("combinations are evaluated on whole haystacks", combos[0].rule.ord)
-    plans = [_Plan(r, som) for r in plain if "Q" not in r.flags]
+    limit = horizon_bytes(plain) if horizon else None
+    plans = [_Plan(r, som, limit) for r in plain if "Q" not in r.flags]
     exact = [p for p in plans if _in_runs(p)]
     plans = [p for p in plans if p not in exact]
     left = _context(plans)

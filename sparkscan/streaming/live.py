@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import spans as S
+from ..operators.rules import horizon_bytes
 from ..operators.scan import _Plan, segment_events, split_rules
 from ..functions.regex import RuleError
 from .batch import CLOSE, RESET, RESTORE, _as_characters, _context, _in_runs
@@ -198,12 +199,13 @@ def live_scan(chunks: DataFrame, rules, *, tasks: int | None = None) -> DataFram
     Matches at the end of data are reported by close and reset; a close frees the
     stream's state. Rules without a length bound keep the run of characters a
     match can go on from; they are refused where that may be any byte, as are
-    combinations.
+    combinations. Starts further back than the rule set's horizon are reported as -1.
     """
     plain, combos = split_rules(rules)
     if combos:
         raise RuleError("combinations are evaluated on whole haystacks", combos[0].rule.ord)
-    plans = [_Plan(r) for r in plain if "Q" not in r.flags]
+    horizon = horizon_bytes(plain)
+    plans = [_Plan(r, horizon=horizon) for r in plain if "Q" not in r.flags]
     once = sorted({p.rule.pattern_id for p in plans if p.first_only})
     if any(p.rule.pattern_id in once and not p.first_only for p in plans):
         raise RuleError("rules of one id must all be single-match, or none", plans[0].rule.ord)

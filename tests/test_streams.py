@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sparkscan import RuleError, scan, stream_scan
+from sparkscan import Rule, RuleError, scan, stream_scan
 from sparkscan.operators.control import apply_horizon, handle_matches, single_match, skip_rule, terminate, within
 from sparkscan.operators.numbering import running_before
 from sparkscan.operators.ranking import hits_per_rule, rule_ranking
@@ -133,6 +133,33 @@ def test_horizon(spark):
     assert rows(apply_horizon(df, 5)) == [(1, 0, -1, 9), (1, 0, 4, 8)]
 
 
+def test_horizon_belongs_to_streams_and_the_whole_set(spark):
+    text = b"a" + b"x" * 70_000 + b"b"
+    data = spark.createDataFrame([(1, k, text[k * 30_000:(k + 1) * 30_000]) for k in range(3)], CHUNKS)
+    rule = lambda i, e, som=None, flags="L": Rule(i, i, e, frozenset(flags), som=som)
+    small = rule(0, "a[^\n]*b", "small")
+    assert rows(stream_scan(data, [small])) == [(1, 0, -1, 70_002)]
+    assert rows(stream_scan(data, [small], horizon=False)) == [(1, 0, 0, 70_002)]
+    # a rule that asks for nothing leaves the set as it is, one that asks for more widens it, and ends alone stay 0
+    assert rows(stream_scan(data, [small, rule(1, "xb"), rule(2, "a[^\n]*b", None, "")])) == [
+        (1, 0, -1, 70_002), (1, 1, 70_000, 70_002), (1, 2, 0, 70_002)]
+    assert rows(stream_scan(data, [small, rule(1, "xb", "large", "LQ")])) == [(1, 0, 0, 70_002)]
+    control = data.withColumn("control", F.lit(None).cast("string"))
+    assert live(spark, control, [small], lambda d: [d]) == [(1, 0, 0, -1, 70_002)]
+    # a match within one packet is no boundary match, however long
+    whole = spark.createDataFrame([(0, 1, text)], "packet_no long, stream_id long, payload binary")
+    assert rows(boundary_matches(whole, [small])) == []
+
+
+def test_horizon_of_a_large_set_of_texts(spark):
+    df = spark.createDataFrame([(1, "a" + "x" * 70_000 + "b")], "doc_id long, text string")
+    words = [Rule(i, i, f"word{i}", frozenset("L"), som="large") for i in range(1, 41)]
+    small = Rule(0, 0, "a[^\n]*b", frozenset("L"), som="small")
+    for n in (20, 40):
+        assert rows(scan(df, [small, *words[:n]])) == [(1, 0, 0, 70_002)]
+    assert rows(scan(df, [small], horizon=False)) == [(1, 0, 0, 70_002)]
+
+
 def live(spark, data, rules, files, **options):
     use_rocksdb(spark)
     source, sink = fresh_path(spark, "chunks"), fresh_path(spark, "matches")
