@@ -38,7 +38,6 @@ END = np.uint64(xxhash.xxh3_64_intdigest(b"", 1))
 BEGIN = np.uint64(xxhash.xxh3_64_intdigest(b"", 2))
 HASHES = WordHashes()
 FLUSH_PAIRS = 3_000_000
-SAMPLE_TEXTS = 2_000
 SHARD_BYTES = 8 << 20
 PAIR = np.dtype([("key", "<u8"), ("count", "<u4")])
 WORD_COUNTS = ("count", "contexts", "total", "once", "twice", "more")
@@ -115,22 +114,35 @@ def put(folder: str, name: str, values: np.ndarray) -> None:
 
 
 def heavy_contexts(texts: DataFrame, shards: int) -> np.ndarray:
-    """Contexts with over a quarter of a shard's share of the pairs of some texts: at most ``4 * shards``.
+    """Contexts with over a quarter of a shard's share of the pairs of all texts: fewer than ``4 * shards``.
 
-    This only decides where pairs are counted, never what is counted.
+    Counted over all texts, added up by each task before the shuffle; the row
+    without a hash is the number of all pairs. This only decides where pairs are
+    counted, never what is counted.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            every = np.concatenate(befores)
+            hashes, counts = np.unique(every, return_counts=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([None, *hashes.view(np.int64).tolist()], pa.int64()), pa.array(np.r_[len(every), counts], pa.int64())], ["hash", "n"])
+
+        befores, held = [], 0
         for _, some in text_slices(batches):
-            _, before, _ = tokens_of(some)
-            hashes, counts = np.unique(before, return_counts=True)
-            keep = counts * 4 * shards > len(before)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes[keep].view(np.int64)), pa.array(counts[keep]), pa.array([len(before)] * int(keep.sum()), pa.int64())],
-                ["hash", "n", "of"])
+            befores.append(tokens_of(some)[1])
+            held += len(befores[-1])
+            if held >= FLUSH_PAIRS:
+                yield out()
+                befores, held = [], 0
+        if befores:
+            yield out()
 
-    found = texts.limit(SAMPLE_TEXTS).mapInArrow(run, "hash bigint, n bigint, of bigint")
-    found = found.groupBy("hash").agg((F.sum("n") / F.sum("of")).alias("share")).orderBy(F.desc("share")).limit(4 * shards).collect()
-    return np.sort(np.array([r["hash"] for r in found], np.int64).view(np.uint64))
+    counts = texts.mapInArrow(run, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
+    # every context above the share is among as many of the largest counts
+    top = counts.orderBy(F.desc("n")).limit(4 * shards + 1).collect()
+    of = sum(r["n"] for r in top if r["hash"] is None)
+    found = [r["hash"] for r in top if r["hash"] is not None and r["n"] * 4 * shards > of]
+    return np.sort(np.array(found, np.int64).view(np.uint64))
 
 
 class Model(NamedTuple):

@@ -75,6 +75,15 @@ def test_against_dictionaries(spark, monkeypatch, flush, shard):
         assert sum(chance(context, w) for w in one) + chance(context, b"?") == pytest.approx(1)
 
 
+def test_contexts_of_later_texts_are_spread(spark):
+    rows = [(k, f"u{k} v{k}") for k in range(2_100)] + [(3_000 + k, f"hot w{k} " * 20) for k in range(200)]
+    df = documents(spark, rows).select("doc_id", "text").orderBy("doc_id")
+    hot = ngram_lm.tokens_of(["hot"])[0][0]
+    found = ngram_lm.heavy_contexts(df, 8)
+    assert hot in found and ngram_lm.BEGIN in found and len(found) < 4 * 8
+    assert list(found) == sorted(found)
+
+
 def test_nothing_to_learn_from(spark):
     rows = [(1, "a b"), (2, None)]
     out = ngram_lm.learn_and_score(documents(spark, rows), F.lit(False)).collect()
