@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import bpe, chat, near_dup, ngram_lm, packing, quality_model, quality_rules, token_counts, topk, url_rules
+from . import bpe, chat, filter_audit, near_dup, ngram_lm, packing, quality_model, quality_rules, token_counts, topk, url_rules
 from .common import remainder, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -77,9 +77,14 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= QUALITY_SCORE).cast("int"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all 120 orders, for each language."""
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_topk, op3_token_counts, op4_packing, op5_lm, op6_chat, op7_url_rules, op8_near_duplicates,
-    op9_quality_rules, op10_quality_model)}
+    op9_quality_rules, op10_quality_model, op11_filter_audit)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _STOP = ", ".join("'" + w + "'" for w in quality_rules.STOP_FORMS)
@@ -140,4 +145,42 @@ ORACLES = {
                 AND n_stop / n_words >= 0.01 AND n_dup_lines / greatest(n_lines, 1) <= 0.50 AS kept
         FROM b
     """,
+    "op11_filter_audit": rf"""
+        WITH d AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, {_WORDS} AS words FROM documents
+        ), least AS (
+            SELECT text, min(doc_id) AS least FROM d GROUP BY text
+        ), m AS (
+            SELECT doc_id, coalesce(max((quality = 1)::INT), 0) AS good, coalesce(max((toxic = 1)::INT), 0) AS toxic FROM labels GROUP BY doc_id
+        ), o AS (
+            SELECT part, (len(words) < 100)::INT AS a, (100 * len(list_distinct(words)) < 80 * len(words))::INT AS b,
+                (100 * length(regexp_replace(d.text, '[^A-Z]', '', 'g')) > 10 * length(d.text))::INT AS c,
+                regexp_matches(d.text, '[#$%&*|]')::INT AS d, coalesce(doc_id > least, false)::INT AS e,
+                coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+            FROM d JOIN least USING (text) LEFT JOIN m USING (doc_id)
+        ), t AS (
+            SELECT part, [a, b, c, d, e] AS failed, a + b + c + d + e AS n_failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+            FROM o GROUP BY part, a, b, c, d, e
+        ), letters(k) AS (VALUES (1), (2), (3), (4), (5)
+        ), orders AS (
+            SELECT [p.k, q.k, r.k, s.k, u.k] AS ks, array_to_string([chr((64 + x)::INT) FOR x IN [p.k, q.k, r.k, s.k, u.k]], '') AS filter_order
+            FROM letters p, letters q, letters r, letters s, letters u
+            WHERE len(list_distinct([p.k, q.k, r.k, s.k, u.k])) = 5
+        ), steps AS (
+            SELECT filter_order, step, ks[step] AS own, ks[1:step - 1] AS earlier FROM orders, range(1, 6) x(step)
+        ), f AS (
+            SELECT part, filter_order, step, own,
+                coalesce(sum(n) FILTER (failed[own] = 0 AND list_sum([failed[x] FOR x IN earlier || [own]]) = 0), 0) AS kept,
+                coalesce(sum(n) FILTER (failed[own] = 1 AND coalesce(list_sum([failed[x] FOR x IN earlier]), 0) = 0), 0) AS removed,
+                coalesce(sum(n) FILTER (failed[own] = 1 AND list_sum([failed[x] FOR x IN earlier]) > 0), 0) AS redundant,
+                coalesce(sum(n) FILTER (failed[own] = 1 AND n_failed = 1), 0) AS unique_fails,
+                coalesce(sum(good) FILTER (failed[own] = 1 AND coalesce(list_sum([failed[x] FOR x IN earlier]), 0) = 0), 0) AS good_lost,
+                coalesce(sum(toxic) FILTER (failed[own] = 1 AND coalesce(list_sum([failed[x] FOR x IN earlier]), 0) = 0), 0) AS toxic_lost
+            FROM t, steps GROUP BY part, filter_order, step, own
+        )
+        SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+            unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+            (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+        FROM f
+    """,
 }
