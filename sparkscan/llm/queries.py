@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import bpe, chat, filter_audit, near_dup, ngram_lm, packing, quality_model, quality_rules, token_counts, topk, url_rules
+from . import bpe, chat, filter_audit, near_dup, ngram_lm, packing, quality_model, quality_rules, spelling, substring_dedup, token_counts, topk, url_rules
 from .common import remainder, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -82,9 +82,19 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without the words of 35-word windows that are found twice."""
+    return substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words of all documents, grouped by spelling."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_topk, op3_token_counts, op4_packing, op5_lm, op6_chat, op7_url_rules, op8_near_duplicates,
-    op9_quality_rules, op10_quality_model, op11_filter_audit)}
+    op9_quality_rules, op10_quality_model, op11_filter_audit, op12_substring_dedup, op13_spelling)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _STOP = ", ".join("'" + w + "'" for w in quality_rules.STOP_FORMS)
@@ -183,4 +193,22 @@ ORACLES = {
             (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
         FROM f
     """,
+    "op12_substring_dedup": rf"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents
+        ), windows AS (
+            SELECT r, i, sha256(array_to_string(words[i:i + 34], ' ')) AS win
+            FROM (SELECT r, words, unnest(range(1, len(words) - 33)) AS i FROM d WHERE len(words) >= 35)
+        ), twice AS (
+            SELECT win FROM windows GROUP BY win HAVING count(*) > 1
+        ), gone AS (
+            SELECT DISTINCT r, i + k AS i FROM windows JOIN twice USING (win), range(35) x(k)
+        ), kept AS (
+            SELECT d.r, string_agg(word, ' ' ORDER BY d.i) FILTER (gone.i IS NULL) AS text, count(gone.i) AS n
+            FROM (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d) d
+            LEFT JOIN gone ON gone.r = d.r AND gone.i = d.i GROUP BY d.r
+        )
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (r)
+    """,
 }
