@@ -21,7 +21,8 @@ from .regex import MAX_LOOKBEHIND, RIGHT_CONTEXT, Prepared, overlaps_itself, quo
 # Unicode noncharacters, which interchanged text does not contain.
 MARK = "\ufdd0"
 CLOSE = "\ufdd1"
-STAND_IN = "\ufdd2\ufdd3"
+OPEN = "\ufdd4"
+STAND_IN = "\ufdd2\ufdd3\ufdd5"
 MARK_BYTES = 3
 
 EVENT = "array<struct<pattern_id:int,from:bigint,to:bigint>>"
@@ -39,8 +40,8 @@ def byte_view(payload: Column) -> Column:
 
 def char_view(text: Column) -> Column:
     """The text, with the markers (never found in interchanged text) made harmless."""
-    has_marks = text.contains(MARK) | text.contains(CLOSE)
-    return F.when(has_marks, F.translate(text, MARK + CLOSE, STAND_IN)).otherwise(text)
+    has_marks = text.contains(MARK) | text.contains(CLOSE) | text.contains(OPEN)
+    return F.when(has_marks, F.translate(text, MARK + CLOSE + OPEN, STAND_IN)).otherwise(text)
 
 
 def view_of(payload: Column, utf8: bool) -> Column:

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from ..functions import spans as S
 from ..functions.approx import approx_events
+from ..functions.cuts import CUT, Cut, cut_events, cut_of, cut_rows
 from ..functions.regex import MAX_LOOKBEHIND, RuleError, alternation, captures, quote
-from .rules import MAX_RULES, Rule, check_rules, horizon_bytes, rule_list
+from .rules import MAX_RULES, Rule, check_rules, rule_list
 
 BLOCK = 4096
 # More plain texts than these are searched as a set.
@@ -28,7 +29,7 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 class _Plan:
     """How one rule is evaluated on a segment."""
 
-    def __init__(self, rule: Rule, force_som: bool = False, horizon: int | None = None):
+    def __init__(self, rule: Rule, force_som: bool = False, horizon: int | None = None, cut: bool = True):
         self.rule = rule
         # of the whole rule set
         self.horizon = horizon
@@ -37,6 +38,7 @@ class _Plan:
         self.report_som = "L" in rule.flags or force_som
         self.som = self.report_som or bool(ext.get("min_length"))
         self.allow_empty = False
+        self.cut: Cut | None = None
         self.first_only = "H" in rule.flags
         if self.edit or self.hamming:
             if rule.utf8:
@@ -52,6 +54,8 @@ class _Plan:
         self.allow_empty = "V" in rule.flags and self.p.min_width == 0
         self.history = S.needs_history(self.p, self.som, self.allow_empty)
         self.width = self.p.max_width if self.p.max_width is not None else MAX_LOOKBEHIND
+        if cut and self.unbounded:
+            self.cut = cut_of(rule, self.som, self.report_som)
 
     @property
     def unbounded(self) -> bool:
@@ -78,6 +82,8 @@ class _Plan:
         if self.edit or self.hamming:
             found = approx_events(text, base, lo, hi, self.literal, r.pattern_id, edit=self.edit,
                                   hamming=self.hamming, caseless="i" in self.p.flags, som=self.som)
+        elif self.cut:
+            return F.when(text.contains(self.cut.needed), cut_events(s, cut_rows([self.cut])[0], r.utf8, F.lit(open_end))).otherwise(S.no_events())
         elif self.history:
             found = S.history_events(text, base, lo, hi, self.p, r.pattern_id, som=self.som, utf8=r.utf8,
                                      open_end=open_end, allow_empty=self.allow_empty)
@@ -211,38 +217,42 @@ def split_rules(rules) -> tuple[list[Rule], list[Combination]]:
 
 def scan(
     df: DataFrame, rules, *, payload: str = "text", keys: Sequence[str] = ("doc_id",),
-    block: int = BLOCK, with_text: bool = False, som: bool = False, horizon: bool = True,
+    block: int = BLOCK, with_text: bool = False, som: bool = False,
 ) -> DataFrame:
     """All ends of every rule in every row: ``(keys, pattern_id, from, to[, text])``.
 
     ``from`` is 0 unless the rule carries ``L`` (or ``som`` asks for starts).
     Flags, extended constraints, single match, combinations and quiet rules are
-    all applied in the same pass. Without ``horizon`` every start is the true one.
+    all applied in the same pass. Starts are the true ones: a horizon is a matter
+    of streams.
     """
     plain, combos = split_rules(rules)
-    limit = horizon_bytes(plain) if horizon else None
-    return _scan(df, plain, combos, payload, keys, block, with_text, som, limit)
+    return _scan(df, plain, combos, payload, keys, block, with_text, som)
 
 
 def _scan(
     df: DataFrame, plain: list[Rule], combos: list[Combination], payload: str, keys: Sequence[str],
-    block: int, with_text: bool, som: bool, horizon: int | None,
+    block: int, with_text: bool, som: bool,
 ) -> DataFrame:
     texts = _plain_texts(plain, combos) if not (with_text or som) else []
     if len(texts) > LITERAL_SET:
         # one pass for all of them; as expressions of their own they would make the plan grow with their number
         found = literal_scan(df, texts, payload=payload, keys=keys, block=block)
         rest = [r for r in plain if r not in texts]
-        # the horizon is that of the whole set
-        return found.unionByName(_scan(df, rest, combos, payload, keys, block, False, False, horizon)) if rest or combos else found
+        return found.unionByName(_scan(df, rest, combos, payload, keys, block, False, False)) if rest or combos else found
     plans = [_Plan(r, som) for r in plain if "Q" not in r.flags]
+    # cuts are data of one expression; of single-match rules, those that share no id
+    shared = {i for i, group in _by_id(plans).items() if len(group) > 1}
+    cut_plans = {u: [p for p in plans if p.rule.utf8 == u and p.cut and not (p.first_only and p.rule.pattern_id in shared)] for u in (False, True)}
+    plans = [p for p in plans if p not in cut_plans[p.rule.utf8]]
     block_plans = {u: [p for p in plans if p.rule.utf8 == u and not p.history and not p.first_only] for u in (False, True)}
     whole_plans = {u: [p for p in plans if p.rule.utf8 == u and (p.history or p.first_only)] for u in (False, True)}
     loud = [c for c in combos if "Q" not in c.rule.flags]
-    if with_text and any(not p.som for p in plans):
+    if with_text and any(not p.som for p in [*plans, *cut_plans[False], *cut_plans[True]]):
         raise RuleError("matched text needs start offsets: set L on every rule")
 
     kinds: list[tuple[Column, object]] = []
+    rule_column = F.lit(None).cast(CUT)
     for u in (False, True):
         view = S.view_of(F.col(payload), u)
         if block_plans[u]:
@@ -250,13 +260,23 @@ def _scan(
             kinds.append((S.segments(view, u, max(block, left), left), (u, block_plans[u])))
         if whole_plans[u]:
             kinds.append((S.whole(view, u), (u, whole_plans[u])))
+        if cut_plans[u]:
+            kinds.append((S.whole(view, u), (u, [p.cut for p in cut_plans[u]])))
     if loud:
         kinds.append((S.whole(S.view_of(F.col(payload), False), False), None))
 
-    def tagged(k: int, segs: Column) -> Column:
-        return F.transform(segs, lambda s: F.struct(
+    def piece(k: int, s: Column, rule: Column) -> Column:
+        return F.struct(
             F.lit(k).alias("kind"), s["base"].alias("base"), s["lo"].alias("lo"), s["hi"].alias("hi"),
-            s["text"].alias("text")))
+            s["text"].alias("text"), *([rule.alias("rule")] if any(cut_plans.values()) else []))
+
+    def tagged(k: int, segs: Column) -> Column:
+        spec = kinds[k][1]
+        if spec and isinstance(spec[1][0], Cut):
+            # one piece for each rule whose text the row has
+            return S.let(segs[0], lambda s: F.transform(
+                F.filter(cut_rows(spec[1]), lambda r: s["text"].contains(r["needed"])), lambda r: piece(k, s, r)))
+        return F.transform(segs, lambda s: piece(k, s, rule_column))
 
     if not kinds:
         raise RuleError("no rule reports anything")
@@ -270,7 +290,7 @@ def _scan(
             utf8 = False
         else:
             utf8, group = spec
-            events = segment_events(s, group)
+            events = cut_events(s, s["rule"], utf8) if isinstance(group[0], Cut) else segment_events(s, group)
         if with_text:
             events = F.transform(events, lambda e: F.struct(
                 e["pattern_id"], e["from"], e["to"],
@@ -279,10 +299,7 @@ def _scan(
             out = events
         else:
             out = F.when(s["kind"] == k, events) if out is None else out.when(s["kind"] == k, events)
-    found = cut.select(*keys, F.inline(out))
-    if horizon is None or horizon >= 1 << 31:  # no text is longer
-        return found
-    return apply_horizon(found, horizon, sorted({r.pattern_id for r in plain if "L" in r.flags}))
+    return cut.select(*keys, F.inline(out))
 
 
 def apply_horizon(matches: DataFrame, horizon: int | None, ids: Sequence[int] | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from ..operators.scan import grep, hit_counts, literal_scan, pcre_scan, scan, sc
 from ..sources.documents import read_table
 from ..streaming.batch import chunks_of
 from .registry import documents, query
-from .sql import events, grown, lit, literal_ends, spans, union
+from .sql import events, grown, lit, literal_ends, spans, unbounded_events, union
 
 # The words of the flagship count.
 FREQUENT = [
@@ -62,6 +62,15 @@ def block_scan_som(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(documents(spark, sf_dir), ["/th(at|is)?/iL", "/e+r/L", "/[0-9]{2,4}/L"])
 
 
+# A head, a class that goes on without bound, a tail: across lines, within a line, in UTF-8, and of several widths.
+UNBOUNDED = ["/http.*tion/sL", "/@.*[.]/L", "/é.*è/8sL", "/(the|and)[a-z ]*(ing|er)/L", "/http.*tion/s"]
+
+
+@query(unbounded_events())
+def block_unbounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(documents(spark, sf_dir), UNBOUNDED)
+
+
 @query(events(spans("(?i)licen[cs]e", 0, som=False)))
 def scan_single_expr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_one(documents(spark, sf_dir), "7:/licen[cs]e/i")

@@ -48,6 +48,29 @@ def union(*parts: str) -> str:
     return " UNION ALL ".join(f"({p})" for p in parts)
 
 
+def unbounded_events(**where) -> str:
+    """Matches of a head, characters of a class and a tail: from the first head of a stretch to every tail after it."""
+    key, source, text = where.get("key", "doc_id"), where.get("source", "documents"), where.get("text", "text")
+
+    def after_first(head: str, tail: str, pattern_id: int, som: bool = True) -> str:
+        n = len(head.encode())
+        return f"""
+      SELECT t.{key}, {pattern_id}::INT AS pattern_id, {'h."from"' if som else '0::BIGINT'} AS "from", t."to"
+      FROM ({spans(tail, **where)}) t JOIN (SELECT {key}, min("from") AS "from" FROM ({spans(head, **where)}) GROUP BY {key}) h USING ({key})
+      WHERE t."from" >= h."from" + {n}"""
+
+    def in_stretch(stretch: str, pattern_id: int, tails: list[str], head: int) -> str:
+        ends = " OR ".join(f"e >= s.\"from\" + {head + len(t)} AND b[e - {len(t) - 1}:e] = encode({lit(t)})" for t in tails)
+        return f"""
+      SELECT s.{key}, {pattern_id}::INT AS pattern_id, s."from", e::BIGINT AS "to"
+      FROM ({spans(stretch, **where)}) s JOIN (SELECT {key}, encode({text}) AS b FROM {source}) d USING ({key}),
+        LATERAL (SELECT unnest(range(s."from" + 1, s."to" + 1)) AS e) u WHERE {ends}"""
+
+    return union(
+        after_first("http", "tion", 0), in_stretch("@[^\n]*", 1, ["."], 1), after_first("é", "è", 2),
+        in_stretch("(?:the|and)[a-z ]*", 3, ["ing", "er"], 3), after_first("http", "tion", 4, som=False))
+
+
 STREAMS = "(SELECT conv_id AS stream_id, string_agg(text, '' ORDER BY turn) AS text FROM conversations GROUP BY conv_id)"
 
 # Texts with every non-ASCII character replaced by as many placeholders as it has bytes.

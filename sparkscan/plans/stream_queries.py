@@ -13,7 +13,8 @@ from ..streaming.batch import carry, fork, resume, rewind, stream_scan
 from ..streaming.live import ROCKSDB, live_scan
 from .frame_input import encode_frames
 from .registry import conversations, query
-from .sql import STREAMS, spans, union
+from .scan_queries import UNBOUNDED
+from .sql import STREAMS, spans, unbounded_events, union
 
 RULES = ["/tion/L", "/e+r/L", r"/[a-z]\.\n[A-Z]/L"]
 
@@ -34,6 +35,12 @@ def stream_scan_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_scan(conversations(spark, sf_dir), RULES)
 
 
+@query(unbounded_events(source=STREAMS, key="stream_id"))
+def stream_unbounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches of any length over whole conversations, across lines and in UTF-8."""
+    return stream_scan(conversations(spark, sf_dir), UNBOUNDED)
+
+
 @query(union(stream_events(spans(r"[.]\z", 0, source=STREAMS, key="stream_id")), stream_events(spans(r"tion\b", 1, source=STREAMS, key="stream_id"))))
 def stream_close_eod(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_scan(conversations(spark, sf_dir), ["/[.]$/L", r"/tion\b/L"])
@@ -66,7 +73,7 @@ SELECT * FROM m UNION ALL
 SELECT m.stream_id + 1000000, m.pattern_id, m."from", m."to" FROM m JOIN {FORK_AT} f ON m.stream_id = f.conv_id WHERE m."to" > f.off""")
 def stream_fork(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = conversations(spark, sf_dir)
-    states = stored(carry(turns.where("seq < 2"), RULES), "states")
+    states = carry(turns.where("seq < 2"), RULES)
     children = states.select((F.col("stream_id") + 1_000_000).alias("stream_id"), F.col("stream_id").alias("parent_id"))
     own = turns.where("seq >= 2").withColumn("stream_id", F.col("stream_id") + 1_000_000)
     forked = stream_scan(fork(own, states, children), RULES)
@@ -77,26 +84,12 @@ def stream_fork(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = conversations(spark, sf_dir)
     # the saved state is a table in shared storage, as it would be between two jobs
-    states = stored(carry(turns.where("seq < 3"), RULES), "states")
+    states = carry(turns.where("seq < 3"), RULES)
     before = stream_scan(turns.where("seq < 3"), RULES, close=False)
     return before.unionByName(stream_scan(resume(turns.where("seq >= 3"), states), RULES))
 
 
 BEFORE = "(SELECT conv_id AS stream_id, string_agg(text, '' ORDER BY turn) AS text FROM conversations WHERE turn < 2 GROUP BY conv_id)"
-UP_TO = "(SELECT conv_id AS stream_id, string_agg(text, '' ORDER BY turn) AS text FROM conversations WHERE turn <= 2 GROUP BY conv_id)"
-
-
-@query(f"""
-WITH once AS ({rule_events(UP_TO)})
-SELECT * FROM once
-UNION ALL SELECT once.* FROM once JOIN {FORK_AT} f ON once.stream_id = f.conv_id WHERE once."to" > f.off""")
-def stream_rewind(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two turns, the state saved, a third turn; back to the state, and the third turn again."""
-    turns = conversations(spark, sf_dir).where("seq <= 2")
-    states = stored(carry(turns.where("seq < 2"), RULES), "states")
-    again = turns.where("seq = 2").withColumn("seq", F.col("seq") + 1)
-    back = rewind(turns.unionByName(again), states.join(again.select("stream_id"), "stream_id", "left_semi"), F.lit(3))
-    return stream_scan(back, RULES)
 
 
 @query(f"""
@@ -106,7 +99,7 @@ UNION ALL SELECT m.* FROM m JOIN {FORK_AT} f ON m.stream_id = f.conv_id WHERE m.
 def stream_rewind_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole streams; then back to the state saved after two turns, and all later turns again."""
     turns = conversations(spark, sf_dir)
-    states = stored(carry(turns.where("seq < 2"), RULES), "states")
+    states = carry(turns.where("seq < 2"), RULES)
     ends = turns.groupBy("stream_id").agg((F.max("seq") + 1).alias("at")).where("at > 2")
     saved = stored(states.join(ends, "stream_id"), "saved")
     later = turns.where("seq >= 2").join(saved.select("stream_id", "at"), "stream_id")
@@ -122,7 +115,7 @@ SELECT m.stream_id + 1000000, m.pattern_id, m."from", m."to" FROM m JOIN {FORK_A
 def stream_reset_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streams that have read two turns are reset and become copies of others, then go on with the others' later turns."""
     turns = conversations(spark, sf_dir)
-    states = stored(carry(turns.where("seq < 2"), RULES), "states")
+    states = carry(turns.where("seq < 2"), RULES)
     other = turns.withColumn("stream_id", F.col("stream_id") + 1_000_000)
     copies = states.withColumn("stream_id", F.col("stream_id") + 1_000_000)
     return stream_scan(turns, RULES).unionByName(stream_scan(rewind(other, copies, F.lit(2)), RULES))

@@ -14,10 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import spans as S
+from ..functions.cuts import Cut, block_state, cut_events, cut_rows
 from ..functions.regex import RIGHT_CONTEXT, RuleError
 from ..operators.numbering import running_before
 from ..operators.rules import horizon_bytes
 from ..operators.scan import _Plan, segment_events, split_rules
+from ..session import stored
 
 STREAM_BLOCK = 65_536
 CHUNK = 4096
@@ -50,7 +52,7 @@ def with_offsets(chunks: DataFrame) -> DataFrame:
     data = F.coalesce(F.col("payload").cast("binary"), F.lit(b""))
     rows = chunks.select(
         "stream_id", F.col("seq").cast("bigint").alias("seq"), data.alias("data"),
-        control.alias("control"), at.cast("bigint").alias("at"),
+        control.alias("control"), at.cast("bigint").alias("at"), *(["carried"] if "carried" in names else []),
     ).withColumn("n", F.octet_length("data").cast("bigint"))
     if "control" not in names:
         placed = running_before(rows, ["stream_id"], "seq", {"off": F.col("n")})
@@ -65,7 +67,7 @@ def with_offsets(chunks: DataFrame) -> DataFrame:
     off = F.col("total") - start + F.when(restores, F.coalesce("at", "n") - F.col("n")).otherwise(F.lit(0))
     return placed.where((F.col("n") > 0) & (restores | ~opens)).select(
         "stream_id", (F.col("epochs") + opens.cast("bigint")).alias("epoch"), "seq", off.alias("off"), "data",
-        restores.alias("silent"))
+        restores.alias("silent"), *(["carried"] if "carried" in names else []))
 
 
 def blocks_of(placed: DataFrame, left: int, right: int, size: int = STREAM_BLOCK) -> DataFrame:
@@ -155,15 +157,81 @@ def _whole_runs(blocks: DataFrame, plan: _Plan, size: int) -> DataFrame:
 
 def _context(plans: list[_Plan]) -> int:
     """Bytes to the left of an end that a match of any of the rules can hold."""
-    unbounded = [p for p in plans if p.unbounded]
+    unbounded = [p for p in plans if p.unbounded and not p.cut]
     if unbounded:
         raise RuleError("a match may be of any length and hold any byte, so a stream can't be parted for it", unbounded[0].rule.ord)
-    return max([0, *[p.width * (4 if p.rule.utf8 else 1) for p in plans]]) + 4
+    return max([0, *[p.cut.context if p.cut else p.width * (4 if p.rule.utf8 else 1) for p in plans]]) + 4
 
 
 def _in_runs(plan: _Plan) -> bool:
     """Whether a rule without a length bound can be searched in stretches no match leaves."""
-    return plan.unbounded and bool(plan.p.cover) and not plan.rule.utf8 and not plan.allow_empty
+    return plan.unbounded and not plan.cut and bool(plan.p.cover) and not plan.rule.utf8 and not plan.allow_empty
+
+
+CARRIED = "array<struct<rule:int,first:bigint,start:bigint>>"
+BLOCK_KEY = ["stream_id", "epoch", "block"]
+Cuts = list[tuple[int, Cut]]
+
+
+def _cuts(plans: list[_Plan]) -> dict[bool, Cuts]:
+    """The cuts of a rule set by view, each with the position of its rule in the set."""
+    return {u: [(p.rule.ord, p.cut) for p in plans if p.cut and p.rule.utf8 == u] for u in (False, True)}
+
+
+def _by_cut(blocks: DataFrame, cuts: Cuts, utf8: bool, needed: str | None) -> DataFrame:
+    """A row for each block and cut whose ``needed`` text the block has, with the block as segment ``s`` and the cut as ``r``."""
+    ords = F.array(*[F.lit(k) for k, _ in cuts])
+    every = F.zip_with(ords, cut_rows([c for _, c in cuts]), lambda k, r: F.struct(k.alias("rule"), r.alias("r")))
+    seg = F.struct("base", "lo", "hi", "text")
+
+    def rows(s: Column) -> Column:
+        wanted = F.filter(every, lambda x: s["text"].contains(x["r"][needed])) if needed else every
+        return F.transform(wanted, lambda x: F.struct(s.alias("s"), x["rule"].alias("rule"), x["r"].alias("r")))
+
+    kept = [c for c in blocks.columns if c not in ("base", "lo", "hi", "text")]
+    return blocks.select(*kept, F.inline(S.let(_as_characters(seg) if utf8 else seg, rows)))
+
+
+def _block_states(blocks: DataFrame, cuts: Cuts, utf8: bool, placed: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """What blocks do to the stretches of each cut, and the first head of every stretch.
+
+    Blocks a stretch passes through count with the last block that breaks it (``after``), so its head is the earliest of that
+    group: sums and minima over a few numbers a block, whatever the length of the stream. A saved state stands before its
+    stream's first block.
+    """
+    stopped = blocks.where("lo < hi").withColumn("stop", F.least("hi", F.col("base") + F.length("text")))
+    rows = _by_cut(stopped, cuts, utf8, None)
+    rows = rows.select(*BLOCK_KEY, "rule", block_state(F.col("s"), F.col("stop"), F.col("r"), utf8).alias("x"))
+    rows = rows.select(*BLOCK_KEY, "rule", "x.passes", "x.first", "x.start")
+    if "carried" in placed.columns:
+        before = F.floor((F.col("off") + F.octet_length("data")) / size) - 1
+        saved = placed.where("silent").select("stream_id", "epoch", before.alias("block"), F.inline("carried"))
+        saved = saved.where(F.col("rule").isin([k for k, _ in cuts]))
+        rows = rows.unionByName(saved.select(*BLOCK_KEY, "rule", F.lit(False).alias("passes"), "first", "start"))
+    keys = ["stream_id", "epoch", "rule"]
+    breaks = (~F.col("passes")).cast("bigint")
+    # a saved state may stand at -1
+    rows = running_before(rows.withColumn("at", F.col("block") + 1), keys, "at", {"before": breaks}).drop("at")
+    rows = rows.withColumn("after", F.col("before") + breaks)
+    heads = rows.where("first IS NOT NULL").groupBy(*keys, "after").agg(F.min(F.struct("block", "first", "start")).alias("head"))
+    return rows, heads
+
+
+def _cut_scan(blocks: DataFrame, cuts: Cuts, utf8: bool, placed: DataFrame, size: int, limit: int | None) -> DataFrame:
+    """Events of cuts over whole streams; blocks may say whether their epoch is ``open``. Starts beyond the limit are -1."""
+    rows, heads = _block_states(blocks, cuts, utf8, placed, size)
+    into = rows.join(heads.withColumnRenamed("after", "before"), ["stream_id", "epoch", "rule", "before"])
+    into = into.where(F.col("head.block") < F.col("block"))
+    known = into.groupBy(*BLOCK_KEY).agg(F.map_from_entries(F.collect_list(F.struct("rule", "head"))).alias("known"))
+    found = _by_cut(blocks.join(known, BLOCK_KEY, "left"), cuts, utf8, "tail_needed")
+
+    open_end = F.col("open") if "open" in blocks.columns else None
+    every = S.let(F.element_at("known", F.col("rule")), lambda h: cut_events(
+        F.col("s"), F.col("r"), utf8, open_end, h["first"], h["start"]))
+    if limit is not None:
+        every = F.transform(every, lambda e: e.withField("from", F.when(
+            F.col("r.report_som") & (e["to"] - e["from"] > limit), F.lit(-1).cast("bigint")).otherwise(e["from"])))
+    return found.select("stream_id", "epoch", F.inline(every))
 
 
 def stream_scan(
@@ -172,10 +240,11 @@ def stream_scan(
 ) -> DataFrame:
     """Matches over whole streams, those across chunk edges included: ``(stream_id, pattern_id, from, to)``.
 
-    Rules whose matches have no length bound are searched in stretches of the
-    stream a match cannot leave. Where any byte may be part of a match (``.``
-    across lines), and for such rules in UTF-8, that is not possible, and they are
-    refused. Streams are closed at their last row unless ``close`` is off; an
+    Rules with one unbounded class repeat are cut there: a block needs the first
+    head of the stretch it begins in, which is a minimum over a few numbers a
+    block. Other rules without a length bound are searched in stretches of the
+    stream a match cannot leave; where any byte may be part of a match, and for
+    such rules in UTF-8, they are refused. Streams are closed at their last row unless ``close`` is off; an
     epoch that is followed by a reset, or has a close row, always is. With
     ``epochs`` the epoch column stays. Starts further back than the rule set's
     horizon are reported as -1; without ``horizon`` every start is the true one.
@@ -188,10 +257,12 @@ def stream_scan(
     exact = [p for p in plans if _in_runs(p)]
     plans = [p for p in plans if p not in exact]
     left = _context(plans)
-    right = RIGHT_CONTEXT * 4
-    size = max(size, left)
+    cut = _cuts(plans)
+    right = max([RIGHT_CONTEXT * 4, *[c.context for group in cut.values() for _, c in group]])
+    size = max(size, left, right)
     placed = with_offsets(chunks)
     blocks = blocks_of(placed, left, right, size)
+    plans = [p for p in plans if not p.cut]
 
     def run(group: list[_Plan], blocks: DataFrame) -> DataFrame:
         if not close:
@@ -216,6 +287,10 @@ def stream_scan(
         group = [p for p in plans if p.first_only == first_only]
         parts = [run(group, blocks)] if group else []
         parts += [run([p], _whole_runs(blocks, p, size)) for p in exact if p.first_only == first_only]
+        for utf8, every in cut.items():
+            group = [(k, c) for k, c in every if c.once == first_only]
+            if group:
+                parts.append(_cut_scan(blocks if close else _mark_open(blocks, chunks), group, utf8, placed, size, limit))
         return reduce(DataFrame.unionByName, parts) if parts else None
 
     out, once = found(False), found(True)
@@ -240,17 +315,20 @@ def _mark_open(blocks: DataFrame, chunks: DataFrame) -> DataFrame:
     return joined.withColumn("open", (F.col("epoch") == F.col("last")) & ~F.col("closed")).drop("last", "closed")
 
 
-def carry(chunks: DataFrame, rules) -> DataFrame:
-    """State to resume from: ``(stream_id, offset, tail)`` at the end of each stream's last epoch.
+def carry(chunks: DataFrame, rules, *, size: int = STREAM_BLOCK) -> DataFrame:
+    """State to resume from, saved in the shared folder: ``(stream_id, offset, tail, carried)`` at the end of each stream's last epoch.
 
     The tail is all a later match of the rules can hold of the bytes so far: the
-    longest bounded match, and for a rule without a bound the characters at the
-    end that it may go on from.
+    longest bounded match. Of a rule that is cut at its unbounded repeat, the
+    first head of the stretch that goes on is two numbers in ``carried``; for
+    other rules without a bound the tail holds the characters at the end that a
+    match may go on from.
     """
     plain, _ = split_rules(rules)
     plans = [_Plan(r) for r in plain]
     exact = [p for p in plans if _in_runs(p)]
-    keep = _context([p for p in plans if p not in exact])
+    plans = [p for p in plans if p not in exact]
+    keep = _context(plans)
     placed = with_offsets(chunks)
     n = F.octet_length("data")
     view = F.decode("data", "ISO-8859-1")
@@ -266,16 +344,44 @@ def carry(chunks: DataFrame, rules) -> DataFrame:
     near = placed.join(last, "stream_id").where((F.col("epoch") == F.col("last")) & (F.col("off") + n > F.col("begin")))
     skip = F.greatest(F.col("begin") - F.col("off"), F.lit(0)).cast("int")
     piece = F.decode(F.substring(F.col("data"), skip + 1, n), "ISO-8859-1")
-    grouped = near.groupBy("stream_id", "offset").agg(F.array_sort(F.collect_list(F.struct("off", piece.alias("p")))).alias("ps"))
+    grouped = near.groupBy("stream_id", F.col("epoch"), "offset").agg(F.array_sort(F.collect_list(F.struct("off", piece.alias("p")))).alias("ps"))
     text = F.array_join(F.transform("ps", lambda p: p["p"]), "")
-    return grouped.select("stream_id", "offset", F.encode(text, "ISO-8859-1").alias("tail"))
+    states = grouped.select("stream_id", "epoch", "offset", F.encode(text, "ISO-8859-1").alias("tail"))
+    heads = _last_heads(placed, plans, max(size, keep))
+    if heads is None:
+        return stored(states.select("stream_id", "offset", "tail", F.lit(None).cast(CARRIED).alias("carried")), "states")
+    states = states.join(heads, ["stream_id", "epoch"], "left")
+    return stored(states.select("stream_id", "offset", "tail", F.col("carried").cast(CARRIED).alias("carried")), "states")
+
+
+def _last_heads(placed: DataFrame, plans: list[_Plan], size: int) -> DataFrame | None:
+    """First heads of the stretches that go on at the end of each epoch: ``(stream_id, epoch, carried)``."""
+    cut = _cuts(plans)
+    every = [c for group in cut.values() for _, c in group]
+    if not every:
+        return None
+    context = max(c.context for c in every) + 4
+    blocks = blocks_of(placed, context, context, max(size, context))
+    parts = []
+    for utf8, group in cut.items():
+        if group:
+            rows, heads = _block_states(blocks, group, utf8, placed, max(size, context))
+            keys = ["stream_id", "epoch", "rule"]
+            end = rows.groupBy(*keys).agg(F.max(F.struct("block", "after")).alias("m")).select(*keys, "m.after")
+            parts.append(end.join(heads, [*keys, "after"]).select("stream_id", "epoch", F.struct(
+                F.col("rule").cast("int").alias("rule"), F.col("head.first").alias("first"), F.col("head.start").alias("start")).alias("c")))
+    return reduce(DataFrame.unionByName, parts).groupBy("stream_id", "epoch").agg(F.collect_list("c").alias("carried"))
 
 
 def restore_rows(states: DataFrame, seq: Column) -> DataFrame:
     """Control rows that put saved states back: the stream continues from them."""
     return states.select(
         "stream_id", seq.cast("bigint").alias("seq"), F.col("tail").alias("payload"),
-        F.lit(RESTORE).alias("control"), "offset")
+        F.lit(RESTORE).alias("control"), "offset", _carried_of(states))
+
+
+def _carried_of(df: DataFrame) -> Column:
+    return (F.col("carried") if "carried" in df.columns else F.lit(None)).cast(CARRIED).alias("carried")
 
 
 def resume(chunks: DataFrame, states: DataFrame) -> DataFrame:
@@ -305,5 +411,5 @@ def _controlled(chunks: DataFrame) -> DataFrame:
     return chunks.select(
         "stream_id", F.col("seq").cast("bigint").alias("seq"), F.col("payload").cast("binary").alias("payload"),
         (F.col("control") if "control" in names else F.lit(None)).cast("string").alias("control"),
-        (F.col("offset") if "offset" in names else F.lit(None)).cast("bigint").alias("offset"),
+        (F.col("offset") if "offset" in names else F.lit(None)).cast("bigint").alias("offset"), _carried_of(chunks),
     )

@@ -205,7 +205,7 @@ def live_scan(chunks: DataFrame, rules, *, tasks: int | None = None) -> DataFram
     if combos:
         raise RuleError("combinations are evaluated on whole haystacks", combos[0].rule.ord)
     horizon = horizon_bytes(plain)
-    plans = [_Plan(r, horizon=horizon) for r in plain if "Q" not in r.flags]
+    plans = [_Plan(r, horizon=horizon, cut=False) for r in plain if "Q" not in r.flags]
     once = sorted({p.rule.pattern_id for p in plans if p.first_only})
     if any(p.rule.pattern_id in once and not p.first_only for p in plans):
         raise RuleError("rules of one id must all be single-match, or none", plans[0].rule.ord)

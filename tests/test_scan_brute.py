@@ -191,7 +191,8 @@ def test_found_text_is_that_of_the_column(spark):
 def test_horizon_of_the_rule_set(spark):
     df = spark.createDataFrame([(1, "a" + "x" * 70_000 + "b")], "doc_id long, text string")
     rule = lambda i, som: Rule(i, i, "a[^\n]*b", frozenset("L"), som=som)
-    assert rows(scan(df, [rule(0, "small")])) == [(1, 0, -1, 70_002)]
+    # a horizon is a matter of streams
+    assert rows(scan(df, [rule(0, "small")])) == [(1, 0, 0, 70_002)]
     assert rows(scan(df, [rule(0, "small"), rule(1, "medium")])) == [(1, 0, 0, 70_002), (1, 1, 0, 70_002)]
 
 

@@ -122,8 +122,54 @@ def test_unbounded_rules_are_exact_without_a_horizon(chunks, streams, size):
     assert rows(stream_scan(chunks, rules, size=size)) == sorted(want)
 
 
-def test_rules_that_may_hold_any_byte_are_refused(chunks):
-    for rule in ("/a.*b/s", "/é+b/8L"):
+ANY_BYTE = ["/a.*b/sL", "/a.*b/s", "/é+b/8L", "/(é|ab).*(b|é)/8sL", "/c.*/8sL", r"/c.*\bb/sL", "/^.*b/msL", "/(b|abc).*c/sL", "/[^a]*b/L", "/é.*b/8sHL"]
+
+
+def all_events(rules, texts):
+    want = []
+    for k, text in texts.items():
+        for i, line in enumerate(rules):
+            body, flags = line[1:].rsplit("/", 1)
+            found = sorted((e, s if "L" in flags else 0) for e, s in brute(body, flags, text).items())
+            want += [(k, i, s, e) for e, s in (found[:1] if "H" in flags else found)]
+    return sorted(want)
+
+
+@pytest.mark.parametrize("size", [16, 65_536])
+def test_rules_that_may_hold_any_byte(chunks, streams, size):
+    """Cut at their unbounded repeat: blocks far smaller than the matches, in bytes and in characters."""
+    assert rows(stream_scan(chunks, ANY_BYTE, size=size)) == all_events(ANY_BYTE, streams)
+
+
+def test_matches_over_many_blocks(spark):
+    """Heads many blocks back, starts that vary near a block's edge, stretches that end in the context."""
+    rng = random.Random(8)
+    letters = ["ab c\né😀", "abc ", "aaab é😀", "é", "b\n", "é\nc"]
+    texts = {k: "".join(rng.choice(letters[k % 6]) for _ in range(rng.randint(100, 250))) for k in range(6)}
+    texts |= {20: "a" * 300, 21: "abc" * 90, 22: "d" + "é" * 150 + "b" + "é" * 90 + "b"}
+    data = [(k, i, c) for k, t in texts.items() for i, c in enumerate(cut(rng, t.encode(), 9))]
+    df = spark.createDataFrame(data, CHUNKS)
+    rules = [r for r in ANY_BYTE if "H" not in r] + ["/d.*b/8L"]
+    assert rows(stream_scan(df, rules, size=16)) == all_events(rules, texts)
+    before, after = df.where("seq < 20"), df.where("seq >= 20")
+    rules = [r for r in rules if "\\b" not in r]
+    states = carry(before, rules, size=16)
+    assert states.select(F.max(F.octet_length("tail"))).first()[0] < 200 * 12, "no run is saved, only where it began"
+    got = stream_scan(before, rules).unionByName(stream_scan(resume(after, states), rules, size=16))
+    assert rows(got) == all_events(rules, texts)
+
+
+def test_a_long_stream_is_no_row(spark):
+    """Twenty megabytes without a line break: only numbers are gathered by stream."""
+    data = spark.range(320).select(
+        F.lit(1).cast("bigint").alias("stream_id"), F.col("id").alias("seq"),
+        F.when(F.col("id") == 0, "a").otherwise(F.repeat(F.lit("x"), 65_536)).cast("binary").alias("payload"))
+    last = spark.createDataFrame([(1, 400, b"b")], CHUNKS)
+    assert rows(stream_scan(data.unionByName(last), "/a.*b/sL")) == [(1, 0, 0, 319 * 65_536 + 2)]
+
+
+def test_what_cannot_be_cut_is_refused(chunks):
+    for rule in ("/a.*b.*c/s", "/(é.*b)+c/8L"):
         with pytest.raises(RuleError, match="any byte"):
             stream_scan(chunks, rule)
 
@@ -157,7 +203,7 @@ def test_horizon_of_a_large_set_of_texts(spark):
     small = Rule(0, 0, "a[^\n]*b", frozenset("L"), som="small")
     for n in (20, 40):
         assert rows(scan(df, [small, *words[:n]])) == [(1, 0, 0, 70_002)]
-    assert rows(scan(df, [small], horizon=False)) == [(1, 0, 0, 70_002)]
+    assert rows(scan(df, [small])) == [(1, 0, 0, 70_002)]
 
 
 def live(spark, data, rules, files, **options):
