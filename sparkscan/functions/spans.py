@@ -146,7 +146,7 @@ def needs_history(p: Prepared, som: bool, allow_empty: bool = False) -> bool:
     return som and (p.max_width is None or p.max_width > MAX_LOOKBEHIND)
 
 
-def _fixed_bytes(p: Prepared, utf8: bool) -> int | None:
+def fixed_bytes(p: Prepared, utf8: bool) -> int | None:
     if p.literal:
         return len(p.literal.encode("utf-8")) if utf8 else len(p.literal)
     return p.max_width if p.min_width == p.max_width and not utf8 else None
@@ -179,7 +179,7 @@ def window_events(
     ``base`` is the byte offset of the text's first character; the text outside
     ``(lo, hi]`` is context only.
     """
-    fixed = _fixed_bytes(p, utf8)
+    fixed = fixed_bytes(p, utf8)
     zero = F.lit(0).cast("bigint")
 
     def event(q: Column) -> Column:

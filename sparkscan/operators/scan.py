@@ -10,6 +10,8 @@ from __future__ import annotations
 import ast
 import re
 from collections.abc import Sequence
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,12 +19,16 @@ from pyspark.sql import functions as F
 from ..functions import spans as S
 from ..functions.approx import approx_events
 from ..functions.cuts import CUT, Cut, cut_events, cut_of, cut_rows
+from ..functions.tabled import Tabled, tabled
 from ..functions.regex import MAX_LOOKBEHIND, RuleError, alternation, captures, quote
+from .rule_index import indexed_events
 from .rules import MAX_RULES, Rule, check_rules, rule_list
 
 BLOCK = 4096
 # More plain texts than these are searched as a set.
 LITERAL_SET = 32
+# More rules of other kinds than these are looked up by the text they need.
+RULE_SET = 16
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -62,6 +68,9 @@ class _Plan:
         """Whether a match may be longer than any number of characters."""
         return self.history and self.p.max_width is None
 
+    def tabled(self) -> Tabled:
+        return tabled(self.rule.pattern_id, self.p, self.rule.ext, self.width, som=self.som, report_som=self.report_som, utf8=self.rule.utf8)
+
     @property
     def far(self) -> bool:
         """Whether a start the rule reports may lie beyond the horizon."""
@@ -241,6 +250,19 @@ def _scan(
         rest = [r for r in plain if r not in texts]
         return found.unionByName(_scan(df, rest, combos, payload, keys, block, False, False)) if rest or combos else found
     plans = [_Plan(r, som) for r in plain if "Q" not in r.flags]
+    many = _many(plans) if not with_text else []
+    if many:
+        rest = [p.rule for p in plans if p not in many]
+        parts = [
+            indexed_events(df, S.view_of(F.col(payload), u), u, [p.cut or p.tabled() for p in group], keys, block)
+            for u in (False, True) for c in (False, True)
+            if (group := [p for p in many if p.rule.utf8 == u and bool(p.cut) == c])]
+        if rest or combos:
+            # combinations look at the rules they name, quiet ones among them
+            named = set().union(*[c.ids for c in combos]) if combos else set()
+            quiet = [replace(r, flags=r.flags | {"Q"}) for r in plain if r not in rest and r.pattern_id in named]
+            parts.append(_scan(df, [*rest, *quiet], combos, payload, keys, block, False, som))
+        return reduce(DataFrame.unionByName, parts)
     # cuts are data of one expression; of single-match rules, those that share no id
     shared = {i for i, group in _by_id(plans).items() if len(group) > 1}
     cut_plans = {u: [p for p in plans if p.rule.utf8 == u and p.cut and not (p.first_only and p.rule.pattern_id in shared)] for u in (False, True)}
@@ -302,6 +324,12 @@ def _scan(
     return cut.select(*keys, F.inline(out))
 
 
+def _many(plans: list[_Plan]) -> list[_Plan]:
+    """The rules to look up by the text they need, if there are so many that they should not be expressions of their own."""
+    found = [p for p in plans if (p.marked or p.cut) and not p.first_only]
+    return found if len(found) > RULE_SET else []
+
+
 def apply_horizon(matches: DataFrame, horizon: int | None, ids: Sequence[int] | None = None) -> DataFrame:
     """Start offsets further back than the horizon are reported as -1; ``ids`` names the rules that report starts."""
     if horizon is None:
@@ -496,6 +524,12 @@ def hit_counts(df: DataFrame, rules, *, payload: str = "text") -> DataFrame:
     if combos:
         raise RuleError("combinations are counted from scan()", combos[0].rule.ord)
     plans = [_Plan(r) for r in plain if "Q" not in r.flags]
+    every = df.sparkSession.createDataFrame([(i,) for i in _by_id(plans)], "pattern_id int")
+    if _many(plans):
+        numbered = df.select(F.monotonically_increasing_id().alias("__row"), payload)
+        per_row = scan(numbered, plain, payload=payload, keys=("__row",)).groupBy("pattern_id", "__row").agg(F.count("*").alias("n"))
+        found = per_row.groupBy("pattern_id").agg(F.sum("n").alias("hits"), F.count("*").alias("docs"))
+        return every.join(found, "pattern_id", "left").fillna(0, ["hits", "docs"])
     views = {u: S.view_of(F.col(payload), u) for u in {p.rule.utf8 for p in plans}}
     base = df.select(*[v.alias(f"v{int(u)}") for u, v in views.items()])
     per_row = []
@@ -521,7 +555,6 @@ def hit_counts(df: DataFrame, rules, *, payload: str = "text") -> DataFrame:
     each = F.array(*[F.struct(F.lit(i).cast("int").alias("pattern_id"), F.col(f"n{k}").alias("n")) for k, (i, _) in enumerate(per_row)])
     found = rows.select(F.inline(F.filter(each, lambda e: e["n"] > 0)))
     found = found.groupBy("pattern_id").agg(F.sum("n").alias("hits"), F.count("*").alias("docs"))
-    every = df.sparkSession.createDataFrame([(i,) for i, _ in per_row], "pattern_id int")
     return every.join(found, "pattern_id", "left").fillna(0, ["hits", "docs"])
 
 

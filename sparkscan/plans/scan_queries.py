@@ -251,6 +251,34 @@ def multi_scan_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(parts.select(F.col("p_partkey").alias("doc_id"), F.col("p_name").alias("text")), rules)
 
 
+@query(r"""
+WITH r AS (
+  SELECT (item_id * 1000 + i - 1)::INT AS id, w FROM (
+    SELECT item_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+    FROM (SELECT item_id, regexp_extract_all(text, '[a-z]{6,}') AS ws FROM benchmark))),
+ runs AS (SELECT doc_id, "from" AS s, txt FROM (""" + spans("[a-z]{6,}") + r""")),
+ p AS (
+  SELECT txt, w, unnest(list_filter(range(0, len(txt) - len(w) + 1), lambda i: txt[i + 1:i + len(w)] = w)) AS i
+  FROM (SELECT DISTINCT txt FROM runs) JOIN (SELECT DISTINCT w FROM r) ON contains(txt, w)),
+ h AS (SELECT doc_id, w, encode(text) AS b, len(w) AS n, s + i AS i FROM runs JOIN p USING (txt) JOIN documents USING (doc_id)),
+ e AS (SELECT doc_id, id, i, n, b[i:i] AS before, b[i + n + 1:i + n + 1] AS after FROM h JOIN r USING (w))
+SELECT doc_id, id AS pattern_id, i::BIGINT AS "from", (i + n)::BIGINT AS "to" FROM e
+WHERE id % 3 < 2 OR NOT regexp_matches(decode(CASE WHEN before < encode(chr(127)) THEN before ELSE encode(' ') END), '[0-9A-Za-z_]')
+  AND NOT regexp_matches(decode(CASE WHEN after < encode(chr(127)) THEN after ELSE encode(' ') END), '[0-9A-Za-z_]')
+UNION ALL SELECT doc_id, id, i, i + n + 1 FROM e WHERE id % 3 = 1 AND after BETWEEN encode('a') AND encode('z') AND octet_length(after) = 1""")
+def scan_rule_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule for each long word of each benchmark passage, in three spellings, searched in all documents."""
+    words = F.posexplode(F.regexp_extract_all("text", F.lit("[a-z]{6,}"), F.lit(0)))
+    items = read_table(spark, sf_dir, "benchmark", "item_id", "text").select("item_id", words.alias("i", "w"))
+    number = (F.col("item_id") * 1000 + F.col("i")).cast("int")
+    kind = number % 3
+    rules = items.select(
+        number.alias("ord"), number.alias("pattern_id"), F.lit("regex").alias("kind"),
+        F.when(kind == 0, F.col("w")).when(kind == 1, F.concat("w", F.lit("[a-z]?"))).otherwise(F.concat(F.lit("\\b"), "w", F.lit("\\b"))).alias("expression"),
+        F.array(F.lit("L")).alias("flags"), F.lit(None).cast(EXT_TYPE).alias("ext"), F.lit(None).cast("string").alias("som"))
+    return scan(documents(spark, sf_dir), rules)
+
+
 @query(f"""SELECT doc_id, r.id::INT AS pattern_id FROM documents, (VALUES {', '.join(f'({i}, {lit(p)})' for i, p in RULES.items())}) r(id, p)
 WHERE regexp_matches(text, r.p)""")
 def join_docs_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

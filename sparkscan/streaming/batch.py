@@ -316,11 +316,12 @@ def _mark_open(blocks: DataFrame, chunks: DataFrame) -> DataFrame:
 
 
 def carry(chunks: DataFrame, rules, *, size: int = STREAM_BLOCK) -> DataFrame:
-    """State to resume from, saved in the shared folder: ``(stream_id, offset, tail, carried)`` at the end of each stream's last epoch.
+    """State to resume from, saved in the shared folder: ``(stream_id, offset, tail[, carried])`` at the end of each stream's last epoch.
 
     The tail is all a later match of the rules can hold of the bytes so far: the
     longest bounded match. Of a rule that is cut at its unbounded repeat, the
-    first head of the stretch that goes on is two numbers in ``carried``; for
+    first head of the stretch that goes on is two numbers in ``carried``, a column
+    that is there if a rule is cut; for
     other rules without a bound the tail holds the characters at the end that a
     match may go on from.
     """
@@ -349,7 +350,7 @@ def carry(chunks: DataFrame, rules, *, size: int = STREAM_BLOCK) -> DataFrame:
     states = grouped.select("stream_id", "epoch", "offset", F.encode(text, "ISO-8859-1").alias("tail"))
     heads = _last_heads(placed, plans, max(size, keep))
     if heads is None:
-        return stored(states.select("stream_id", "offset", "tail", F.lit(None).cast(CARRIED).alias("carried")), "states")
+        return stored(states.select("stream_id", "offset", "tail"), "states")
     states = states.join(heads, ["stream_id", "epoch"], "left")
     return stored(states.select("stream_id", "offset", "tail", F.col("carried").cast(CARRIED).alias("carried")), "states")
 

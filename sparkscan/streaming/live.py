@@ -144,7 +144,10 @@ class Stitcher(StatefulProcessor):
 
 
 class FirstOnly(StatefulProcessor):
-    """Single match over a stream's life: the earliest end seen is the only event. Other rules' events pass."""
+    """Single match over a stream's life: the earliest end seen is the only event. Other rules' events pass.
+
+    A row without an end says that the life is over; its state goes, so a stream that is opened again reports again.
+    """
 
     def __init__(self, once: list[int]):
         self.once = once
@@ -153,17 +156,23 @@ class FirstOnly(StatefulProcessor):
         self.done = handle.getValueState("done", T.StructType([T.StructField("to", T.LongType())]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best = None
+        best, ended = None, False
         for batch in rows:
             if key[2] not in self.once:
                 yield pd.DataFrame({"stream_id": key[0], "epoch": key[1], "pattern_id": key[2], "start": batch["start"], "end": batch["end"]})
                 continue
-            for start, end in zip(batch["start"], batch["end"]):
+            ended = ended or bool(batch["end"].isna().any())
+            for start, end in batch[["start", "end"]].dropna().itertuples(index=False):
                 if best is None or (end, start) < best:
                     best = (int(end), int(start))
-        if best is not None and not self.done.exists():
-            self.done.update((best[0],))
+        known = self.done.exists()
+        if best is not None and not known:
             yield pd.DataFrame([(key[0], key[1], key[2], best[1], best[0])], columns=FIRST.names)
+        if ended:
+            if known:
+                self.done.clear()
+        elif best is not None and not known:
+            self.done.update((best[0],))
 
     def close(self) -> None:
         pass
@@ -223,7 +232,7 @@ def live_scan(chunks: DataFrame, rules, *, tasks: int | None = None) -> DataFram
         statefulProcessor=Stitcher(keep, covers), outputStructType=STITCHED, outputMode="Append", timeMode="None")
     # state follows the stream id; the regex work after it need not, so a busy stream is spread out
     work = stitched.repartition(tasks or int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    matched = work.select("stream_id", "epoch", F.inline(_events(plans)))
+    matched = work.select("stream_id", "epoch", F.inline(_events(plans, once)))
     if not once:
         return matched
     renamed = matched.withColumnsRenamed({"from": "start", "to": "end"})
@@ -232,7 +241,7 @@ def live_scan(chunks: DataFrame, rules, *, tasks: int | None = None) -> DataFram
     return first.withColumnsRenamed({"start": "from", "end": "to"})
 
 
-def _events(plans: list[_Plan]):
+def _events(plans: list[_Plan], once: list[int]):
     text = F.decode("bytes", "ISO-8859-1")
     zero = F.lit(0).cast("bigint")
 
@@ -253,4 +262,8 @@ def _events(plans: list[_Plan]):
     late = F.greatest(F.col("lo") - HOLD, zero)
     while_open = F.concat(on(F.col("lo"), F.col("hi"), settled, True), on(late, F.greatest(F.col("hi") - HOLD, zero), waiting, True))
     at_close = on(late, F.col("hi"), waiting, False)
+    if once:
+        # tells the state of single matches that the life is over
+        over = F.array(*[F.struct(F.lit(i).alias("pattern_id"), F.lit(None).alias("from"), F.lit(None).alias("to")) for i in once])
+        at_close = F.concat(at_close, over.cast(S.EVENT))
     return F.when(F.col("closing"), at_close).otherwise(while_open)

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 import regex
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from sparkscan import Regex, Rule, RuleError, hit_counts, literal_counts, literal_scan, pcre_scan, scan
 from sparkscan.operators.joins import confirm, dictionary_hits, dictionary_pairs, matching_rules, prefilter
 from sparkscan.functions import spans as S
+from sparkscan.operators.scan import RULE_SET, _Plan
 
 from .helpers import brute, distance, rows
 
@@ -196,6 +198,31 @@ def test_horizon_of_the_rule_set(spark):
     assert rows(scan(df, [rule(0, "small"), rule(1, "medium")])) == [(1, 0, 0, 70_002), (1, 1, 0, 70_002)]
 
 
+@pytest.mark.parametrize("utf8", [False, True])
+def test_large_rule_sets_are_looked_up(docs, texts, utf8):
+    """All rules at once, several under one id: those that need text are found by it, the others tried everywhere."""
+    flag = "8" if utf8 else ""
+    chosen = [(i % 20, e, f + flag + ("L" if i % 4 else "")) for i, (e, f) in enumerate(RULES * 2)]
+    assert sum(bool(_Plan(Rule(0, i, e, frozenset(f))).marked) for i, e, f in chosen) > RULE_SET
+    want = sorted(
+        (k, i, start if "L" in f else 0, end) for k, text in enumerate(texts) for i, e, f in chosen
+        for end, start in brute(posix(e), f, text).items())
+    rules = [Rule(0, i, e, frozenset(f)) for i, e, f in chosen]
+    assert rows(scan(docs, rules, block=8)) == want
+    found = {r[0]: (r[1], r[2]) for r in rows(hit_counts(docs, rules))}
+    assert found == {i: (sum(w[1] == i for w in want), len({w[0] for w in want if w[1] == i})) for i in range(20)}
+
+
+def test_large_rule_sets_beside_others(spark):
+    df = spark.createDataFrame([(1, "word7 word77 test word8"), (2, "none"), (3, None)], "doc_id long, text string")
+    rules = [Rule(k, k, f"word{k}[a-z]?", frozenset("L"), ext={"min_offset": 6} if k == 7 else {}) for k in range(40)]
+    rules += [Rule(40, 40, "tes+t", frozenset("LH")), Rule(41, 41, "7 & 8 & !9", frozenset("C")), Rule(42, 42, "word8$", frozenset("LQ"))]
+    assert rows(scan(df, rules)) == [(1, 7, 6, 11), (1, 8, 18, 23), (1, 40, 13, 17), (1, 41, 0, 23)]
+    start = time.time()
+    scan(df, [Rule(k, k, rf"w{k:04}[a-z]?\b", frozenset("L")) for k in range(2000)])._jdf.queryExecution().executedPlan()
+    assert time.time() - start < 15, "a plan does not grow with the rules"
+
+
 def test_literals_of_the_dictionary_are_tokens(spark):
     df = spark.createDataFrame([(1, "für x-ray für")], "doc_id long, text string")
     words = spark.createDataFrame([(0, "für")], "pattern_id int, expression string")

@@ -256,6 +256,14 @@ def test_closed_streams_leave_no_state(spark):
     assert [r.key.stream_id for r in state.select("key").collect()] == [2]
 
 
+def test_a_stream_opened_again_reports_its_single_match_again(spark):
+    schema = "stream_id long, seq long, payload binary, control string"
+    life = [(1, 0, b"a tion", None), (1, 1, b" tion", None), (1, 2, None, "close")]
+    data = spark.createDataFrame([(n, *r) for n in range(2) for r in life], f"n int, {schema}")
+    files = lambda d: [spark.createDataFrame(life, schema), spark.createDataFrame(life, schema)]
+    assert live(spark, data.drop("n"), ["/tion/LH", "/n$/LH"], files) == [(1, 0, 0, 2, 6)] * 2 + [(1, 0, 1, 10, 11)] * 2
+
+
 def test_chunks_put_together_again(spark, streams):
     docs = spark.createDataFrame(list(streams.items()), "doc_id long, text string")
     pieces = chunks_of(docs, size=7)
