@@ -8,7 +8,7 @@ return the columns of ``documents``, and work on every row the one before kept.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkscan.llm import near_dup, packing, quality_model, quality_rules
@@ -18,26 +18,43 @@ from sparkscan.llm.queries import BYTE_BPE, QUALITY_SCORE
 
 
 def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that no quality rule rejects."""
+    """Rows that no quality rule rejects, repeated ones included. Null and empty texts are rejected; an empty table stays empty."""
     return quality_rules.passing(docs)
 
 
 def keep_by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the quality classifier scores 0.7 or more; it learns from a bounded sample of the labelled documents of ``sf_dir``."""
+    """Rows that the quality classifier scores 0.7 or more; it learns from a bounded sample of the labelled documents of ``sf_dir``.
+
+    Repeated rows score alike; null texts count as empty; an empty table stays empty.
+    """
     labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 4) != 2)
     weights = quality_model.train(table(spark, sf_dir, "documents"), labels)
     return docs.where(quality_model.score(docs, weights) >= QUALITY_SCORE)
 
 
+def row_name(name: str) -> Column:
+    """Bytes that name a row by its doc_id and text, and sort by doc_id; rows without one come last, by their text alone."""
+    text = F.coalesce("text", F.lit(""))
+    own = F.concat(F.lpad(F.hex(F.col("doc_id").cast("bigint")), 16, "0"), F.lpad(F.hex(F.xxhash64(text)), 16, "0"))
+    return F.unhex(F.coalesce(own, F.concat(F.lit("F" * 16), F.md5(text.cast("binary"))))).alias(name)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar texts (five words, 0.8). Rows without a doc_id stay."""
-    found = near_dup.near_duplicates(docs, 5, 80, 100)
-    copies = found.where(F.col("doc_id").isNotNull() & ~F.col("kept")).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of similar texts (five words, 0.8): that with the smallest doc_id.
+
+    Rows count by doc_id and text, so a doc_id with several texts loses none that has no copy elsewhere; of equal rows one
+    stays. Null texts count as empty; a row without words, and of each doc_id one, stays. An empty table stays empty.
+    """
+    name = "__row"
+    while name in docs.columns:
+        name += "_"
+    rows = docs.select("*", row_name(name))
+    kept = near_dup.near_duplicates(rows, 5, 80, 100, key=name).where("kept").select(name).distinct()
+    return rows.dropDuplicates([name]).join(kept, name, "left_semi").select(*[f"`{c}`" for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The places of all documents in sequences of 2048 tokens."""
+    """The places of all documents in sequences of 2048 tokens; repeated rows are documents of their own, null texts are empty."""
     return packing.pack(docs, public_tokenizers.path(BYTE_BPE))
 
 
