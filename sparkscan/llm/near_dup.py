@@ -252,7 +252,7 @@ def near_duplicates(df: DataFrame, words: int = 5, num: int = 80, den: int = 100
 
     ``component_id`` is the smallest key reachable, a text's own if it has no
     words; ``kept`` marks the text that has it. Null texts count as empty.
-    Rows of one key are one document, and repeated rows give repeated results.
+    A key with several texts has a result for each, and repeated rows give repeated results.
     Rows without a key take no part and get a null component and ``kept`` false.
     """
     r = distance_bound(num, den)
