@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import stored
-from .scan import apply_horizon
+from .scan import apply_horizon, event_arrays
 
 ORDER = ("to", "pattern_id", "from")
 
@@ -50,6 +53,49 @@ def within(
     return out
 
 
+Handler = Callable[[pd.DataFrame], pd.Series]
+# What a handler may answer.
+SKIP, TERMINATE = "skip", "terminate"
+
+
+def _first_places(rows: np.ndarray, hit: np.ndarray) -> np.ndarray:
+    """For each event, the place of the first hit of its row group, or a place after all; groups are numbered."""
+    places = np.full(rows.max() + 1 if len(rows) else 0, len(rows), np.int64)
+    np.minimum.at(places, rows[hit], np.flatnonzero(hit))
+    return places[rows]
+
+
+def handled_scan(
+    df: DataFrame, rules, handler: Handler, *, payload: str = "text", keys: Sequence[str] = ("doc_id",),
+) -> DataFrame:
+    """Scan with a handler that answers continue / skip / terminate for every event: ``(keys, pattern_id, from, to)``.
+
+    A haystack's events come as one array in order; the handler is asked once for
+    all of a batch, with ``(pattern_id, from, to)``, and a haystack's events end
+    at its first terminate, a rule's at its first skip. One pass over the
+    haystacks: nothing is written, shuffled or joined.
+    """
+    found = event_arrays(df, rules, payload=payload, keys=keys)
+    names = list(keys)
+    fields = [found.schema[k] for k in names] + [
+        T.StructField("pattern_id", T.IntegerType()), T.StructField("from", T.LongType()), T.StructField("to", T.LongType())]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            counts = batch["events"].map(len).to_numpy()
+            rows = np.repeat(np.arange(len(batch)), counts)
+            flat = [e for events in batch["events"] for e in events]
+            events = pd.DataFrame({c: np.array([e[c] for e in flat], np.int64) for c in ("pattern_id", "from", "to")})
+            answers = np.asarray(handler(events), object)
+            at = np.arange(len(flat))
+            rule = pd.DataFrame({"row": rows, "rule": events["pattern_id"]}).groupby(["row", "rule"]).ngroup().to_numpy()
+            kept = (at <= _first_places(rows, answers == TERMINATE)) & (at <= _first_places(rule, answers == SKIP))
+            out = batch[names].iloc[rows[kept]].reset_index(drop=True)
+            yield pd.concat([out, events[kept].reset_index(drop=True).astype({"pattern_id": np.int32})], axis=1)
+
+    return found.mapInPandas(run, T.StructType(fields))
+
+
 def handle_matches(matches: DataFrame, action: Column, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Apply a per-event handler that answers continue / skip / terminate.
 
@@ -74,4 +120,4 @@ def handle_matches(matches: DataFrame, action: Column, keys: Sequence[str] = ("d
     )
 
 
-__all__ = ["apply_horizon", "handle_matches", "single_match", "skip_rule", "terminate", "within"]
+__all__ = ["apply_horizon", "handle_matches", "handled_scan", "single_match", "skip_rule", "terminate", "within"]

@@ -34,7 +34,7 @@ TOKEN = r"[\p{L}\p{M}\p{N}_]+"
 def _wanted(literals: DataFrame, token: str) -> DataFrame:
     """The dictionary by token; a literal that is not one token could never be found, and is an error."""
     literal = F.col("expression")
-    message = F.concat(F.lit("not one token, use literal_scan: "), literal)
+    message = F.concat(F.lit("not one token, use phrase_scan: "), literal)
     return literals.select("pattern_id", F.when(literal.rlike(f"^(?:{token})$"), literal).otherwise(F.raise_error(message)).alias("token"))
 
 

@@ -37,7 +37,7 @@ RULES_SCHEMA = T.StructType(
         T.StructField("som", T.StringType()),
     ]
 )
-# Rules are prepared on the driver, so their number is checked; dictionary joins have no limit.
+# Rules are prepared on the driver, so their number is checked; larger sets of plain texts are joined, without a limit.
 MAX_RULES = 100_000
 
 
@@ -129,7 +129,7 @@ def rules_table(spark: SparkSession, source, kind: str = "regex") -> DataFrame:
 def collect_rules(rules: DataFrame) -> list[Rule]:
     rows = rules.select(*RULES_SCHEMA.names).orderBy("ord").limit(MAX_RULES + 1).collect()
     if len(rows) > MAX_RULES:
-        raise RuleError(f"more than {MAX_RULES} rules; use the dictionary join for larger sets")
+        raise RuleError(f"more than {MAX_RULES} rules; only plain texts (literal_scan, phrase_scan) may be more")
     return [
         Rule(r.ord, r.ord if r.pattern_id is None else r.pattern_id, r.expression, frozenset(r.flags or ()),
              r.kind or "regex", {k: v for k, v in (r.ext.asDict() if r.ext else {}).items() if v is not None}, r.som)

@@ -22,7 +22,8 @@ from ..functions.cuts import CUT, Cut, cut_events, cut_of, cut_rows
 from ..functions.tabled import Tabled, tabled
 from ..functions.regex import MAX_LOOKBEHIND, RuleError, alternation, captures, quote
 from .rule_index import indexed_events
-from .rules import MAX_RULES, Rule, check_rules, rule_list
+from .phrases import phrase_scan
+from .rules import EXT_KEYS, MAX_RULES, Rule, check_rules, rule_list
 
 BLOCK = 4096
 # More plain texts than these are searched as a set.
@@ -324,6 +325,29 @@ def _scan(
     return cut.select(*keys, F.inline(out))
 
 
+def event_arrays(df: DataFrame, rules, *, payload: str = "text", keys: Sequence[str] = ("doc_id",), block: int = BLOCK) -> DataFrame:
+    """A haystack's events as one array in the order they are found: ``(keys, events)``, ``array<struct<to,pattern_id,from>>``.
+
+    A narrow pass: nothing is shuffled, and a row without events is left out.
+    """
+    plain, combos = split_rules(rules)
+    plans = [_Plan(r) for r in plain if "Q" not in r.flags]
+    parts = []
+    for u in (False, True):
+        view = S.view_of(F.col(payload), u)
+        bounded = [p for p in plans if p.rule.utf8 == u and not p.history and not p.first_only]
+        whole = [p for p in plans if p.rule.utf8 == u and p not in bounded]
+        if bounded:
+            left = max(p.width for p in bounded) + 1
+            parts.append(F.flatten(F.transform(S.segments(view, u, max(block, left), left), lambda s: segment_events(s, bounded))))
+        if whole:
+            parts.append(S.let(S.whole(view, u)[0], lambda s: segment_events(s, whole)))
+    if combos:
+        parts.append(S.let(S.whole(S.view_of(F.col(payload), False), False)[0], lambda s: _combination_events(s, plain, combos)))
+    events = F.transform(F.concat(*parts), lambda e: F.struct(e["to"], e["pattern_id"], e["from"]))
+    return df.select(*keys, F.array_sort(events).alias("events")).where(F.size("events") > 0)
+
+
 def _many(plans: list[_Plan]) -> list[_Plan]:
     """The rules to look up by the text they need, if there are so many that they should not be expressions of their own."""
     found = [p for p in plans if (p.marked or p.cut) and not p.first_only]
@@ -462,8 +486,11 @@ def literal_scan(df: DataFrame, rules, *, payload: str = "text", keys: Sequence[
 
     The pass captures the longest literal at each position; the shorter ones
     that start there are its prefixes and come from a small lookup, whose size
-    is bounded by the rule set.
+    is bounded by the rule set. A table of more rules than the driver takes is
+    joined instead, as long as case matters and all report starts or none does.
     """
+    if isinstance(rules, DataFrame) and rules.limit(MAX_RULES + 1).count() > MAX_RULES:
+        return _joined_literals(df, rules, payload, keys)
     plain = rule_list(rules, "literal")
     if any(r.ext or r.flags & {"H", "Q", "C"} for r in plain):
         return scan(df, plain, payload=payload, keys=keys, block=block)
@@ -496,12 +523,36 @@ def literal_scan(df: DataFrame, rules, *, payload: str = "text", keys: Sequence[
     return out
 
 
+def _joined_literals(df: DataFrame, rules: DataFrame, payload: str, keys: Sequence[str]) -> DataFrame:
+    flags = F.coalesce(F.col("flags"), F.array().cast("array<string>"))
+    other = (F.col("kind") != "literal") | F.exists(flags, lambda f: ~f.isin("L", "8"))
+    for k in EXT_KEYS:
+        other = other | F.col(f"ext.{k}").isNotNull()
+    if not rules.where(other).isEmpty():
+        raise RuleError(f"of more than {MAX_RULES} rules, all must be literals in which case matters, without constraints")
+    # rows of a key are looked up together, so several columns are one struct
+    one = F.struct(*keys)
+    words = rules.select(F.coalesce("pattern_id", "ord").alias("pattern_id"), "expression", F.array_contains(flags, "L").alias("starts"))
+    both = []
+    for starts in (False, True):
+        found = phrase_scan(df.select(F.to_json(one).alias("__key"), payload), words.where(F.col("starts") == starts), payload=payload, key="__key")
+        at = F.col("from") if starts else F.lit(0).cast("bigint")
+        both.append(found.select("__key", "pattern_id", at.alias("from"), "to"))
+    schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    return both[0].unionByName(both[1]).select(F.from_json("__key", schema).alias("k"), "pattern_id", "from", "to").select("k.*", "pattern_id", "from", "to")
+
+
 def literal_counts(df: DataFrame, rules, *, payload: str = "text") -> DataFrame:
     """Occurrences per literal rule: ``(pattern_id, hits)``; rules without a hit report 0.
 
     Offsets are not needed, so found literals are counted as they come out of
     the pass (map-side) and only one row per literal and task is shuffled.
     """
+    if isinstance(rules, DataFrame) and rules.limit(MAX_RULES + 1).count() > MAX_RULES:
+        numbered = df.select(F.monotonically_increasing_id().alias("__row"), payload)
+        found = _joined_literals(numbered, rules, payload, ["__row"]).groupBy("pattern_id").agg(F.count("*").alias("hits"))
+        every = rules.select(F.coalesce("pattern_id", "ord").alias("pattern_id")).distinct()
+        return every.join(found, "pattern_id", "left").fillna(0, ["hits"])
     plain = rule_list(rules, "literal")
     counts = None
     for (utf8, caseless), texts in _literal_groups(plain).items():

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.control import apply_horizon, handle_matches, skip_rule, terminate
+from ..operators.control import apply_horizon, handled_scan, skip_rule, terminate
 from ..operators.rules import Rule
 from ..operators.scan import pcre_scan, scan
 from ..streaming.batch import stream_scan
@@ -99,16 +99,27 @@ def ext_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(documents(spark, sf_dir), ["/license/L{hamming_distance=2}"])
 
 
-@query(f"""
-WITH f AS (SELECT d.doc_id, strlen(text) AS n,
-    (SELECT min("to") FROM ({spans("(?i)license", 1)}) s WHERE s.doc_id = d.doc_id) AS r1,
-    (SELECT min("to") FROM ({spans("[0-9]", 2)}) s WHERE s.doc_id = d.doc_id) AS r2,
-    (SELECT min("to") FROM ({spans("@", 3)}) s WHERE s.doc_id = d.doc_id) AS r3 FROM documents d)
-SELECT doc_id, 10::INT AS pattern_id, 0::BIGINT AS "from", greatest(r1, r2)::BIGINT AS "to" FROM f WHERE r1 IS NOT NULL AND r2 IS NOT NULL
-UNION ALL SELECT doc_id, 11, 0, coalesce(r2, n) FROM f WHERE r1 IS NULL AND (r2 IS NOT NULL OR r3 IS NULL)
-UNION ALL SELECT doc_id, 3, 0, "to" FROM ({spans("@", 3)})""")
+COMBINATIONS = ["1:/license/iQ", "2:/[0-9]/Q", "3:/@/", "10:/1 & 2/C", "11:/!1 & (2 | !3)/C"]
+
+
+def combination_events(source: str = "documents", key: str = "doc_id") -> str:
+    first = lambda p, i: f"(SELECT min(\"to\") FROM ({spans(p, i, source=source, key=key)}) s WHERE s.{key} = d.{key}) AS r{i}"
+    return f"""
+WITH f AS (SELECT d.{key}, strlen(text) AS n, {first("(?i)license", 1)}, {first("[0-9]", 2)}, {first("@", 3)} FROM {source} d)
+SELECT {key}, 10::INT AS pattern_id, 0::BIGINT AS "from", greatest(r1, r2)::BIGINT AS "to" FROM f WHERE r1 IS NOT NULL AND r2 IS NOT NULL
+UNION ALL SELECT {key}, 11, 0, coalesce(r2, n) FROM f WHERE r1 IS NULL AND (r2 IS NOT NULL OR r3 IS NULL)
+UNION ALL SELECT {key}, 3, 0, "to" FROM ({spans("@", 3, source=source, key=key)})"""
+
+
+@query(combination_events())
 def combination_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(documents(spark, sf_dir), ["1:/license/iQ", "2:/[0-9]/Q", "3:/@/", "10:/1 & 2/C", "11:/!1 & (2 | !3)/C"])
+    return scan(documents(spark, sf_dir), COMBINATIONS)
+
+
+@query(combination_events(STREAMS, "stream_id"))
+def stream_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Combinations over whole conversations: the first end of each rule decides when a stream is closed."""
+    return stream_scan(conversations(spark, sf_dir), COMBINATIONS)
 
 
 @query(f"""SELECT stream_id, pattern_id, CASE WHEN "to" - "from" <= 8 THEN "from" ELSE -1 END::BIGINT AS "from", "to"
@@ -144,12 +155,11 @@ def control_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return skip_rule(scan(documents(spark, sf_dir), ["/tion/L", "/license/iL", "/e+r/L"]), 2)
 
 
-@F.pandas_udf(T.StringType())
-def stop_late(end: pd.Series, pattern_id: pd.Series) -> pd.Series:
+def stop_late(events: pd.DataFrame) -> pd.Series:
     """Handler: leave rule 2 after offset 300, stop the haystack after offset 1000."""
-    answer = pd.Series("continue", index=end.index)
-    answer[(end > 300) & (pattern_id == 2)] = "skip"
-    answer[end > 1000] = "terminate"
+    answer = pd.Series("continue", index=events.index)
+    answer[(events["to"] > 300) & (events["pattern_id"] == 2)] = "skip"
+    answer[events["to"] > 1000] = "terminate"
     return answer
 
 
@@ -160,8 +170,7 @@ WITH m AS ({TWO_RULES}),
    count(CASE WHEN act = 'skip' THEN 1 END) OVER (PARTITION BY doc_id, pattern_id ORDER BY "to", "from" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS skips FROM a)
 SELECT doc_id, pattern_id, "from", "to" FROM b WHERE stops = 0 AND skips = 0""")
 def udf_match_handler(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan(documents(spark, sf_dir), ["/tion/L", "/license/iL", "/e+r/L"])
-    return handle_matches(found, stop_late(F.col("to"), F.col("pattern_id")))
+    return handled_scan(documents(spark, sf_dir), ["/tion/L", "/license/iL", "/e+r/L"], stop_late)
 
 
 @F.pandas_udf(T.StringType())

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import facade
 from ..functions.facade import Regex
 from ..operators.joins import dictionary_hits, matching_rules, prefilter_candidates
+from ..operators.phrases import phrase_scan
 from ..operators.rules import EXT_TYPE, Rule
 from ..operators.scan import grep, hit_counts, literal_scan, pcre_scan, scan, scan_one, vectored_scan
 from ..sources.documents import read_table
@@ -279,6 +280,23 @@ def scan_rule_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(documents(spark, sf_dir), rules)
 
 
+@query("""
+WITH l AS (
+  SELECT (item_id * 1000 + i - 1)::INT AS id, w FROM (
+    SELECT item_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+    FROM (SELECT item_id, regexp_extract_all(text, '[A-Z][^.]+[.]') AS ws FROM benchmark))),
+ h AS (
+  SELECT doc_id, w, strlen(w) AS n, unnest(list_filter(range(0, strlen(text) - strlen(w) + 1), lambda i: b[i + 1:i + strlen(w)] = encode(w))) AS i
+  FROM (SELECT doc_id, text, encode(text) AS b FROM documents) JOIN (SELECT DISTINCT w FROM l) ON contains(text, w))
+SELECT doc_id, id AS pattern_id, i::BIGINT AS "from", (i + n)::BIGINT AS "to" FROM h JOIN l USING (w)""")
+def phrase_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sentence of every benchmark passage, wherever documents repeat it."""
+    items = read_table(spark, sf_dir, "benchmark", "item_id", "text")
+    sentences = F.posexplode(F.regexp_extract_all("text", F.lit("[A-Z][^.]+[.]"), F.lit(0))).alias("i", "expression")
+    literals = items.select("item_id", sentences).select((F.col("item_id") * 1000 + F.col("i")).cast("int").alias("pattern_id"), "expression")
+    return phrase_scan(documents(spark, sf_dir), literals)
+
+
 @query(f"""SELECT doc_id, r.id::INT AS pattern_id FROM documents, (VALUES {', '.join(f'({i}, {lit(p)})' for i, p in RULES.items())}) r(id, p)
 WHERE regexp_matches(text, r.p)""")
 def join_docs_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ by as many tasks as it has blocks, and no task holds more than one block.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,8 +18,8 @@ from ..functions import spans as S
 from ..functions.cuts import Cut, block_state, cut_events, cut_rows
 from ..functions.regex import RIGHT_CONTEXT, RuleError
 from ..operators.numbering import running_before
-from ..operators.rules import horizon_bytes
-from ..operators.scan import _Plan, segment_events, split_rules
+from ..operators.rules import Rule, horizon_bytes
+from ..operators.scan import Combination, _Plan, segment_events, split_rules
 from ..session import stored
 
 STREAM_BLOCK = 65_536
@@ -234,6 +235,34 @@ def _cut_scan(blocks: DataFrame, cuts: Cuts, utf8: bool, placed: DataFrame, size
     return found.select("stream_id", "epoch", F.inline(every))
 
 
+def _combined(chunks: DataFrame, plain: list[Rule], combos: list[Combination], close: bool, size: int) -> DataFrame:
+    """Events of combinations: ``(stream_id, epoch, pattern_id, from, to)``, one an epoch whose rules' first ends satisfy it.
+
+    First ends are a row for each epoch and rule, reduced in every block before they are shuffled. While an epoch is open, a
+    combination that negates a rule is not yet known.
+    """
+    ids = sorted(set().union(*[c.ids for c in combos]))
+    needed = [replace(r, flags=(r.flags - {"Q", "L"}) | {"H"}) for r in plain if r.pattern_id in ids]
+    firsts = stream_scan(chunks, needed, close=close, size=size, epochs=True, horizon=False)
+    by_epoch = firsts.groupBy("stream_id", "epoch").agg(
+        *[F.min(F.when(F.col("pattern_id") == i, F.col("to"))).alias(f"r{i}") for i in ids])
+    placed = with_offsets(chunks)
+    lengths = placed.groupBy("stream_id", "epoch").agg(F.max(F.col("off") + F.octet_length("data")).alias("length"))
+    if not close:
+        lengths = _mark_open(lengths, chunks)
+    state = lengths.join(by_epoch, ["stream_id", "epoch"], "left")
+    first_end = {i: F.col(f"r{i}") for i in ids}
+    found = []
+    for c in combos:
+        holds = c.holds(first_end)
+        if not close and c.ids != c.positive:
+            holds = holds & ~F.col("open")
+        found.append(F.when(holds, F.struct(
+            F.lit(c.rule.pattern_id).cast("int").alias("pattern_id"), F.lit(0).cast("bigint").alias("from"),
+            c.end(first_end, F.col("length")).alias("to"))))
+    return state.select("stream_id", "epoch", F.inline(F.array_compact(F.array(*found))))
+
+
 def stream_scan(
     chunks: DataFrame, rules, *, close: bool = True, size: int = STREAM_BLOCK, som: bool = False, epochs: bool = False,
     horizon: bool = True,
@@ -250,8 +279,12 @@ def stream_scan(
     horizon are reported as -1; without ``horizon`` every start is the true one.
     """
     plain, combos = split_rules(rules)
-    if combos:
-        raise RuleError("combinations are evaluated on whole haystacks", combos[0].rule.ord)
+    loud = [c for c in combos if "Q" not in c.rule.flags]
+    if loud:
+        out = _combined(chunks, plain, loud, close, size)
+        if any("Q" not in r.flags for r in plain):
+            out = out.unionByName(stream_scan(chunks, plain, close=close, size=size, som=som, epochs=True, horizon=horizon))
+        return out if epochs else out.drop("epoch")
     limit = horizon_bytes(plain) if horizon else None
     plans = [_Plan(r, som, limit) for r in plain if "Q" not in r.flags]
     exact = [p for p in plans if _in_runs(p)]

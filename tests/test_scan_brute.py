@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from sparkscan import Regex, Rule, RuleError, hit_counts, literal_counts, literal_scan, pcre_scan, scan
 from sparkscan.operators.joins import confirm, dictionary_hits, dictionary_pairs, matching_rules, prefilter
 from sparkscan.functions import spans as S
+from sparkscan.operators.phrases import phrase_scan
+from sparkscan.operators.rules import rules_table
 from sparkscan.operators.scan import RULE_SET, _Plan
 
 from .helpers import brute, distance, rows
@@ -223,6 +225,40 @@ def test_large_rule_sets_beside_others(spark):
     assert time.time() - start < 15, "a plan does not grow with the rules"
 
 
+def test_phrases_of_any_length_and_number(spark):
+    """Every substring of some texts and others beside them, overlapping, at the edges, in bytes and under several ids."""
+    rng = random.Random(4)
+    texts = [(k, "".join(rng.choice("ab é-\n") for _ in range(rng.randint(0, 90)))) for k in range(12)] + [(50, None), (51, "aaaaaaa"), (3, "ab")]
+    literals = {"a", "aa", "aaa", "é", "é-", "zz", "never found, whatever its length may be"}
+    for _, t in texts[:6]:
+        for n in (1, 2, 3, 5, 8, 15, 16, 31, 33, 60):
+            if len(t) >= n:
+                at = rng.randint(0, len(t) - n)
+                literals.add(t[at:at + n])
+    words = [(i, w) for i, w in enumerate(sorted(literals))] + [(900, "aa"), (901, "")]
+    want = []
+    for k, t in texts:
+        data = (t or "").encode()
+        for i, w in words:
+            w = w.encode()
+            want += [(k, i, at, at + len(w)) for at in range(len(data)) if w and data.startswith(w, at)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = phrase_scan(df, spark.createDataFrame(words, "pattern_id int, expression string"))
+    assert rows(got) == sorted(want)
+
+
+def test_literal_tables_beyond_the_driver(spark, docs, monkeypatch):
+    """The joined way gives what the driver's way gives."""
+    literals = [Rule(0, i % 7, w, frozenset("L" if i % 3 else "") | frozenset("8" if i % 2 else ""), "literal") for i, w in enumerate(["a", "ab", "é", "b ", "cab", "zz", "\n", "aa", "b"])]
+    table = rules_table(spark, literals)
+    want, counts = rows(literal_scan(docs, table)), rows(literal_counts(docs, table))
+    monkeypatch.setattr("sparkscan.operators.scan.MAX_RULES", 3)
+    assert rows(literal_scan(docs, table)) == want and want
+    assert rows(literal_counts(docs, table)) == counts
+    with pytest.raises(RuleError, match="case matters"):
+        literal_scan(docs, rules_table(spark, [*literals, Rule(0, 9, "x", frozenset("i"), "literal")]))
+
+
 def test_literals_of_the_dictionary_are_tokens(spark):
     df = spark.createDataFrame([(1, "für x-ray für")], "doc_id long, text string")
     words = spark.createDataFrame([(0, "für")], "pattern_id int, expression string")

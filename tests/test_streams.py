@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkscan import Rule, RuleError, scan, stream_scan
-from sparkscan.operators.control import apply_horizon, handle_matches, single_match, skip_rule, terminate, within
+from sparkscan.operators.control import apply_horizon, handle_matches, handled_scan, single_match, skip_rule, terminate, within
 from sparkscan.operators.numbering import running_before
 from sparkscan.operators.ranking import hits_per_rule, rule_ranking
 from sparkscan.operators.sessions import block_matches, boundary_matches, session_ids, sessionize
@@ -174,6 +174,38 @@ def test_what_cannot_be_cut_is_refused(chunks):
             stream_scan(chunks, rule)
 
 
+def test_combinations_of_streams(spark):
+    """By epoch, like whole haystacks; while an epoch is open, only what no later byte can change."""
+    rules = ["0:/ab+/Q", "1:/c/L", "2:/d.*e/sQ", "10:/0 & 1/C", "11:/!0/C", "12:/2 | !1/C", "13:/(0 | 2) & !1/C", "14:/0/CQ"]
+    texts = {1: "xxabbbc", 2: "c d\n e e", 3: "none", 4: "ab", 5: "d ab e"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    data = spark.createDataFrame([(k, i, c.encode()) for k, t in texts.items() for i, c in enumerate(t)], CHUNKS)
+    assert rows(stream_scan(data, rules)) == rows(scan(docs, rules))
+    assert rows(stream_scan(data, rules, close=False)) == [r for r in rows(scan(docs, rules)) if r[1] in (1, 10)]
+    control = data.withColumn("control", F.lit(None).cast("string"))
+    control = control.unionByName(spark.createDataFrame([(1, 100, None, "reset"), (1, 101, b"abc", None)], CHUNKS + ", control string"))
+    found = rows(stream_scan(control, ["0:/ab+/Q", "1:/c/Q", "10:/0 & 1/C"], epochs=True))
+    assert found == [(1, 0, 10, 0, 7), (1, 1, 10, 0, 3)]
+
+
+def test_handlers_are_a_fold(spark):
+    """The batch handler gives what answers joined to events give, and shuffles nothing."""
+    texts = ["ab" * k + "c" * (k % 3) for k in range(30)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rules = ["/a/L", "/ab+/", "/c/8L", "/b.*c/L", "9:/0 & !2/C"]
+
+    def handler(events):
+        answer = events["to"].map(lambda t: "continue")
+        answer[(events["to"] > 9) & (events["pattern_id"] == 0)] = "skip"
+        answer[events["to"] > 21] = "terminate"
+        return answer
+
+    found = handled_scan(docs, rules, handler)
+    action = F.when(F.col("to") > 21, "terminate").when((F.col("to") > 9) & (F.col("pattern_id") == 0), "skip").otherwise("continue")
+    assert rows(found) == rows(handle_matches(scan(docs, rules), action))
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_horizon(spark):
     df = spark.createDataFrame([(1, 0, 2, 9), (1, 0, 4, 8)], "doc_id long, pattern_id int, `from` long, `to` long")
     assert rows(apply_horizon(df, 5)) == [(1, 0, -1, 9), (1, 0, 4, 8)]
