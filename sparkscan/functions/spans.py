@@ -283,8 +283,12 @@ def history_events(
         return F.when(gate(text, p), events).otherwise(no_events())
     # The rule also matches empty, so it ends at every offset; where it does not
     # match text, the match starts where it ends.
-    every = points(F.regexp_replace(text, F.lit(p.behind("[\\s\\S]")), F.lit(MARK)), utf8)
-    every = F.filter(F.transform(every, lambda q: base + q["b"]), lambda b: (b > lo) & (b <= hi))
+    if utf8:
+        every = points(F.regexp_replace(text, F.lit(p.behind("[\\s\\S]")), F.lit(MARK)), utf8)
+        every = F.filter(F.transform(every, lambda q: base + q["b"]), lambda b: (b > lo) & (b <= hi))
+    else:
+        last = F.least(hi, base + F.length(text))
+        every = F.when(last > lo, F.sequence(lo + 1, last)).otherwise(F.array().cast("array<bigint>"))
     if not som:
         return F.transform(every, lambda b: _event(pattern_id, F.lit(0), b))
     return let(
