@@ -83,7 +83,9 @@ def assemble(turns: DataFrame, conv: str = "conv_id", turn: str = "turn") -> Dat
     """Place turns in their conversations: rows in order, with ``start``, and the loss range in tokens of the conversation.
 
     A partition's rows are walked in order with a running sum, so a conversation
-    of any length takes bounded memory.
+    of any length takes bounded memory. Rows without a conversation are one of
+    their own, rows without a turn come first in theirs; repeated rows are turns
+    each; an empty table gives no rows, and other columns are left out.
     """
     columns = [conv, turn, "formatted", "ids", "loss_start", "loss_end"]
 
@@ -118,7 +120,8 @@ def read_back(assembled: DataFrame, path: str, conv: str = "conv_id") -> DataFra
     """What formatted conversations say, from their ids and loss ranges alone; ``assembled`` as ``assemble`` gives it.
 
     ``(conv, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars)``. Rows must come in the
-    order of ``assemble``. Digests are carried from row to row.
+    order of ``assemble``. Digests are carried from row to row. A null conversation is one like others, repeated
+    rows count each, and an empty table gives no rows.
     """
     kind = assembled.schema[conv].dataType.simpleString()
 

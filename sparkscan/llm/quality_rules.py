@@ -120,6 +120,7 @@ def judged(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", p
 
     A text fails the base with under 20 words, or if over 30 % of its words lie
     in repeated 8-word windows. Ratios are tested as they are, ends included.
+    Repeated rows are judged alike, and an empty table stays empty.
     """
     p = prefix
     df = measures(df, text, prefix)
@@ -142,7 +143,10 @@ def judged(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", p
 
 
 def quality_rules(df: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Judge every text: ``(key, n_words, word_chars, ..., base_failed, failed_rules, kept)``, one row per row."""
+    """Judge every text: ``(key, n_words, word_chars, ..., base_failed, failed_rules, kept)``, one row per row.
+
+    A null text has no words and fails; repeated rows give repeated results, an empty table none.
+    """
     return judged(df.select(F.col(key), F.col(text)), rules, text).drop(text)
 
 
