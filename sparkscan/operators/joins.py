@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,17 +10,25 @@ from pyspark.sql import functions as F
 
 from ..functions import spans as S
 from ..functions.regex import required_text
+from .rule_index import wanted_rules
 from .rules import Rule, rule_list
+from .scan import RULE_SET
 
 
 def matching_rules(docs: DataFrame, rules, *, payload: str = "text", keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Pairs ``(keys, pattern_id)`` where the rule matches somewhere in the haystack.
 
-    Each rule is a constant pattern of one array expression, so it is compiled
-    once per task, a haystack is read once for all rules, and only pairs that
-    match are ever made. Rules sharing an id give one pair.
+    A few rules are constant patterns of one array expression, compiled once per
+    task. Of many, a haystack tries those whose needed text it holds, found in
+    one pass; patterns are one constant, so the plan is no larger. Either way a
+    haystack is read once for all rules, and only pairs that match are ever made.
+    Rules sharing an id give one pair.
     """
     plain = rule_list(rules)
+    if len(plain) > RULE_SET:
+        found = F.concat(*[
+            _matching(S.view_of(F.col(payload), u), group) for u in (False, True) if (group := [r for r in plain if r.utf8 == u])])
+        return docs.select(*keys, F.explode(F.array_distinct(found)).alias("pattern_id"))
     views = {u: S.view_of(F.col(payload), u) for u in {r.utf8 for r in plain}}
     seen = docs.select(*keys, *[v.alias(f"__v{int(u)}") for u, v in views.items()])
     tests = [F.when(S.gate(F.col(f"__v{int(r.utf8)}"), r.prepared()), F.lit(r.pattern_id).cast("int")) for r in plain]
@@ -27,6 +36,19 @@ def matching_rules(docs: DataFrame, rules, *, payload: str = "text", keys: Seque
     return seen.select(*keys, F.explode(hit).alias("pattern_id"))
 
 
+def _matching(view: Column, rules: list[Rule]) -> Column:
+    """Ids of the rules that match, given as data: ``array<int>``."""
+    prepared = [r.prepared() for r in rules]
+    patterns = F.from_json(F.lit(json.dumps([p.exists for p in prepared])), "array<string>")
+    ids = F.from_json(F.lit(json.dumps([r.pattern_id for r in rules])), "array<int>")
+
+    def on(text: Column) -> Column:
+        hits = F.filter(wanted_rules(text, [p.literal or p.needed for p in prepared]), lambda i: F.rlike(text, F.get(patterns, i)))
+        return F.transform(hits, lambda i: F.get(ids, i))
+
+    return S.let(view, lambda text: F.when(text.isNull(), F.array().cast("array<int>")).otherwise(on(text)))
+
+
 # Words of any script.
 TOKEN = r"[\p{L}\p{M}\p{N}_]+"
 

@@ -132,14 +132,20 @@ def stream_scan_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = turns.select("stream_id", "seq", "payload", control.alias("control"))
     closes = turns.groupBy("stream_id").agg((F.max("seq") + 1).alias("seq")).select(
         "stream_id", "seq", control.alias("payload"), F.lit("close").alias("control"))
+    return live_events(chunks.unionByName(closes), ["/tion/L", r"/[a-z]\.\n[A-Z]/L", "/[.]$/L"])
+
+
+def live_events(chunks: DataFrame, rules: list[str], **options) -> DataFrame:
+    """Chunks written as files, read as a stream, scanned until all are read; the matches read back."""
+    spark = chunks.sparkSession
     source, sink = fresh_path(spark, "chunks"), fresh_path(spark, "matches")
-    chunks.unionByName(closes).repartition(2).write.parquet(source)
+    chunks.repartition(2).write.parquet(source)
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key)
     spark.conf.set(key, ROCKSDB)
     try:
         stream = spark.readStream.schema(chunks.schema).option("maxFilesPerTrigger", 1).parquet(source)
-        found = live_scan(stream, ["/tion/L", r"/[a-z]\.\n[A-Z]/L", "/[.]$/L"]).drop("epoch")
+        found = live_scan(stream, rules, **options).drop("epoch")
         writer = found.writeStream.format("parquet").option("path", sink).option("checkpointLocation", fresh_path(spark, "progress"))
         writer.trigger(availableNow=True).start().awaitTermination()
     finally:
@@ -147,6 +153,17 @@ def stream_scan_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(found.schema).parquet(sink)
 
 
+@query(rule_events())
+def stream_resume_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three turns of each conversation scanned as a table and their state saved; the later ones as a live stream that begins with it."""
+    turns = conversations(spark, sf_dir)
+    first = turns.where("seq < 3")
+    states = carry(first, RULES, cut=False)
+    later = turns.where("seq >= 3").select(
+        "stream_id", (F.col("seq") - 3).alias("seq"), "payload", F.lit(None).cast("string").alias("control"))
+    return stream_scan(first, RULES, close=False).unionByName(live_events(later, RULES, states=states))
+
+
 def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as packets: a session per user and event type."""
     rows = read_table(spark, sf_dir, "events", "event_id", "user_id", "event_type", "props")

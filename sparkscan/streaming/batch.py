@@ -348,7 +348,7 @@ def _mark_open(blocks: DataFrame, chunks: DataFrame) -> DataFrame:
     return joined.withColumn("open", (F.col("epoch") == F.col("last")) & ~F.col("closed")).drop("last", "closed")
 
 
-def carry(chunks: DataFrame, rules, *, size: int = STREAM_BLOCK) -> DataFrame:
+def carry(chunks: DataFrame, rules, *, size: int = STREAM_BLOCK, cut: bool = True) -> DataFrame:
     """State to resume from, saved in the shared folder: ``(stream_id, offset, tail[, carried])`` at the end of each stream's last epoch.
 
     The tail is all a later match of the rules can hold of the bytes so far: the
@@ -356,10 +356,11 @@ def carry(chunks: DataFrame, rules, *, size: int = STREAM_BLOCK) -> DataFrame:
     first head of the stretch that goes on is two numbers in ``carried``, a column
     that is there if a rule is cut; for
     other rules without a bound the tail holds the characters at the end that a
-    match may go on from.
+    match may go on from. Without ``cut`` it does so for all, as a live stream
+    that goes on from the state needs.
     """
     plain, _ = split_rules(rules)
-    plans = [_Plan(r) for r in plain]
+    plans = [_Plan(r, cut=cut) for r in plain]
     exact = [p for p in plans if _in_runs(p)]
     plans = [p for p in plans if p not in exact]
     keep = _context(plans)

@@ -75,6 +75,10 @@ class Stitcher(StatefulProcessor):
         self.carry = handle.getValueState("carry", _CARRY)
         self.waiting = handle.getMapState("waiting", _SEQ, _WAITING)
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        for offset, tail in zip(initialState["offset"], initialState["tail"]):
+            self.carry.update((0, 0, int(offset), bytes(tail)))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         saved = self.carry.get()
         self.next, self.epoch, self.offset, self.tail = saved if saved is not None else (0, 0, 0, b"")
@@ -200,7 +204,7 @@ def _cover_bytes(spark: SparkSession, plan: _Plan) -> bytes:
     return bytes(b for b in range(256) if own.matcher(chr(b)).matches())
 
 
-def live_scan(chunks: DataFrame, rules, *, tasks: int | None = None) -> DataFrame:
+def live_scan(chunks: DataFrame, rules, *, tasks: int | None = None, states: DataFrame | None = None) -> DataFrame:
     """Streaming matches ``(stream_id, epoch, pattern_id, from, to)`` of a streaming chunk table.
 
     ``chunks`` has ``(stream_id, seq, payload, control)`` with ``seq`` counting
@@ -209,6 +213,9 @@ def live_scan(chunks: DataFrame, rules, *, tasks: int | None = None) -> DataFram
     stream's state. Rules without a length bound keep the run of characters a
     match can go on from; they are refused where that may be any byte, as are
     combinations. Starts further back than the rule set's horizon are reported as -1.
+    Streams in ``states``, a table as ``carry(..., cut=False)`` saves it, go on from
+    there, with chunks that count from 0; rules must not look to the right, since
+    ends at the saved position are not held back.
     """
     plain, combos = split_rules(rules)
     if combos:
@@ -229,7 +236,8 @@ def live_scan(chunks: DataFrame, rules, *, tasks: int | None = None) -> DataFram
         (F.col("offset") if "offset" in names else F.lit(None)).cast("bigint").alias("offset"),
     )
     stitched = rows.groupBy("stream_id").transformWithStateInPandas(
-        statefulProcessor=Stitcher(keep, covers), outputStructType=STITCHED, outputMode="Append", timeMode="None")
+        statefulProcessor=Stitcher(keep, covers), outputStructType=STITCHED, outputMode="Append", timeMode="None",
+        initialState=None if states is None else _saved(states, plans).groupBy("stream_id"))
     # state follows the stream id; the regex work after it need not, so a busy stream is spread out
     work = stitched.repartition(tasks or int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     matched = work.select("stream_id", "epoch", F.inline(_events(plans, once)))
@@ -241,6 +249,13 @@ def live_scan(chunks: DataFrame, rules, *, tasks: int | None = None) -> DataFram
     return first.withColumnsRenamed({"start": "from", "end": "to"})
 
 
+def _saved(states: DataFrame, plans: list[_Plan]) -> DataFrame:
+    late = [p for p in plans if p.p.looks_right]
+    if late:
+        raise RuleError("a rule that looks to the right cannot go on from a saved state", late[0].rule.ord)
+    return states.select(F.col("stream_id").cast("bigint").alias("stream_id"), "offset", "tail")
+
+
 def _events(plans: list[_Plan], once: list[int]):
     text = F.decode("bytes", "ISO-8859-1")
     zero = F.lit(0).cast("bigint")

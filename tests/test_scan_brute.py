@@ -215,6 +215,14 @@ def test_large_rule_sets_are_looked_up(docs, texts, utf8):
     assert found == {i: (sum(w[1] == i for w in want), len({w[0] for w in want if w[1] == i})) for i in range(20)}
 
 
+@pytest.mark.parametrize("utf8", [False, True])
+def test_many_rules_joined_to_haystacks(docs, texts, utf8):
+    rules = [Rule(0, i % 25, e, frozenset(f + ("8" if utf8 else ""))) for i, (e, f) in enumerate(RULES)]
+    few = [matching_rules(docs, rules[k:k + 8]) for k in range(0, len(rules), 8)]
+    want = {r for part in few for r in rows(part)}
+    assert rows(matching_rules(docs, rules)) == sorted(want) and len(want) > 100
+
+
 def test_large_rule_sets_beside_others(spark):
     df = spark.createDataFrame([(1, "word7 word77 test word8"), (2, "none"), (3, None)], "doc_id long, text string")
     rules = [Rule(k, k, f"word{k}[a-z]?", frozenset("L"), ext={"min_offset": 6} if k == 7 else {}) for k in range(40)]
