@@ -2,9 +2,10 @@
 
 A text is indexed by sampled grams: of every window of grams, the one with the least
 hash. A window of a literal is a window of each haystack that holds it, so the
-literal's sampled grams are among the haystack's. The rarest of them in the haystacks
-is joined on; what that leads to is confirmed byte by byte on the haystack. Nothing
-of the dictionary passes through the driver.
+literal's sampled grams are among the haystack's. A bitmap of a fixed size keeps most
+grams the dictionary lacks from leaving their task; the rarest gram of a literal in the
+haystacks is joined on, and what that leads to is confirmed byte by byte on the
+haystack. Nothing of the dictionary but the bitmap passes through the driver.
 """
 
 from __future__ import annotations
@@ -20,6 +21,10 @@ from ..session import stored
 
 # Lengths in bytes; a literal is indexed by the largest that is not longer than it.
 CLASSES = (1, 2, 4, 8, 16, 32)
+# Grams of literals no longer than this are the whole of their window.
+WHOLE_GRAM = 8
+# Bits of the map of dictionary grams; a full map filters nothing, and the join decides.
+MAP_BITS = 1 << 21
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -29,8 +34,9 @@ def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def sampled_grams(data: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the grams sampled from the windows of ``size`` bytes: half as long, the least hash, then the leftmost."""
-    gram = max(1, size // 2)
+    """Places and hashes of the grams sampled from the windows of ``size`` bytes: half as long, or the whole of a short window;
+    the one with the least hash, then the leftmost."""
+    gram = size if size <= WHOLE_GRAM else size // 2
     if len(data) < size:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     h, n = _mixed(np.frombuffer(data, np.uint8).astype(np.uint64), np.array([size], np.uint64)), 1
@@ -75,17 +81,27 @@ def phrase_scan(
 
     index = stored(words.mapInArrow(of_literals, "pattern_id int, literal binary, size int, gram bigint, place int"), "index")
     sizes = [r["size"] for r in index.select("size").distinct().collect()]  # at most one a class
+    present = np.zeros(MAP_BITS, bool)
+    slot = F.pmod(F.col("gram"), F.lit(MAP_BITS)).cast("int").alias("slot")
+    for r in index.select(slot).distinct().toLocalIterator():  # at most MAP_BITS numbers
+        present[r["slot"]] = True
+    bits = np.packbits(present)
 
     def of_docs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.unpackbits(bits).astype(bool)
         for batch in batches:
+            found = []
             for i in range(batch.num_rows):
                 data = _bytes(batch.column(1)[i].as_py())
                 for size in sizes:
                     at, grams = sampled_grams(data, size)
-                    if len(at):
-                        yield pa.RecordBatch.from_arrays(
-                            [batch.column(0).take(pa.array(np.full(len(at), i))), pa.array(np.full(len(at), size, np.int32)), pa.array(grams), pa.array(at.astype(np.int32))],
-                            [key, "size", "gram", "at"])
+                    kept = known[grams % MAP_BITS]
+                    at, grams = at[kept], grams[kept]
+                    found.append((np.full(len(at), i), np.full(len(at), size, np.int32), grams, at.astype(np.int32)))
+            if found:
+                rows, of, grams, at = (np.concatenate(x) for x in zip(*found))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(rows)), pa.array(of), pa.array(grams), pa.array(at)], [key, "size", "gram", "at"])
 
     grams = docs.select(key, payload).mapInArrow(of_docs, f"`{key}` {kind}, size int, gram bigint, at int")
     # only grams the dictionary has go on
