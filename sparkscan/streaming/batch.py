@@ -203,7 +203,8 @@ def _block_states(blocks: DataFrame, cuts: Cuts, utf8: bool, placed: DataFrame,
     stopped = blocks.where("lo < hi").withColumn("stop", F.least("hi", F.col("base") + F.length("text")))
     rows = _by_cut(stopped, cuts, utf8, None)
     rows = rows.select(*BLOCK_KEY, "rule", block_state(F.col("s"), F.col("stop"), F.col("r"), utf8).alias("x"))
-    rows = rows.select(*BLOCK_KEY, "rule", "x.passes", "x.first", "x.start")
+    # a few numbers a block, read several times below: written, so that blocks are searched for heads once
+    rows = stored(rows.select(*BLOCK_KEY, "rule", "x.passes", "x.first", "x.start"), "stretches")
     if "carried" in placed.columns:
         before = F.floor((F.col("off") + F.octet_length("data")) / size) - 1
         saved = placed.where("silent").select("stream_id", "epoch", before.alias("block"), F.inline("carried"))
