@@ -50,6 +50,8 @@ class Cut:
     head_inside: str  # the same where text before the piece is left out
     head_to: str  # what such an end is replaced by
     stretch: str  # from a head on, through the class
+    live: str  # the same, and whether a B may begin in it; those where none does are matched without a tag
+    live_to: str  # what that is replaced by
     tail: str  # every end of B
     tail_open: str
     full: str  # the rule, up to the end of a piece
@@ -80,6 +82,21 @@ class NotCut(Exception):
     """The rule has no single unbounded class repeat."""
 
 
+class _Marked(_Emitter):
+    """Spells a necessary condition for a part of a rule in a text where marks may stand between characters."""
+
+    MARKED = "\\x{fdd0}?"
+
+    def item(self, op, av) -> str:
+        text = super().item(op, av)
+        return f"(?:{self.MARKED}{text})" if op is rc.ANY or _atom(op, av) is not None else text
+
+    def assertion(self, av) -> str:
+        if av is rc.AT_END:
+            return f"(?={self.MARKED}(?:\\n|\\z))" if self.flags & re.MULTILINE else f"(?=(?:{self.MARKED}\\n)?{self.MARKED}\\z)"
+        return f"(?={self.MARKED}\\z)" if av is rc.AT_END_STRING else ""
+
+
 def _one_class(body) -> list | None:
     """The items of a repeat's body if it is one character."""
     items = list(body)
@@ -158,6 +175,8 @@ def _cut(items: list, bits: int, rule, som: bool, report_som: bool) -> Cut:
     # one group, since a group set in a look-behind stays set where the rest fails
     beyond = tail_most + RIGHT_CONTEXT if tail_most or looks else 0
     before = f"(?<=([\\s\\S]{{{left}}}|\\A[\\s\\S]{{0,{left - 1}}}))" if looks or som and (utf8 or slack) else "()"
+    after = f"(?=([\\s\\S]{{0,{2 * beyond}}})){WHOLE if utf8 else ''}"
+    reached = _Marked(capture=False, unicode=unicode, open_end=False, bounded=True, flags=bits).seq(tail)
     run = f"\\x{{fdd0}}[{cls}\\x{{fdd0}}]*+" if head else f"(?<!{cls}){NOT_BETWEEN_HALVES if utf8 else ''}{cls}*+"
     wide = 4 if utf8 else 1
     edge = slack + 2 * tail_most + 1 if slack else 0
@@ -168,7 +187,11 @@ def _cut(items: list, bits: int, rule, som: bool, report_som: bool) -> Cut:
         pattern_id=rule.pattern_id, som=som, report_som=report_som, once="H" in rule.flags, needed=needed(items), head_needed=needed(head), tail_needed=needed(tail),
         head=(flags + quote(text) if plain else ends(emit(head))) if head else "",
         head_inside=(flags + quote(text) if plain else ends(("[\\s\\S]" if looks else "") + f"(?:{emit(head)})")) if head else "", head_to=("$0" if plain else "") + S.MARK,
-        stretch=f"{flags}{before}{run}(?=([\\s\\S]{{0,{2 * beyond}}})){WHOLE if utf8 else ''}",
+        stretch=f"{flags}{before}{run}{after}",
+        # a stretch without a B is matched whole as well, so that its other heads are not tried
+        live=(f"{flags}(?=\\x{{fdd0}})(?:(?=\\x{{fdd0}}[{cls}\\x{{fdd0}}]*?(?:{reached})){before}(\\x{{fdd0}})[{cls}\\x{{fdd0}}]*+{after}|{run})" if head
+              else f"{flags}{before}(?<!{cls})(?={cls}*?(?:{reached})){run}{after}"),
+        live_to=f"{S.CLOSE}$2{S.OPEN}$1{S.OPEN}$0{S.OPEN}$3{S.OPEN}" if head else f"{S.CLOSE}{S.MARK}{S.OPEN}$1{S.OPEN}$0{S.OPEN}$2{S.OPEN}",
         tail=ends(emit(tail)) if tail else guard, tail_open=ends(emit(tail, open_end=True)) if tail else guard,
         full=f"{flags}(?:{emit(items, bounded=False)})\\z", reach=f"{flags}\\A{cls}*?(?:{emit(tail)})\\z",
         start=f"{flags}\\A[\\s\\S]*?(?=(?:{emit(head)})[\\s\\S]{{0,{slack}}}\\z)", run=f"{flags}\\A{cls}*+",
@@ -188,24 +211,32 @@ def _clean(text: Column) -> Column:
     return F.replace(text, F.lit(S.MARK), F.lit(""))
 
 
-def stretches(text: Column, r: Column, utf8: bool, inside: Column | None = None) -> Column:
+# A stretch without a tag, as ``live_to`` leaves it.
+_DEAD = f"{S.CLOSE}{S.OPEN}[^{S.OPEN}]*+{S.OPEN}([^{S.OPEN}]*+){S.OPEN}{S.OPEN}"
+
+
+def stretches(text: Column, r: Column, utf8: bool, inside: Column | None = None, every: bool = True) -> Column:
     """Stretches from a first head on: byte offset in the text, what stands to the left, the stretch, what follows.
 
-    ``inside`` tells whether the text goes on to the left, so that nothing begins at its first character.
+    ``inside`` tells whether the text goes on to the left, so that nothing begins at its first character. Without ``every``
+    the stretches in which no match can end, since no B begins in them, are left out; they cost no more than their text.
     """
     head = r["head"] if inside is None else F.when(inside, r["head_inside"]).otherwise(r["head"])
     marked = F.when(r["head"] != "", F.regexp_replace(text, head, r["head_to"])).otherwise(text)
-    cut = F.regexp_replace(marked, r["stretch"], F.lit(f"{S.CLOSE}$1{S.OPEN}$0{S.OPEN}$2{S.OPEN}"))
+    if every:
+        cut = F.regexp_replace(marked, r["stretch"], F.lit(f"{S.CLOSE}{S.OPEN}$1{S.OPEN}$0{S.OPEN}$2{S.OPEN}"))
+    else:
+        cut = F.regexp_replace(F.regexp_replace(marked, r["live"], r["live_to"]), F.lit(_DEAD), F.lit("$1"))
 
     def lay_out(parts: Column) -> Column:
         found = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), lambda x: F.split(_clean(x), S.OPEN, -1))
 
         def place(found: Column) -> Column:
             steps = F.concat(
-                F.array(S.byte_length(parts[0], utf8)),
-                F.transform(found, lambda p: S.byte_length(p[1], utf8) + S.byte_length(p[3], utf8)))
+                F.array(S.byte_length(_clean(parts[0]), utf8)),
+                F.transform(found, lambda p: S.byte_length(p[2], utf8) + S.byte_length(p[4], utf8)))
             return S.let(S.running(steps), lambda at: F.transform(found, lambda p, i: F.struct(
-                at[i].alias("at"), p[0].alias("left"), p[1].alias("body"), p[2].alias("after"))))
+                at[i].alias("at"), p[1].alias("left"), p[2].alias("body"), p[3].alias("after"))))
 
         return S.let(found, place)
 
@@ -296,7 +327,7 @@ def cut_events(
         rest = F.when(first.isNotNull(), from_byte(text, lo - r["back"] - base, utf8)).otherwise(F.lit(""))
         return S.let(S.let(rest, view), coming_in)
 
-    sts = S.let(stretches(text, r, utf8, None if first is None else base > 0), known)
+    sts = S.let(stretches(text, r, utf8, None if first is None else base > 0, every=False), known)
     placed = F.transform(F.flatten(F.transform(sts, lambda st: _ends(st, r, tail, utf8))), lambda e: F.struct(
         (base + e["to"]).alias("to"), F.when(r["som"], base + e["from"]).otherwise(F.lit(0)).cast("bigint").alias("from")))
     inside = F.filter(placed, lambda e: (e["to"] > lo) & (e["to"] <= hi) & (e["to"] >= r["min_offset"])
