@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,6 +57,9 @@ def within(
 Handler = Callable[[pd.DataFrame], pd.Series]
 # What a handler may answer.
 SKIP, TERMINATE = "skip", "terminate"
+EVENT_COLUMNS = ("pattern_id", "from", "to")
+# A handler is asked about so many events at once, and the rest of a haystack.
+HANDLED = 1 << 17
 
 
 def _first_places(rows: np.ndarray, hit: np.ndarray) -> np.ndarray:
@@ -71,29 +75,41 @@ def handled_scan(
     """Scan with a handler that answers continue / skip / terminate for every event: ``(keys, pattern_id, from, to)``.
 
     A haystack's events come as one array in order; the handler is asked once for
-    all of a batch, with ``(pattern_id, from, to)``, and a haystack's events end
-    at its first terminate, a rule's at its first skip. One pass over the
-    haystacks: nothing is written, shuffled or joined.
+    many whole haystacks, with ``(pattern_id, from, to)``, and a haystack's events end
+    at its first terminate, a rule's at its first skip. Events stay Arrow and numpy
+    arrays. One pass over the haystacks: nothing is written, shuffled or joined.
     """
     found = event_arrays(df, rules, payload=payload, keys=keys)
     names = list(keys)
     fields = [found.schema[k] for k in names] + [
         T.StructField("pattern_id", T.IntegerType()), T.StructField("from", T.LongType()), T.StructField("to", T.LongType())]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = batch["events"].map(len).to_numpy()
-            rows = np.repeat(np.arange(len(batch)), counts)
-            flat = [e for events in batch["events"] for e in events]
-            events = pd.DataFrame({c: np.array([e[c] for e in flat], np.int64) for c in ("pattern_id", "from", "to")})
-            answers = np.asarray(handler(events), object)
-            at = np.arange(len(flat))
-            rule = pd.DataFrame({"row": rows, "rule": events["pattern_id"]}).groupby(["row", "rule"]).ngroup().to_numpy()
-            kept = (at <= _first_places(rows, answers == TERMINATE)) & (at <= _first_places(rule, answers == SKIP))
-            out = batch[names].iloc[rows[kept]].reset_index(drop=True)
-            yield pd.concat([out, events[kept].reset_index(drop=True).astype({"pattern_id": np.int32})], axis=1)
-
-    return found.mapInPandas(run, T.StructType(fields))
+            ends = np.cumsum(batch.column("events").value_lengths().to_numpy(zero_copy_only=False))
+            for part in _parts(batch, ends):
+                listed = part.column("events")
+                rows = np.repeat(np.arange(part.num_rows), listed.value_lengths().to_numpy(zero_copy_only=False))
+                flat = listed.flatten()
+                events = pd.DataFrame({c: flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in EVENT_COLUMNS})
+                answers = np.asarray(handler(events), object)
+                at = np.arange(len(events))
+                rule = pd.DataFrame({"row": rows, "rule": events["pattern_id"]}).groupby(["row", "rule"]).ngroup().to_numpy()
+                kept = (at <= _first_places(rows, answers == TERMINATE)) & (at <= _first_places(rule, answers == SKIP))
+                own = pa.array(rows[kept])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(k).take(own) for k in names] + [flat.field(c).filter(pa.array(kept)) for c in EVENT_COLUMNS],
+                    names=[*names, *EVENT_COLUMNS])
+
+    return found.mapInArrow(run, T.StructType(fields))
+
+
+def _parts(batch: pa.RecordBatch, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of whole haystacks, with about ``HANDLED`` events each, so that memory is that of a part; ``ends`` counts events up to each haystack."""
+    cuts = np.flatnonzero(np.diff(ends // HANDLED)) + 1
+    for first, last in zip([0, *cuts], [*cuts, batch.num_rows]):
+        if last > first:
+            yield batch.slice(first, last - first)
 
 
 def handle_matches(matches: DataFrame, action: Column, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
