@@ -38,10 +38,13 @@ def byte_view(payload: Column) -> Column:
     return F.decode(payload.cast("binary"), "ISO-8859-1")
 
 
+def has_marks(text: Column) -> Column:
+    return text.contains(MARK) | text.contains(CLOSE) | text.contains(OPEN)
+
+
 def char_view(text: Column) -> Column:
     """The text, with the markers (never found in interchanged text) made harmless."""
-    has_marks = text.contains(MARK) | text.contains(CLOSE) | text.contains(OPEN)
-    return F.when(has_marks, F.translate(text, MARK + CLOSE + OPEN, STAND_IN)).otherwise(text)
+    return F.when(has_marks(text), F.translate(text, MARK + CLOSE + OPEN, STAND_IN)).otherwise(text)
 
 
 def view_of(payload: Column, utf8: bool) -> Column:
@@ -283,23 +286,37 @@ def history_events(
         return F.when(gate(text, p), events).otherwise(no_events())
     # The rule also matches empty, so it ends at every offset; where it does not
     # match text, the match starts where it ends.
+    none = F.array().cast("array<bigint>")
+
+    def between(es: Column) -> Column:
+        """Offsets at which no match of text ends, as one range for each gap between those."""
+        last = F.least(hi, base + F.length(text))
+
+        def gaps(at: Column) -> Column:
+            def gap(b: Column, i: Column) -> Column:
+                first = F.when(i == 0, lo).otherwise(F.get(at, i - 1)) + 1
+                return F.when(b > first, F.sequence(first, b - 1)).otherwise(none)
+
+            return F.flatten(F.transform(at, gap))
+
+        ends = F.array_append(F.array_sort(F.transform(es, lambda e: e["to"])), F.greatest(last, lo) + 1)
+        return let(ends, gaps)
+
     if utf8:
         every = points(F.regexp_replace(text, F.lit(p.behind("[\\s\\S]")), F.lit(MARK)), utf8)
         every = F.filter(F.transform(every, lambda q: base + q["b"]), lambda b: (b > lo) & (b <= hi))
     else:
-        last = F.least(hi, base + F.length(text))
-        every = F.when(last > lo, F.sequence(lo + 1, last)).otherwise(F.array().cast("array<bigint>"))
+        every = between(F.array().cast(EVENT))
     if not som:
-        return F.transform(every, lambda b: _event(pattern_id, F.lit(0), b))
-    return let(
-        events,
-        lambda es: F.concat(
-            es,
-            F.transform(
-                F.array_except(every, F.transform(es, lambda e: e["to"])), lambda b: _event(pattern_id, b, b)
-            ),
-        ),
-    )
+        return let(every, lambda bs: _each(pattern_id, F.array_repeat(F.lit(0).cast("bigint"), F.size(bs)), bs))
+    rest = (lambda es: F.array_except(every, F.transform(es, lambda e: e["to"]))) if utf8 else between
+    return let(events, lambda es: F.concat(es, let(rest(es), lambda bs: _each(pattern_id, bs, bs))))
+
+
+def _each(pattern_id: int, starts: Column, ends: Column) -> Column:
+    """Events from arrays of starts and ends, made without an evaluated step for each."""
+    ids = F.array_repeat(F.lit(pattern_id).cast("int"), F.size(ends))
+    return F.arrays_zip(ids.alias("pattern_id"), starts.alias("from"), ends.alias("to"))
 
 
 SEGMENT = "struct<base:bigint,lo:bigint,hi:bigint,text:string>"
