@@ -54,14 +54,28 @@ class Regex:
         return S.let(S.char_view(text), first)
 
     def find_iter(self, text: Column) -> Column:
-        found = S.let(S.char_view(text), self._matches)
-        return F.transform(found, lambda m: self._cut(text, m["from"], m["to"]))
+        """All matches. Their texts are those of the view; only where it has stand-ins for markers they are cut from the column."""
+        both = F.struct(
+            S.let(S.char_view(text), self._matches).alias("ms"), F.when(S.has_marks(text), text.cast("binary")).alias("raw"))
+
+        def placed(b: Column) -> Column:
+            return F.transform(b["ms"], lambda m: self._placed(
+                m["from"], m["to"], F.when(b["raw"].isNull(), m["text"]).otherwise(self._piece(b["raw"], m["from"], m["to"]))))
+
+        return S.let(both, placed)
 
     @staticmethod
-    def _cut(text: Column, start: Column, end: Column) -> Column:
+    def _piece(raw: Column, start: Column, end: Column) -> Column:
+        """A range of the text's bytes as text. ``raw`` is the bytes themselves: a cast here would copy them for every match."""
+        return F.substring(raw, start.cast("int") + 1, (end - start).cast("int")).cast("string")
+
+    @staticmethod
+    def _placed(start: Column, end: Column, text: Column) -> Column:
+        return F.struct(start.cast("bigint").alias("from"), end.cast("bigint").alias("to"), text.alias("text"))
+
+    def _cut(self, text: Column, start: Column, end: Column) -> Column:
         """A match with its text as it is in the column, whatever stands in for markers in the view."""
-        piece = F.substring(text.cast("binary"), start.cast("int") + 1, (end - start).cast("int")).cast("string")
-        return F.struct(start.cast("bigint").alias("from"), end.cast("bigint").alias("to"), piece.alias("text"))
+        return self._placed(start, end, self._piece(text.cast("binary"), start, end))
 
     def split(self, text: Column) -> Column:
         return F.split(text, self.p.java, -1)
@@ -88,11 +102,9 @@ class Regex:
         def build(v: Column) -> Column:
             return S.let(F.struct(self._matches(v).alias("ms"), F.octet_length(v).alias("n")), cover)
 
-        raw = text.cast("binary")
-        parts = S.let(S.char_view(text), build)
-        return F.transform(parts, lambda p: F.struct(
-            p["kind"], p["from"], p["to"],
-            F.substring(raw, p["from"].cast("int") + 1, (p["to"] - p["from"]).cast("int")).cast("string").alias("text")))
+        both = F.struct(S.let(S.char_view(text), build).alias("parts"), text.cast("binary").alias("raw"))
+        return S.let(both, lambda b: F.transform(b["parts"], lambda p: F.struct(
+            p["kind"], p["from"], p["to"], self._piece(b["raw"], p["from"], p["to"]).alias("text"))))
 
 
 def start(match: Column) -> Column:
