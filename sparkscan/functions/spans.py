@@ -213,7 +213,7 @@ def _runs(text: Column, p: Prepared, tail: str, utf8: bool) -> Column:
     if p.cover is None:
         return F.array(run(text, F.lit(0), F.lit(0), F.lit(0), F.length(text)))
     # only runs that hold an end of the rule's tail are cut out; the others stay in the gaps
-    one_run = f"{p.flags}(?<!{p.cover})(?={p.cover}*?(?:{tail})){p.cover}++{p.guard}"
+    one_run = f"{p.flags}(?={p.cover})(?<!{p.cover})(?={p.cover}*?(?:{tail})){p.cover}++{p.guard}"
     marked = F.regexp_replace(text, F.lit(one_run), F.lit(f"{MARK}$0{CLOSE}"))
 
     def lay_out(parts: Column) -> Column:
