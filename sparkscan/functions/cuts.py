@@ -178,6 +178,7 @@ def _cut(items: list, bits: int, rule, som: bool, report_som: bool) -> Cut:
     after = f"(?=([\\s\\S]{{0,{2 * beyond}}})){WHOLE if utf8 else ''}"
     reached = _Marked(capture=False, unicode=unicode, open_end=False, bounded=True, flags=bits).seq(tail)
     run = f"\\x{{fdd0}}[{cls}\\x{{fdd0}}]*+" if head else f"(?<!{cls}){NOT_BETWEEN_HALVES if utf8 else ''}{cls}*+"
+    at_start = "(?=\\x{fdd0})" if head else f"(?<!{cls})"
     wide = 4 if utf8 else 1
     edge = slack + 2 * tail_most + 1 if slack else 0
     back = (edge + tail_most + 2 * RIGHT_CONTEXT + 4) * wide
@@ -187,10 +188,11 @@ def _cut(items: list, bits: int, rule, som: bool, report_som: bool) -> Cut:
         pattern_id=rule.pattern_id, som=som, report_som=report_som, once="H" in rule.flags, needed=needed(items), head_needed=needed(head), tail_needed=needed(tail),
         head=(flags + quote(text) if plain else ends(emit(head))) if head else "",
         head_inside=(flags + quote(text) if plain else ends(("[\\s\\S]" if looks else "") + f"(?:{emit(head)})")) if head else "", head_to=("$0" if plain else "") + S.MARK,
-        stretch=f"{flags}{before}{run}{after}",
+        # what turns most places away stands before what is captured at a place
+        stretch=f"{flags}{at_start}{before}{run}{after}",
         # a stretch without a B is matched whole as well, so that its other heads are not tried
-        live=(f"{flags}(?=\\x{{fdd0}})(?:(?=\\x{{fdd0}}[{cls}\\x{{fdd0}}]*?(?:{reached})){before}(\\x{{fdd0}})[{cls}\\x{{fdd0}}]*+{after}|{run})" if head
-              else f"{flags}{before}(?<!{cls})(?={cls}*?(?:{reached})){run}{after}"),
+        live=(f"{flags}{at_start}(?:(?=\\x{{fdd0}}[{cls}\\x{{fdd0}}]*?(?:{reached})){before}(\\x{{fdd0}})[{cls}\\x{{fdd0}}]*+{after}|{run})" if head
+              else f"{flags}{at_start}(?={cls}*?(?:{reached})){before}{run}{after}"),
         live_to=f"{S.CLOSE}$2{S.OPEN}$1{S.OPEN}$0{S.OPEN}$3{S.OPEN}" if head else f"{S.CLOSE}{S.MARK}{S.OPEN}$1{S.OPEN}$0{S.OPEN}$2{S.OPEN}",
         tail=ends(emit(tail)) if tail else guard, tail_open=ends(emit(tail, open_end=True)) if tail else guard,
         full=f"{flags}(?:{emit(items, bounded=False)})\\z", reach=f"{flags}\\A{cls}*?(?:{emit(tail)})\\z",
