@@ -30,6 +30,8 @@ class Tabled:
     width: int
     before: list[str]  # the rule up to 0, 1 or 2 characters before the end of a piece
     looks_right: bool
+    near: bool  # needs a text, and a match depends on no more than its width and a character to each side
+    plain: bool  # is the text it needs, without constraints
     min_offset: int
     max_offset: int
     min_length: int
@@ -39,15 +41,26 @@ COLUMNS = {f.name: {"str": "string", "int": "bigint", "bool": "boolean", "list[s
 TABLED = "struct<" + ",".join(f"{n}:{t}" for n, t in COLUMNS.items()) + ">"
 
 
+def encodable(text: str, utf8: bool) -> bool:
+    try:
+        text.encode("utf-8" if utf8 else "latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def tabled(pattern_id: int, p: Prepared, ext: dict, width: int, *, som: bool, report_som: bool, utf8: bool) -> Tabled:
     plain = p.literal and not overlaps_itself(p.literal)
     body = p.java[len(p.flags):]
+    needed = p.literal or p.needed
+    # marks make a Unicode word border depend on all marks before it; a character the view can't hold is never found
+    near = bool(needed) and not ("U" in p.flags and p.looks_left) and encodable(needed, utf8)
     return Tabled(
-        pattern_id=pattern_id, som=som, report_som=report_som, needed=p.literal or p.needed,
+        pattern_id=pattern_id, som=som, report_som=report_som, needed=needed,
         ends=p.flags + quote(p.literal) if plain else p.behind(p.ends), ends_to=("$0" if plain else "") + S.MARK,
         size=-1 if (size := S.fixed_bytes(p, utf8)) is None else size, width=width,
         before=[f"{p.flags}(?:{body})" + (f"(?=[\\s\\S]{{{k}}}\\z)" if k else "\\z") for k in range(RIGHT_CONTEXT + 1)],
-        looks_right=p.looks_right, min_offset=ext.get("min_offset") or 0,
+        looks_right=p.looks_right, near=near, plain=bool(p.literal) and not any(v is not None for v in ext.values()), min_offset=ext.get("min_offset") or 0,
         max_offset=-1 if ext.get("max_offset") is None else ext["max_offset"], min_length=ext.get("min_length") or 0)
 
 
@@ -66,7 +79,8 @@ def tabled_events(s: Column, r: Column, utf8: bool) -> Column:
         return F.struct(end.alias("to"), F.when(r["som"], end - n).otherwise(F.lit(0)).cast("bigint").alias("from"))
 
     marked = F.regexp_replace(text, r["ends"], r["ends_to"])
-    inside = F.filter(S.points(marked, utf8), lambda q: (base + q["b"] > lo) & (base + q["b"] <= hi) & (base + q["b"] >= r["min_offset"])
+    ends = S.let(marked, lambda m: F.when(m.contains(S.MARK), S.points(m, utf8)))
+    inside = F.filter(ends, lambda q: (base + q["b"] > lo) & (base + q["b"] <= hi) & (base + q["b"] >= r["min_offset"])
                       & ((r["max_offset"] < 0) | (base + q["b"] <= r["max_offset"])))
     long = F.filter(F.transform(inside, event), lambda e: e["to"] - e["from"] >= r["min_length"])
     return F.transform(long, lambda e: F.struct(

@@ -2,7 +2,7 @@
 
 ``scan`` is one narrow pass: each row is cut into blocks, every rule becomes an
 expression over the block, and the events are exploded. There is no shuffle, no
-UDF and no per-rule re-read of the table.
+UDF and no per-rule re-read of the table. Large rule sets go through ``rule_index``.
 """
 
 from __future__ import annotations
@@ -246,14 +246,22 @@ def _scan(
 ) -> DataFrame:
     texts = _plain_texts(plain, combos) if not (with_text or som) else []
     if len(texts) > LITERAL_SET:
+        # those the index of needed texts takes are found there, in one pass with other rules
+        indexed = {id(r) for r in texts if (p := r.prepared()).literal and p.max_width <= MAX_LOOKBEHIND}
+        texts = [r for r in texts if len(indexed) <= RULE_SET or id(r) not in indexed]
+    else:
+        texts = []
+    if texts:
         # one pass for all of them; as expressions of their own they would make the plan grow with their number
         found = literal_scan(df, texts, payload=payload, keys=keys, block=block)
-        rest = [r for r in plain if r not in texts]
+        set_apart = {id(r) for r in texts}
+        rest = [r for r in plain if id(r) not in set_apart]
         return found.unionByName(_scan(df, rest, combos, payload, keys, block, False, False)) if rest or combos else found
     plans = [_Plan(r, som) for r in plain if "Q" not in r.flags]
     many = _many(plans) if not with_text else []
     if many:
-        rest = [p.rule for p in plans if p not in many]
+        looked_up = {id(p) for p in many}
+        rest = [p.rule for p in plans if id(p) not in looked_up]
         parts = [
             indexed_events(df, S.view_of(F.col(payload), u), u, [p.cut or p.tabled() for p in group], keys, block)
             for u in (False, True) for c in (False, True)
